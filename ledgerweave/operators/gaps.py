@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
@@ -192,16 +192,15 @@ def _taken(
         holders = used.groupBy(*place).agg(_holder(F.col(ordinal)).alias("_first"))
         holders = holders.select(*place, F.array("_first").alias("by"))
     else:
-        by_key = used.groupBy(*place, "DESC_KEY").agg(_holder(F.col(ordinal)).alias("_holder"))
-        firsts = by_key.groupBy(*place).agg(F.min("_holder").alias("_first"))
-        seconds = (
-            by_key.join(firsts, place)
-            .filter(F.col("DESC_KEY") != F.col("_first.DESC_KEY"))
+        # Ranked per map task before the shuffle, so a popular number stays small.
+        rank = F.row_number().over(Window.partitionBy(*place).orderBy("_holder"))
+        holders = (
+            used.groupBy(*place, "DESC_KEY")
+            .agg(_holder(F.col(ordinal)).alias("_holder"))
+            .withColumn("_rank", rank)
+            .filter(F.col("_rank") <= rivals)
             .groupBy(*place)
-            .agg(F.min("_holder").alias("_second"))
-        )
-        holders = firsts.join(seconds, place, "left").select(
-            *place, F.array_compact(F.array("_first", "_second")).alias("by")
+            .agg(F.array_sort(F.collect_list("_holder")).alias("by"))
         )
     following = format_double(F.col("_max") + 1).alias("next")
     entry = F.struct("ENV", F.struct("by", following))

@@ -18,6 +18,7 @@ from ledgerweave.component import CC, GL, Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.text import same_value
 from ledgerweave.operators.gaps import CREATE, FREE, REVIEW
+from ledgerweave.operators.joins import even_left_join
 from ledgerweave.operators.slices import SLICE, slice_large_groups
 
 # Values one conflict row lists when a description has too many for a single row.
@@ -252,10 +253,9 @@ def merge_actions(
         )
         .distinct()
     )
-    joined = (
-        unified.withColumnRenamed(f"{comp.number}_CANONICAL", "_canonical")
-        .join(own, "DESC_KEY", "left")
-        .join(holders, "_canonical", "left")
+    canonical_named = unified.withColumnRenamed(f"{comp.number}_CANONICAL", "_canonical")
+    joined = even_left_join(
+        even_left_join(canonical_named, own, "DESC_KEY"), holders, "_canonical"
     )
 
     canonical, present = F.col("_canonical"), F.col("_own")

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-# Groups are split when they hold more than this share of all members, so at most
-# this many can be: the size bound of the broadcast below.
+# The most groups that are ever split, which bounds the broadcast below. Any other
+# group holds less than one MOST_SPLIT_GROUPS-th of all members.
 MOST_SPLIT_GROUPS = 100_000
 
 
@@ -21,21 +21,23 @@ def slice_large_groups(
 ) -> DataFrame:
     """``members`` with a ``_slice`` number, 0 throughout for all but large groups.
 
-    A group is large with more than ``slice_size`` members and more than one
-    ``MOST_SPLIT_GROUPS``-th of all members; hashing ``member`` then spreads it
-    evenly over slices of about ``slice_size``. ``whole`` are aggregates over the
-    whole group; they come back as columns, filled for large groups only, because
-    a slice cannot work them out by itself.
+    Large groups are those with more than ``slice_size`` members, the
+    ``MOST_SPLIT_GROUPS`` largest at most; hashing ``member`` spreads them evenly
+    over slices of about ``slice_size``. ``whole`` are aggregates over the whole
+    group; they come back as columns, filled for large groups only, because a
+    slice cannot work them out by itself.
     """
-    sizes = members.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_members"),
-        *(value.alias(name) for name, value in whole.items()),
+    large = (
+        members.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("_members"),
+            *(value.alias(name) for name, value in whole.items()),
+        )
+        .filter(F.col("_members") > slice_size)
+        .orderBy(F.desc("_members"), key)
+        .limit(MOST_SPLIT_GROUPS)
+        .select(key, F.ceil(F.col("_members") / slice_size).alias("_slices"), *whole)
     )
-    share = sizes.agg(F.sum("_members")).scalar() / MOST_SPLIT_GROUPS
-    large = sizes.filter(F.col("_members") > F.greatest(F.lit(float(slice_size)), share)).select(
-        key, F.ceil(F.col("_members") / slice_size).alias("_slices"), *whole
-    )
-    # At most MOST_SPLIT_GROUPS groups can exceed the share, so the broadcast is bounded.
     return (
         members.join(F.broadcast(large), key, "left")
         .withColumn(SLICE, F.coalesce(F.pmod(F.xxhash64(member), "_slices"), F.lit(0)))
