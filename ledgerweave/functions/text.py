@@ -68,18 +68,22 @@ def canonical_key(c: Column) -> Column:
     single, several = _fold_tables()
     text = F.coalesce(c, F.lit(""))
 
-    expansions = F.map_from_arrays(
+    # A hash lookup per character; a pattern of all these characters is far slower.
+    def expands(part: Column) -> Column:
+        return F.length(F.translate(part, "".join(several), "")) < F.length(part)
+
+    rules = F.map_from_arrays(
         F.array(*map(F.lit, several)), F.array(*map(F.lit, several.values()))
     )
+
+    def expand(word: Column) -> Column:
+        letters = F.transform(
+            F.split(word, ""), lambda ch: F.coalesce(F.try_element_at(rules, ch), ch)
+        )
+        return F.when(expands(word), F.array_join(letters, "")).otherwise(word)
+
     expanded = F.when(
-        text.rlike("[" + "".join(several) + "]"),
-        F.array_join(
-            F.transform(
-                F.split(text, ""),
-                lambda ch: F.coalesce(F.try_element_at(expansions, ch), ch),
-            ),
-            "",
-        ),
+        expands(text), F.array_join(F.transform(F.split(text, " "), expand), " ")
     ).otherwise(text)
     # translate() drops the characters that have no counterpart, so deletions go last.
     kept = [char for char, folded in single.items() if folded]

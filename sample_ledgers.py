@@ -1,8 +1,9 @@
 """Ledgers derived from the test tables, which hold none themselves.
 
 Suppliers' nations act as companies and parts as accounts; customers act as cost
-centers. Line items and orders are reduced before they meet a dimension, and
-only ``nation`` and ``region``, whose sizes are fixed, are broadcast.
+centers. Line items are reduced before they meet the wide ``part`` rows, orders
+before they meet customers, and only ``nation`` and ``region``, whose sizes are
+fixed, are broadcast.
 """
 
 from __future__ import annotations
@@ -68,21 +69,17 @@ def _position(key: Column) -> Column:
 
 def gl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account per nation and part that the nation's suppliers delivered."""
-    delivered = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey", "l_suppkey")
-        .agg(
-            F.max("l_shipdate").alias("last"),
-            F.count_if(F.col("l_returnflag") == "R").alias("returns"),
-        )
-    )
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nation_key")
     )
     used = (
-        delivered.join(supplier, "l_suppkey")
+        table(spark, sf_dir, "lineitem")
+        .join(supplier, "l_suppkey")
         .groupBy("l_partkey", "nation_key")
-        .agg(F.max("last").alias("last"), F.sum("returns").alias("returns"))
+        .agg(
+            F.max("l_shipdate").alias("last"),
+            F.count_if(F.col("l_returnflag") == "R").alias("returns"),
+        )
     )
     part = table(spark, sf_dir, "part")
     size, name = F.col("p_size"), F.col("p_name")

@@ -1,0 +1,94 @@
+from frames import ledger, rows
+
+from ledgerweave.component import CC, GL
+from ledgerweave.operators import number_mismatches, type_mismatches
+
+
+def accounts(spark, *entries):
+    names = ("DESCRIPTION", "ENV", "ACCOUNT", "TYPE")
+    return ledger(spark, GL, [dict(zip(names, entry)) for entry in entries])
+
+
+def test_numbers_and_types(spark):
+    frame = accounts(
+        spark, ("A", "E1-", "100", "T1"), ("A", "E2-", "200", "T2"), ("B", "E1-", "300", "T1")
+    )
+    assert rows(number_mismatches(frame, GL)) == [
+        {"DESCRIPTION": "A", "Details": "100 (E1-), 200 (E2-)"}
+    ]
+    assert rows(type_mismatches(frame, GL)) == [
+        {"DESCRIPTION": "A", "Details": "T1: E1- | T2: E2-"}
+    ]
+
+
+def test_null_like_types_do_not_count(spark):
+    frame = accounts(
+        spark,
+        ("A", "E1", "100", "T1"),
+        ("A", "E2", "100", "nan"),
+        ("A", "E3", "100", "None"),
+        ("B", "E1", "200", ""),
+    )
+    assert rows(type_mismatches(frame, GL)) == []
+
+
+def test_cost_centers(spark):
+    frame = ledger(
+        spark,
+        CC,
+        [
+            {"DESCRIPTION": "A", "ENV": "E1", "COSTCENTER": "10"},
+            {"DESCRIPTION": "A", "ENV": "E2", "COSTCENTER": "20"},
+            {"DESCRIPTION": "B", "ENV": "E1", "COSTCENTER": "10"},
+        ],
+    )
+    assert rows(number_mismatches(frame, CC)) == [
+        {"DESCRIPTION": "A", "Details": "10 (E1), 20 (E2)"}
+    ]
+    none = type_mismatches(frame, CC)
+    assert (none.columns, rows(none)) == (["DESCRIPTION", "Details"], [])
+
+
+def test_numbers_compare_as_displayed_in_first_seen_order(spark):
+    frame = accounts(
+        spark,
+        ("same", "E1", "0100", None),
+        ("same", "E2", "100.0", None),
+        ("other", "E9", "7", None),
+        ("Other", "E1", "8", None),
+        ("other", "E9", "007", None),
+        ("other", "E2", None, None),
+    )
+    assert rows(number_mismatches(frame, GL)) == [
+        {"DESCRIPTION": "other", "Details": "7 (E9), 8 (E1)"}
+    ]
+
+
+def test_the_description_comes_from_rows_with_a_value(spark):
+    frame = accounts(
+        spark, ("X", "E1", None, None), ("x", "E1", "1", None), ("X", "E2", "2", None)
+    )
+    assert rows(number_mismatches(frame, GL))[0]["DESCRIPTION"] == "x"
+
+
+def test_hot_descriptions_are_split_without_loss(spark):
+    wanted = [f"{i} (E{i % 3})" for i in range(500)]
+    frame = accounts(
+        spark,
+        *(("hot", f"E{i % 3}", str(i), None) for i in range(500)),
+        *(("cold", f"E{i}", str(i), None) for i in range(4)),
+        *(("even", f"E{i}", "1", None) for i in range(100)),
+    )
+    whole = {r["DESCRIPTION"]: r["Details"] for r in rows(number_mismatches(frame, GL))}
+    assert whole == {"hot": ", ".join(wanted), "cold": "0 (E0), 1 (E1), 2 (E2), 3 (E3)"}
+
+    found = rows(number_mismatches(frame, GL, details_per_row=50))
+    hot = [r["Details"].split(", ") for r in found if r["DESCRIPTION"] == "hot"]
+    assert len(hot) == 10
+    assert sorted(sum(hot, [])) == sorted(wanted)
+    for part in hot:
+        assert part == sorted(part, key=wanted.index)
+        assert len(part) < 100
+    assert [r for r in found if r["DESCRIPTION"] != "hot"] == [
+        {"DESCRIPTION": "cold", "Details": whole["cold"]}
+    ]

@@ -1,0 +1,65 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerweave.functions import as_double, format_double, format_number, number_text
+
+SPELLINGS = [
+    # text, displayed as, numeric value
+    ("100", "100", 100.0),
+    ("0100", "100", 100.0),
+    ("100.0", "100", 100.0),
+    ("1e3", "1000", 1000.0),
+    (" 12 ", "12", 12.0),
+    (" 12\t", "12", 12.0),
+    ("1_000", "1000", None),
+    ("1__0", "1__0", None),
+    ("10D", "10D", None),
+    ("10f", "10f", None),
+    ("0x10", "0x10", None),
+    ("ABC.0", "ABC.0", None),
+    ("1.25", "1.25", 1.25),
+    (".5", ".5", 0.5),
+    ("5.", "5", 5.0),
+    ("+5", "5", 5.0),
+    ("-7.0", "-7", -7.0),
+    ("-0", "0", 0.0),
+    ("inf", "inf", None),
+    ("nan", "nan", None),
+    ("1e400", "1e400", float("inf")),
+    ("", "", None),
+    (None, None, None),
+    # Text goes through a double, as 17 digits do not fit one.
+    ("12345678901234567", "12345678901234568", 1.2345678901234568e16),
+    ("576460752303423488", "576460752303423488", 5.764607523034235e17),
+]
+
+
+def test_spellings(spark):
+    frame = spark.createDataFrame([(i, s[0]) for i, s in enumerate(SPELLINGS)], "i int, v string")
+    found = frame.select(
+        "i", format_number(F.col("v")).alias("f"), as_double(F.col("v")).alias("d")
+    ).orderBy("i")
+    assert [(SPELLINGS[r.i][0], r.f, r.d) for r in found.collect()] == SPELLINGS
+
+
+@pytest.mark.parametrize(
+    "kind, value, text",
+    [
+        ("double", 100.0, "100"),
+        ("double", 1.5, "1.5"),
+        ("double", None, None),
+        ("float", 7.0, "7"),
+        ("int", 42, "42"),
+        ("bigint", 12345678901234567, "12345678901234567"),
+        ("string", "0100", "0100"),
+    ],
+)
+def test_identity_of_typed_numbers(spark, kind, value, text):
+    frame = spark.createDataFrame([(value,)], f"v {kind}")
+    assert frame.select(number_text(F.col("v"), kind).alias("t")).first().t == text
+
+
+def test_doubles_beyond_a_long_keep_their_spelling(spark):
+    frame = spark.createDataFrame([(1e25,), (float("inf"),), (float("nan"),)], "v double")
+    found = [r.t for r in frame.select(format_double(F.col("v")).alias("t")).collect()]
+    assert found == ["1.0E25", "Infinity", "NaN"]
