@@ -47,8 +47,12 @@ def number_text(c: Column, data_type: str) -> Column:
     """Text identity of a number column of Spark type ``data_type``.
 
     Numeric columns lose a ``.0`` tail, so that a number reads the same whether
-    or not blanks elsewhere turned its column into floats. Text is kept as is.
+    or not blanks elsewhere turned its column into floats; a float that is no
+    number counts as missing. Text is kept as is.
     """
-    if data_type in ("double", "float") or data_type.startswith("decimal"):
-        return format_double(c.cast("double"))
+    if data_type in ("double", "float"):
+        whole = _whole_text(c.cast("double"))
+        return F.when(~F.isnan(c), F.coalesce(whole, c.cast("string")))
+    if data_type.startswith("decimal"):
+        return F.regexp_replace(c.cast("string"), r"\.0+$", "")
     return c.cast("string")

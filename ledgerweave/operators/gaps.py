@@ -19,6 +19,7 @@ from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.numbers import as_double, format_double, format_number
 from ledgerweave.functions.text import env_company, env_datalib, or_null_text
+from ledgerweave.operators.joins import shuffle_anew
 from ledgerweave.operators.presence import presence_cells
 
 CHUNK = "_chunk"
@@ -104,9 +105,9 @@ def gap_actions(
         cells = presence_cells(cleaned, comp, ordinal)
     described = _inherited(cells, comp, gaps, axis)
     taken = _taken(cleaned, comp, axis, ordinal, rivals=1 if gaps is None else 2)
-    found = described.join(taken, [comp.number, CHUNK], "left").select(
-        "*", F.explode("_missing").alias("ENV")
-    )
+    found = described.join(
+        shuffle_anew(taken, comp.number), [comp.number, CHUNK], "left"
+    ).select("*", F.explode("_missing").alias("ENV"))
 
     holders = F.try_element_at("_taken", F.col("ENV"))
     rival = F.get(F.filter(holders["by"], lambda h: h["DESC_KEY"] != F.col("DESC_KEY")), 0)

@@ -18,7 +18,7 @@ from ledgerweave.component import CC, GL, Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.text import same_value
 from ledgerweave.operators.gaps import CREATE, FREE, REVIEW
-from ledgerweave.operators.joins import even_left_join
+from ledgerweave.operators.joins import even_left_join, shuffle_anew
 from ledgerweave.operators.slices import SLICE, slice_large_groups
 
 # Values one conflict row lists when a description has too many for a single row.
@@ -225,7 +225,7 @@ def merge_conflicts(
         .filter("_several")
     )
     types = [F.array_join("_categories", ", ").alias("Types")] if comp.category else []
-    return lists.join(unified, "DESC_KEY").select(
+    return lists.join(shuffle_anew(unified, "DESC_KEY"), "DESC_KEY").select(
         "DESC_KEY",
         "DESCRIPTION",
         F.array_join("_numbers", ", ").alias("Numbers"),
@@ -306,9 +306,8 @@ def merge_mappings(
     )
     canonical = F.col(f"{comp.number}_CANONICAL")
     same = same_value(F.col(comp.number), canonical)
-    return entries.join(
-        unified.select("DESC_KEY", canonical, "Why_Canonical"), "DESC_KEY", "left"
-    ).select(
+    chosen = unified.select("DESC_KEY", canonical, "Why_Canonical")
+    return entries.join(shuffle_anew(chosen, "DESC_KEY"), "DESC_KEY", "left").select(
         F.col("ENV").alias("Source_ENV"),
         "DATALIB",
         "COMPANY",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by, first_value
+from ledgerweave.operators.joins import shuffle_anew
 
 CELL = ("DESC_KEY", "ENV")
 # Columns a wide matrix may have at most per kind; the long form has no such limit.
@@ -81,8 +82,8 @@ def presence_enriched(
     """The binary matrix with descriptions, numbers and totals.
 
     Accounts get a number and a type column per environment. Cost centers get a
-    number column, and with ``languages`` (see :func:`language_variants`) one row
-    per language variant of a description.
+    number column, and with ``languages`` (the :func:`language_variants` of the
+    same ledger) one row per language variant of a description.
     """
     kept = {"n": F.count(F.lit(1)), "d": F.first("_described"), "num": F.first(comp.number)}
     if comp.category:
@@ -112,7 +113,9 @@ def presence_enriched(
         return wide.select("DESC_KEY", *lead, *pairs, *totals)
     if languages is None:
         return wide.select("DESC_KEY", *lead, *totals, *numbers)
-    return wide.join(languages, "DESC_KEY", "left").select(
+    # Both sides stem from one ledger, so no key goes unmatched; an inner join lets
+    # adaptive execution split a key with very many variants.
+    return shuffle_anew(wide, "DESC_KEY").join(languages, "DESC_KEY").select(
         "DESC_KEY", *lead, *totals, "DESCRIPTION_LANG", *numbers
     )
 

@@ -3,18 +3,17 @@
 from ledgerweave.plans.materialise import materialise
 from ledgerweave.plans.merge_plan import merge_plan
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
-from ledgerweave.plans.run import ComponentResult, result_tables, run_component
-from ledgerweave.plans.sink import TABLE_NAMES, write_tables
+from ledgerweave.plans.run import ComponentResult, run_component
+from ledgerweave.plans.sink import TABLE_NAMES, Sink
 
 __all__ = [
     "ComponentResult",
+    "Sink",
     "TABLE_NAMES",
     "config_echo",
     "filter_summary",
     "materialise",
     "merge_plan",
-    "result_tables",
     "run_component",
     "run_summary",
-    "write_tables",
 ]

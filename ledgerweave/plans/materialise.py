@@ -26,14 +26,15 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` to ``path``, or to a new table in the shared folder, and read it back.
 
     Cuts the lineage, outlives lost executors, and unlike a checkpoint keeps the
     columns apart: each reader scans only what it needs and the planner knows
-    the size.
+    the size. Existing tables are never overwritten.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if path is None:
+        path = f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from ledgerweave.operators.merge import (
 )
 from ledgerweave.plans.materialise import materialise
 from ledgerweave.plans.report import config_echo
-from ledgerweave.plans.sink import write_tables
+from ledgerweave.plans.sink import Sink
 
 
 def merge_plan(
@@ -62,9 +62,9 @@ def merge_plan(
         order[f"Unified_{code}"] = order[f"Conflicts_{code}"] = ["DESCRIPTION"]
         order[f"Mappings_{code}"] = ["Source_ENV", "DESCRIPTION", f"{comp.number}_SOURCE"]
     if out is not None:
-        write_tables(
-            tables, f"{out.rstrip('/')}/Merge_Plan_{run_ts}", order=order, format=format
-        )
+        sink = Sink(f"{out.rstrip('/')}/Merge_Plan_{run_ts}", format=format)
+        for name, table in tables.items():
+            sink.write(name, table, order.get(name, ()))
     return tables
 
 

@@ -78,7 +78,11 @@ def run_summary(
         number_mismatches.agg(*_figures({"Number Mismatches": F.count(F.lit(1))})),
         type_mismatches.agg(*_figures({"Type Mismatches": F.count(F.lit(1))})),
     ]
-    return reduce(DataFrame.unionAll, [_rows(part, "Metric", "Value") for part in parts])
+    rows = [
+        _rows(part, "Metric", "Value").withColumn("_part", F.lit(i)) for i, part in enumerate(parts)
+    ]
+    # A dozen rows: one partition holds them, in order.
+    return reduce(DataFrame.unionAll, rows).coalesce(1).sortWithinPartitions("_part").drop("_part")
 
 
 def _named(columns: Mapping[str, Column]) -> list[Column]:

@@ -21,7 +21,7 @@ from ledgerweave.operators.presence import (
 )
 from ledgerweave.plans.materialise import materialise
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
-from ledgerweave.plans.sink import TABLE_NAMES, write_tables
+from ledgerweave.plans.sink import TABLE_NAMES, Sink
 
 
 @dataclass(frozen=True)
@@ -51,19 +51,33 @@ def run_component(
 ) -> ComponentResult:
     """Filter, compare and report one conformed ledger, or a function returning it.
 
-    With ``out`` the tables of :func:`result_tables` are written below
-    ``<out>/<component>_output_<run_ts>``; without it nothing but intermediates is
-    written. The kept rows and the presence cells are stored once, since every
-    result reads one of them.
+    With ``out`` eleven tables are written below ``<out>/<component>_output_<run_ts>``;
+    without it nothing but intermediates is.
+
+    What several results read is stored once: the ledger of a loader function, the
+    kept rows and the presence cells. A ledger given as a DataFrame is read three
+    times as it stands, so it had better be a table.
     """
+    if out is not None and run_ts is None:
+        raise ValueError("a written run needs run_ts to name its folder")
     rules = rules or FilterRules()
-    raw = source() if callable(source) else source
+    raw = materialise(source()) if callable(source) else source
     split = keep_reject(raw, comp, rules)
-    cleaned = materialise(split.cleaned)
+    if out is None:
+        return _results(raw, split, materialise(split.cleaned), comp)
+
+    folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
+    sink = Sink(folder, TABLE_NAMES[comp.code], format)
+    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp)
+    _write(result, sink, comp, rules, run_ts)
+    return result
+
+
+def _results(raw: DataFrame, split, cleaned: DataFrame, comp: Component) -> ComponentResult:
     cells = materialise(presence_cells(cleaned, comp))
     envs = environments(cells)
     languages = None if comp.category else language_variants(cleaned)
-    result = ComponentResult(
+    return ComponentResult(
         raw=raw,
         cleaned=cleaned,
         filtered=split.filtered,
@@ -75,41 +89,26 @@ def run_component(
         number_mismatches=number_mismatches(cleaned, comp),
         type_mismatches=type_mismatches(cleaned, comp),
     )
-    if out is not None:
-        if run_ts is None:
-            raise ValueError("a written run needs run_ts to name its folder")
-        write_tables(
-            result_tables(result, comp, rules, run_ts),
-            f"{out.rstrip('/')}/{comp.code}_output_{run_ts}",
-            names=TABLE_NAMES[comp.code],
-            order={
-                "Presence Matrix (binary)": ["DESC_KEY"],
-                "Presence Matrix (enriched)": ["DESC_KEY"],
-            },
-            format=format,
-        )
-    return result
 
 
-def result_tables(
-    result: ComponentResult, comp: Component, rules: FilterRules, run_ts: str
-) -> dict[str, DataFrame]:
-    """The eleven tables of a run by name."""
-    actions = materialise(result.actions)
-    numbers = materialise(result.number_mismatches)
-    types = materialise(result.type_mismatches)
-    summary = run_summary(comp, result.counts, result.cells, actions, numbers, types, run_ts)
+def _write(
+    result: ComponentResult, sink: Sink, comp: Component, rules: FilterRules, run_ts: str
+) -> None:
+    """Write the other ten tables; the summary counts the stored ones."""
+    counts = materialise(result.counts)
+    sink.write("Filtered Out", result.filtered)
+    sink.write("Filter Summary", filter_summary(counts))
+    sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
+    sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
+    # Actions outnumber all other rows: computing them per table beats storing them twice.
+    kind = F.col("ActionType")
+    create = sink.keep("Create", result.actions.filter(kind == CREATE))
+    review = sink.keep("Review", result.actions.filter(kind == REVIEW))
+    numbers = sink.keep("Number Mismatches", result.number_mismatches)
+    types = sink.keep("Type Mismatches", result.type_mismatches)
+
+    actions = create.unionByName(review)
+    summary = run_summary(comp, counts, result.cells, actions, numbers, types, run_ts)
+    sink.write("Summary", summary)
     parameters = {**asdict(rules), "component": comp.code, "run_timestamp": run_ts}
-    return {
-        "Summary": summary.coalesce(1),
-        "Cleaned Data": result.cleaned,
-        "Filtered Out": result.filtered,
-        "Filter Summary": filter_summary(result.counts),
-        "Presence Matrix (binary)": result.presence_binary,
-        "Presence Matrix (enriched)": result.presence_enriched,
-        "Create": actions.filter(F.col("ActionType") == CREATE),
-        "Review": actions.filter(F.col("ActionType") == REVIEW),
-        "Number Mismatches": numbers,
-        "Type Mismatches": types,
-        "Config": config_echo(result.cleaned.sparkSession, parameters),
-    }
+    sink.write("Config", config_echo(result.cells.sparkSession, parameters))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import CC, GL
+from ledgerweave.plans.materialise import materialise
 
 # Result names and the tables they are written to.
 TABLE_NAMES = {
@@ -42,44 +43,54 @@ TEXT_FORMATS = ("csv", "json")
 TEXT_DATE = "dd-MM-yyyy"
 
 
-def write_tables(
-    tables: Mapping[str, DataFrame],
-    folder: str,
-    *,
-    names: Mapping[str, str] | None = None,
-    order: Mapping[str, Sequence[str]] | None = None,
-    format: str = "parquet",
-) -> dict[str, str]:
-    """Write each table to its own place under ``folder``; return the paths by name.
+class Sink:
+    """Writes result tables below one folder, each under its mapped name.
 
-    ``names`` renames tables, ``order`` gives columns to sort by. Sorting is
-    distributed by range. Existing results are never overwritten. Text formats
-    show time stamps as day-month-year; csv shows the rows' ordinal, if it is a
-    pair, as two columns.
+    Existing results are never overwritten. Text formats show time stamps as
+    day-month-year and take structs apart.
     """
-    paths = {}
-    for name, table in tables.items():
-        if order and name in order:
-            table = table.orderBy(*order[name])
-        if format in TEXT_FORMATS:
+
+    def __init__(
+        self, folder: str, names: Mapping[str, str] | None = None, format: str = "parquet"
+    ) -> None:
+        self.folder = folder.rstrip("/")
+        self.names = names or {}
+        self.format = format
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{self.names.get(name, name)}"
+
+    def write(self, name: str, table: DataFrame, order: Sequence[str] = ()) -> None:
+        """Write one table; ``order`` sorts it by range, over all tasks."""
+        if order:
+            table = table.orderBy(*order)
+        if self.format in TEXT_FORMATS:
             table = _as_text(table)
-        path = f"{folder.rstrip('/')}/{(names or {}).get(name, name)}"
-        writer = table.write.mode("errorifexists").format(format)
-        if format == "csv":
+        writer = table.write.mode("errorifexists").format(self.format)
+        if self.format == "csv":
             writer = writer.option("header", True)
-        writer.save(path)
-        paths[name] = path
-    return paths
+        writer.save(self.path(name))
+
+    def keep(self, name: str, table: DataFrame) -> DataFrame:
+        """Write a table that further results are made from; return it as stored.
+
+        A parquet result serves as its own intermediate table.
+        """
+        if self.format == "parquet":
+            return materialise(table, self.path(name))
+        stored = materialise(table)
+        self.write(name, stored)
+        return stored
 
 
 def _as_text(table: DataFrame) -> DataFrame:
     columns = []
-    for name, kind in table.dtypes:
-        column = F.col(f"`{name}`")
+    for field in table.schema:
+        column, kind = table[f"`{field.name}`"], field.dataType.typeName()
         if kind in ("timestamp", "timestamp_ntz", "date"):
-            columns.append(F.date_format(column, TEXT_DATE).alias(name))
-        elif kind.startswith("struct"):
-            columns += [column[part].alias(f"{name}_{part}") for part in table.schema[name].dataType.names]
+            columns.append(F.date_format(column, TEXT_DATE).alias(field.name))
+        elif kind == "struct":
+            columns += [column[part].alias(f"{field.name}_{part}") for part in field.dataType.names]
         else:
             columns.append(column)
     return table.select(*columns)

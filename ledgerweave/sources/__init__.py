@@ -2,6 +2,7 @@
 
 from ledgerweave.sources.ledger import (
     ORDINAL,
+    TableLocation,
     conform,
     load,
     normalise_columns,
@@ -13,6 +14,7 @@ from ledgerweave.sources.quality import SchemaViolations, require_valid, schema_
 __all__ = [
     "ORDINAL",
     "SchemaViolations",
+    "TableLocation",
     "conform",
     "load",
     "normalise_columns",

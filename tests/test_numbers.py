@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,7 +50,11 @@ def test_spellings(spark):
         ("double", 100.0, "100"),
         ("double", 1.5, "1.5"),
         ("double", None, None),
+        ("double", float("nan"), None),
         ("float", 7.0, "7"),
+        ("float", 1.5, "1.5"),
+        ("decimal(38,2)", Decimal("12345678901234567890.00"), "12345678901234567890"),
+        ("decimal(5,2)", Decimal("1.50"), "1.50"),
         ("int", 42, "42"),
         ("bigint", 12345678901234567, "12345678901234567"),
         ("string", "0100", "0100"),

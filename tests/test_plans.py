@@ -5,7 +5,7 @@ from frames import ledger, rows
 from pyspark.sql import functions as F
 
 from ledgerweave import CC, GL, FilterRules, merge_plan, run_component
-from ledgerweave.plans import TABLE_NAMES, config_echo, materialise, run_summary, write_tables
+from ledgerweave.plans import TABLE_NAMES, Sink, config_echo, materialise, run_summary
 
 SPEC = {
     "sources": [{"datalib": "ERP", "company": 1}, {"datalib": "ERP", "company": 2}],
@@ -119,24 +119,24 @@ def test_a_run_writes_eleven_tables_once(spark, tmp_path):
         run_component(accounts(spark), GL, out=out)
 
 
-def test_text_results_show_days(spark, tmp_path):
+@pytest.mark.parametrize("format", ["csv", "json"])
+def test_text_runs(spark, tmp_path, format):
     frame = accounts(spark).withColumn("_ord", F.struct(F.lit("f").alias("file"), "_ord"))
-    write_tables({"Cleaned": frame}, str(tmp_path), names={"Cleaned": "out"}, format="csv")
-    found = spark.read.option("header", True).csv(f"{tmp_path}/out")
-    assert {r.LASTUSED_DATE for r in found.collect()} == {"15-01-2024"}
-    assert {r._ord_file for r in found.collect()} == {"f"}
+    run_component(frame, GL, run_ts="t", out=str(tmp_path), format=format)
+    folder = tmp_path / "GL_output_t"
+    assert len(list(folder.iterdir())) == 11
+    reader = spark.read.option("header", True).format(format)
+    found = reader.load(f"{folder}/GL_Cleaned").collect()
+    assert {r.LASTUSED_DATE for r in found} == {"15-01-2024"}
+    assert {r._ord_file for r in found} == {"f"}
+    assert reader.load(f"{folder}/GL_Create").first().ACCOUNT == "4000"
 
 
 def test_sorted_results(spark, tmp_path):
-    paths = write_tables(
-        {"t": spark.range(50).select((F.col("id") * 37 % 50).alias("n")).repartition(4)},
-        str(tmp_path),
-        order={"t": ["n"]},
-    )
-    parts = sorted((tmp_path / "t").glob("*.parquet"))
-    found = [r.n for p in parts for r in spark.read.parquet(str(p)).collect()]
-    assert paths == {"t": f"{tmp_path}/t"}
-    assert found == list(range(50))
+    table = spark.range(50).select((F.col("id") * 37 % 50).alias("n")).repartition(4)
+    Sink(str(tmp_path), {"t": "T"}).write("t", table, ["n"])
+    parts = sorted((tmp_path / "T").glob("*.parquet"))
+    assert [r.n for p in parts for r in spark.read.parquet(str(p)).collect()] == list(range(50))
 
 
 def test_merge_plan(spark, tmp_path):

@@ -162,3 +162,21 @@ def test_conform_needs_no_shuffle_and_no_python(spark):
     plan = ledger._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "Python" not in plan
+
+
+def test_conform_works_on_a_stream(spark, tmp_path):
+    delivered(spark).withColumn("_ord", F.monotonically_increasing_id()).write.parquet(
+        f"{tmp_path}/in"
+    )
+    batch = spark.read.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(batch.schema).parquet(f"{tmp_path}/in")
+    query = (
+        conform(stream, GL, RENAMES, check=False)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{tmp_path}/state")
+        .trigger(availableNow=True)
+        .start(f"{tmp_path}/out")
+    )
+    query.awaitTermination(60)
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert {r.ENV for r in found.collect()} == {"L1-1", "L2-2"}
