@@ -2,30 +2,32 @@
 
 A gap is a ``(DESC_KEY, ENV)`` without a row. There are up to (descriptions x
 environments) of them, far more than ledger rows, so everything a gap needs is
-joined while there is still one row per description; the gaps are exploded last
-and never shuffled. Arrays of environments are cut into chunks, so their length
-depends neither on the number of environments nor on the data.
+joined while there is still one row per description and chunk of environments;
+the gaps are exploded last and never shuffled.
 """
 
 from __future__ import annotations
 
-import math
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.numbers import as_double, format_double, format_number
-from ledgerweave.functions.text import env_company, env_datalib, or_null_text
+from ledgerweave.functions.text import or_null_text
+from ledgerweave.operators.axis import (
+    BIT,
+    BROADCAST_LIMIT,
+    CHUNK,
+    CHUNK_SIZE,
+    Axis,
+    distributed_axis,
+    entry,
+    has,
+    named_axis,
+    single,
+)
 from ledgerweave.operators.joins import shuffle_anew
-from ledgerweave.operators.presence import presence_cells
-
-CHUNK = "_chunk"
-CHUNK_SIZE = 256
-# Up to this many environments their list is small enough to broadcast.
-BROADCAST_LIMIT = 50_000
 
 # Action types and reasons.
 CREATE, REVIEW = "Create", "Review"
@@ -34,28 +36,6 @@ TAKEN_SAME = "Nummer bestaat al in target voor dezelfde omschrijving"
 TAKEN_OTHER = "Nummer bestaat al in target voor andere omschrijving"
 
 
-class Axis(NamedTuple):
-    """The environments ``(ENV, _max)`` with the highest number of each.
-
-    ``names`` lists them while they are few, otherwise it is ``None`` and they are
-    only a distributed table.
-    """
-
-    frame: DataFrame
-    chunks: int
-    names: list[str] | None
-
-    def chunk(self) -> Column:
-        """Chunk number of column ``ENV``."""
-        if self.chunks == 1:
-            return F.lit(0)
-        return F.pmod(F.xxhash64("ENV"), F.lit(self.chunks)).cast("int")
-
-    def side(self, df: DataFrame) -> DataFrame:
-        """``df``, at most one row per environment, as the small side of a join."""
-        return df if self.names is None else F.broadcast(df)
-
-
 def environment_axis(
     cleaned: DataFrame,
     comp: Component,
@@ -63,9 +43,10 @@ def environment_axis(
     chunk_size: int = CHUNK_SIZE,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> Axis:
-    """Count the environments, in one job over two columns of the ledger.
+    """The environments of the ledger (and of ``gaps``), with the highest number of each.
 
-    Few of them come back as a local table, so that the plan does not compute
+    Takes one job over two columns of the ledger. Up to ``broadcast_limit``
+    environments come back as a local table, so that the plan does not compute
     them again; otherwise they stay a distributed one.
     """
     frame = cleaned.groupBy("ENV").agg(F.max(as_double(F.col(comp.number))).alias("_max"))
@@ -74,9 +55,9 @@ def environment_axis(
         frame = frame.unionByName(lone).groupBy("ENV").agg(F.max("_max").alias("_max"))
     rows = frame.limit(broadcast_limit + 1).collect()
     if len(rows) > broadcast_limit:
-        return Axis(frame, max(2, math.ceil(frame.count() / chunk_size)), None)
-    local = cleaned.sparkSession.createDataFrame(rows, "ENV string, _max double")
-    return Axis(local, max(1, math.ceil(len(rows) / chunk_size)), [row.ENV for row in rows])
+        return distributed_axis(frame, chunk_size)
+    found = sorted(map(tuple, rows))
+    return named_axis(cleaned.sparkSession, found, "ENV string, _max double", chunk_size)
 
 
 def gap_actions(
@@ -102,142 +83,123 @@ def gap_actions(
     """
     axis = environment_axis(cleaned, comp, gaps, chunk_size, broadcast_limit)
     if cells is None:
-        cells = presence_cells(cleaned, comp, ordinal)
-    described = _inherited(cells, comp, gaps, axis)
+        described = _described(cleaned, comp, axis, F.col("ENV"), F.col(ordinal))
+    else:
+        described = _described(cells, comp, axis, F.col("ENV"))
+    wanted = _lacking(described, axis) if gaps is None else _given(described, axis, gaps)
     taken = _taken(cleaned, comp, axis, ordinal, rivals=1 if gaps is None else 2)
-    found = described.join(
-        shuffle_anew(taken, comp.number), [comp.number, CHUNK], "left"
-    ).select("*", F.explode("_missing").alias("ENV"))
 
-    holders = F.try_element_at("_taken", F.col("ENV"))
-    rival = F.get(F.filter(holders["by"], lambda h: h["DESC_KEY"] != F.col("DESC_KEY")), 0)
-    return _worded(
-        found.withColumns(
-            {
-                "_used": holders.isNotNull(),
-                "_rival": rival,
-                "_next": holders["next"],
-            }
-        ),
-        comp,
+    joined = wanted.join(shuffle_anew(taken, comp.number), [comp.number, CHUNK], "left")
+    bit = F.col(BIT)
+    found = (
+        axis.with_names(_phrased(joined, comp))
+        .select("*", F.posexplode("_names").alias(BIT, "_env"))
+        .filter(has(F.col("_missing"), bit))
+        .select("*", "_env.*", entry(F.col("_users"), F.col("_taken"), bit).alias("_user"))
     )
+    return _worded(found, comp)
 
 
-def _inherited(
-    cells: DataFrame, comp: Component, gaps: DataFrame | None, axis: Axis
-) -> DataFrame:
-    """Per description and chunk: inherited attributes and the missing environments."""
-    attributes = [name for name in comp.attributes if name in cells.columns]
-    firsts = [
-        first_by(F.col(name), F.col("ENV"))["value"].alias(name) for name in attributes
-    ]
-    listed = F.collect_list("ENV")
+def _described(source: DataFrame, comp: Component, axis: Axis, *order: Column) -> DataFrame:
+    """Per description: inherited attributes, and its environments as sets by chunk."""
+    attributes = [name for name in comp.attributes if name in source.columns]
+    by_chunk = (
+        axis.locate(source)
+        .groupBy("DESC_KEY", CHUNK)
+        .agg(
+            F.bit_or(single(F.col(BIT))).alias("_held"),
+            *(first_by(F.col(name), *order).alias(name) for name in attributes),
+        )
+    )
+    held = F.map_from_entries(F.collect_list(F.struct(CHUNK, "_held")))
+    return by_chunk.groupBy("DESC_KEY").agg(
+        held.alias("_held"), *(F.min(name)["value"].alias(name) for name in attributes)
+    )
 
-    if gaps is not None:
-        wanted = gaps.groupBy("DESC_KEY", axis.chunk().alias(CHUNK)).agg(listed.alias("_missing"))
-        return wanted.join(cells.groupBy("DESC_KEY").agg(*firsts), "DESC_KEY", "left")
 
-    if axis.chunks == 1:
-        held = (
-            cells.groupBy("DESC_KEY")
-            .agg(*firsts, listed.alias("_held"))
-            .withColumn(CHUNK, F.lit(0))
-            .withColumn("_all", F.array(*map(F.lit, axis.names)).cast("array<string>"))
-        )
-    else:
-        everywhere = axis.frame.groupBy(axis.chunk().alias(CHUNK)).agg(listed.alias("_all"))
-        held = (
-            _held_by_chunk(cells, axis)
-            .join(cells.groupBy("DESC_KEY").agg(*firsts), "DESC_KEY")
-            .join(axis.side(everywhere), CHUNK)
-        )
+def _lacking(described: DataFrame, axis: Axis) -> DataFrame:
+    """Per description and chunk: the environments without the description."""
+    held = F.coalesce(F.try_element_at("_held", F.col(CHUNK)), F.lit(0))
     return (
-        held.withColumn("_missing", F.array_except("_all", "_held"))
-        .drop("_all", "_held")
-        .filter(F.size("_missing") > 0)
+        described.withColumn(CHUNK, F.explode(F.sequence(F.lit(0), F.lit(axis.chunks - 1))))
+        .withColumn("_missing", axis.full().bitwiseAND(F.bitwise_not(held)))
+        .drop("_held")
+        .filter(F.col("_missing") != 0)
     )
 
 
-def _held_by_chunk(cells: DataFrame, axis: Axis) -> DataFrame:
-    """Environments that have a description, per chunk; chunks without any included."""
-    marks = cells.select("DESC_KEY", axis.chunk().alias(CHUNK), "ENV")
-    every_chunk = (
-        cells.select("DESC_KEY")
-        .distinct()
-        .select(
-            "DESC_KEY",
-            F.explode(F.sequence(F.lit(0), F.lit(axis.chunks - 1))).alias(CHUNK),
-            F.lit(None).cast("string").alias("ENV"),
-        )
-    )
+def _given(described: DataFrame, axis: Axis, gaps: DataFrame) -> DataFrame:
+    """Per description and chunk: the environments that ``gaps`` names."""
     return (
-        marks.unionByName(every_chunk)
+        axis.locate(gaps.select("DESC_KEY", "ENV"))
         .groupBy("DESC_KEY", CHUNK)
-        .agg(F.collect_list("ENV").alias("_held"))
+        .agg(F.bit_or(single(F.col(BIT))).alias("_missing"))
+        .join(described.drop("_held"), "DESC_KEY", "left")
     )
 
 
 def _taken(
     cleaned: DataFrame, comp: Component, axis: Axis, ordinal: str, rivals: int
 ) -> DataFrame:
-    """Per number and chunk, a map from environment to who uses the number there.
+    """Per number and chunk: the environments that use it, and who does there.
 
-    Each entry lists the first ``rivals`` descriptions and the next free number.
+    A user entry lists the first ``rivals`` descriptions and the next free number.
     One is enough for gaps of the ledger itself: no description that has the
     number in an environment is missing there. Reducing every ``(ENV, number)`` to
     a row first keeps popular numbers from multiplying gaps.
     """
     place = ["ENV", comp.number]
+    holder = F.min(F.struct(F.col(ordinal).alias("at"), "DESC_KEY", "DESCRIPTION")).alias("_first")
     used = cleaned.filter(F.col(comp.number).isNotNull())
     if rivals == 1:
-        holders = used.groupBy(*place).agg(_holder(F.col(ordinal)).alias("_first"))
-        holders = holders.select(*place, F.array("_first").alias("by"))
+        users = used.groupBy(*place).agg(holder).select(*place, F.array("_first").alias("by"))
     else:
         # Ranked per map task before the shuffle, so a popular number stays small.
-        rank = F.row_number().over(Window.partitionBy(*place).orderBy("_holder"))
-        holders = (
+        rank = F.row_number().over(Window.partitionBy(*place).orderBy("_first"))
+        users = (
             used.groupBy(*place, "DESC_KEY")
-            .agg(_holder(F.col(ordinal)).alias("_holder"))
-            .withColumn("_rank", rank)
+            .agg(holder)
+            .select(*place, "_first", rank.alias("_rank"))
             .filter(F.col("_rank") <= rivals)
             .groupBy(*place)
-            .agg(F.array_sort(F.collect_list("_holder")).alias("by"))
+            .agg(F.array_sort(F.collect_list("_first")).alias("by"))
         )
     following = format_double(F.col("_max") + 1).alias("next")
-    entry = F.struct("ENV", F.struct("by", following))
     return (
-        holders.join(axis.side(axis.frame), "ENV")
-        .groupBy(comp.number, axis.chunk().alias(CHUNK))
-        .agg(F.map_from_entries(F.collect_list(entry)).alias("_taken"))
+        axis.locate(users, "_max")
+        .groupBy(comp.number, CHUNK)
+        .agg(
+            F.bit_or(single(F.col(BIT))).alias("_taken"),
+            F.array_sort(F.collect_list(F.struct(BIT, "by", following))).alias("_users"),
+        )
     )
 
 
-def _holder(order: Column) -> Column:
-    return F.min(F.struct(order.alias("at"), "DESC_KEY", "DESCRIPTION"))
+def _phrased(described: DataFrame, comp: Component) -> DataFrame:
+    """What the gaps of a description have in common, worked out once for all of them."""
+    number = or_null_text(F.col(comp.number))
+    description = or_null_text(F.col("DESCRIPTION"))
+    words = [F.lit(f" {comp.noun} with "), number, F.lit(" and "), description]
+    if comp.sentence_has_lang:
+        words += [F.lit(" and "), or_null_text(F.col("DESCRIPTION_LANG"))]
+    exists = [F.lit(f" — {comp.noun} "), number, F.lit(" already exists for '"), description]
+    return described.withColumns(
+        {
+            "_shown": format_number(F.col(comp.number)),
+            "_what": F.concat(*words),
+            "_exists": F.concat(*exists, F.lit("'")),
+        }
+    )
 
 
 def _worded(found: DataFrame, comp: Component) -> DataFrame:
     """Action type, reason and sentence of every gap, in the columns of the report."""
+    first, second = F.get("_user.by", 0), F.get("_user.by", 1)
+    rival = F.when(first["DESC_KEY"] != F.col("DESC_KEY"), first).otherwise(second)
+    found = found.withColumns({"_used": F.col("_user").isNotNull(), "_rival": rival})
     collision = F.col("_rival").isNotNull()
     aligned = F.col("_used") & ~collision
     kind = F.when(F.col("_used"), F.lit(REVIEW)).otherwise(F.lit(CREATE))
-    number = or_null_text(F.col(comp.number))
-    description = or_null_text(F.col("DESCRIPTION"))
-    lang = or_null_text(F.col("DESCRIPTION_LANG"))
-
-    words = [kind, F.lit(" in "), "ENV", F.lit(f" {comp.noun} with "), number]
-    words += [F.lit(" and "), description]
-    if comp.sentence_has_lang:
-        words += [F.lit(" and "), lang]
-    verify = F.concat(
-        F.lit(f"Verify {comp.verify_what} in "),
-        "ENV",
-        F.lit(f" — {comp.noun} "),
-        number,
-        F.lit(" already exists for '"),
-        description,
-        F.lit("'"),
-    )
     category = [comp.category] if comp.category else []
     return found.select(
         kind.alias("ActionType"),
@@ -246,13 +208,15 @@ def _worded(found: DataFrame, comp: Component) -> DataFrame:
         .otherwise(F.lit(FREE))
         .alias("Reason"),
         "ENV",
-        env_datalib(F.col("ENV")).alias("DATALIB"),
-        env_company(F.col("ENV")).alias("COMPANY"),
+        "DATALIB",
+        "COMPANY",
         "DESCRIPTION",
         "DESCRIPTION_LANG",
-        format_number(F.col(comp.number)).alias(comp.number),
+        F.col("_shown").alias(comp.number),
         *category,
         F.coalesce(F.col("_rival.DESCRIPTION"), F.lit("")).alias("Conflicting_Description"),
-        F.when(collision, F.col("_next")).alias("Suggested_Number"),
-        F.when(aligned, verify).otherwise(F.concat(*words)).alias("Action"),
+        F.when(collision, F.col("_user.next")).alias("Suggested_Number"),
+        F.when(aligned, F.concat(F.lit(f"Verify {comp.verify_what} in "), "ENV", "_exists"))
+        .otherwise(F.concat(kind, F.lit(" in "), "ENV", "_what"))
+        .alias("Action"),
     )

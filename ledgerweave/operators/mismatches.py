@@ -15,21 +15,20 @@ DETAILS_PER_ROW = 10_000
 
 
 def mismatch_details(
-    cleaned: DataFrame, value: Column, detail: Column, ordinal: str = "_ord"
+    cleaned: DataFrame, column: str, value: Column, ordinal: str = "_ord"
 ) -> DataFrame:
-    """The findings in long form: one row per distinct ``DETAIL`` of a description.
+    """The findings in long form: one row per distinct value and environment of a description.
 
-    Columns ``DESC_KEY, VALUE, DETAIL`` and ``_seen``, the first position of the
-    detail with the description there; rows that have a description come first.
-    Rows without a value take no part.
+    ``value`` is the form of ``column`` that counts, null only where that is null.
+    Columns ``DESC_KEY, VALUE, ENV`` and ``_seen``, the first position with the
+    description there; rows that have a description come first.
     """
     seen = F.struct(
         F.col("DESCRIPTION").isNull().alias("bare"), F.col(ordinal).alias("at"), "DESCRIPTION"
     )
     return (
-        cleaned.withColumn("VALUE", value)
-        .filter(F.col("VALUE").isNotNull())
-        .groupBy("DESC_KEY", "VALUE", detail.alias("DETAIL"))
+        cleaned.filter(F.col(column).isNotNull())
+        .groupBy("DESC_KEY", value.alias("VALUE"), "ENV")
         .agg(F.min(seen).alias("_seen"))
     )
 
@@ -41,13 +40,10 @@ def number_mismatches(
     details_per_row: int = DETAILS_PER_ROW,
 ) -> DataFrame:
     """``DESCRIPTION, Details`` where one description has several numbers."""
-    details = mismatch_details(
-        cleaned,
-        format_number(F.col(comp.number)),
-        F.concat("VALUE", F.lit(" ("), "ENV", F.lit(")")),
-        ordinal,
-    )
-    return _report(details, ", ", details_per_row)
+    number = format_number(F.col(comp.number))
+    details = mismatch_details(cleaned, comp.number, number, ordinal)
+    detail = F.concat("VALUE", F.lit(" ("), "ENV", F.lit(")"))
+    return _report(details, detail, ", ", details_per_row)
 
 
 def type_mismatches(
@@ -62,16 +58,13 @@ def type_mismatches(
     """
     if comp.category is None:
         return cleaned.sparkSession.createDataFrame([], "DESCRIPTION string, Details string")
-    details = mismatch_details(
-        cleaned,
-        strip(null_like_to_null(F.col(comp.category))),
-        F.concat("VALUE", F.lit(": "), "ENV"),
-        ordinal,
-    )
-    return _report(details, " | ", details_per_row)
+    category = F.col(comp.category)
+    typed = cleaned.filter(null_like_to_null(category).isNotNull())
+    details = mismatch_details(typed, comp.category, strip(category), ordinal)
+    return _report(details, F.concat("VALUE", F.lit(": "), "ENV"), " | ", details_per_row)
 
 
-def _report(details: DataFrame, separator: str, details_per_row: int) -> DataFrame:
+def _report(details: DataFrame, detail: Column, separator: str, details_per_row: int) -> DataFrame:
     """One text per description with more than one value, details in input order.
 
     A description with very many details gets several rows (see
@@ -79,12 +72,13 @@ def _report(details: DataFrame, separator: str, details_per_row: int) -> DataFra
     """
     differ = F.min("VALUE") < F.max("VALUE")
     description = F.min("_seen")["DESCRIPTION"]
-    entry = F.struct(F.col("_seen.at"), "DETAIL")
+    entry = F.struct(F.col("_seen.at"), detail.alias("detail"))
+    texts = F.array_distinct(F.array_sort(F.collect_list(entry))["detail"])
     return (
         slice_large_groups(
             details,
             "DESC_KEY",
-            F.col("DETAIL"),
+            detail,
             details_per_row,
             _differ=differ,
             _description=description,
@@ -93,7 +87,7 @@ def _report(details: DataFrame, separator: str, details_per_row: int) -> DataFra
         .agg(
             F.coalesce(F.first("_differ"), differ).alias("_differ"),
             F.coalesce(F.first("_description"), description).alias("DESCRIPTION"),
-            F.array_sort(F.collect_list(entry))["DETAIL"].alias("_texts"),
+            texts.alias("_texts"),
         )
         .filter("_differ")
         .select("DESCRIPTION", F.array_join("_texts", separator).alias("Details"))

@@ -6,11 +6,15 @@ The wide matrices have one column set per environment and are made from it.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by, first_value
+from ledgerweave.operators.axis import BIT, CHUNK, Axis, entry, has, named_axis, single
 from ledgerweave.operators.joins import shuffle_anew
 
 CELL = ("DESC_KEY", "ENV")
@@ -66,9 +70,10 @@ def environments(cells: DataFrame, limit: int = WIDE_LIMIT) -> list[str]:
 
 
 def presence_binary(cells: DataFrame, envs: list[str]) -> DataFrame:
-    """``DESC_KEY`` and a 0/1 column per environment."""
-    counted = cells.groupBy("DESC_KEY").pivot("ENV", envs).agg(F.count(F.lit(1)))
-    return counted.select("DESC_KEY", *(_mark(_column(env)).alias(env) for env in envs))
+    """``DESC_KEY`` and a 0/1 column for each of the :func:`environments` of ``cells``."""
+    axis = named_axis(cells.sparkSession, [(env,) for env in envs])
+    wide = _by_chunk(cells, axis, {})
+    return wide.select("DESC_KEY", *_marks(envs, axis))
 
 
 def language_variants(cleaned: DataFrame) -> DataFrame:
@@ -85,31 +90,37 @@ def presence_enriched(
     number column, and with ``languages`` (the :func:`language_variants` of the
     same ledger) one row per language variant of a description.
     """
-    kept = {"n": F.count(F.lit(1)), "d": F.first("_described"), "num": F.first(comp.number)}
-    if comp.category:
-        kept["cat"] = F.first(comp.category)
-    wide = (
-        cells.groupBy("DESC_KEY")
-        .pivot("ENV", envs)
-        .agg(*(value.alias(name) for name, value in kept.items()))
+    axis = named_axis(cells.sparkSession, [(env,) for env in envs])
+    values = [name for name in (comp.number, comp.category) if name]
+    wide = _by_chunk(
+        cells,
+        axis,
+        {
+            "_values": F.array_sort(F.collect_list(F.struct(BIT, *values))),
+            "_described": F.min("_described"),
+        },
     )
 
-    def across(name: str) -> list[Column]:
-        return [_column(f"{env}_{name}") for env in envs]
+    def across(name: str, prefix: str) -> list[Column]:
+        return [
+            entry(_part("_values", chunk), _part("_set", chunk), F.lit(bit))[name].alias(
+                f"{prefix}{env}"
+            )
+            for env, chunk, bit in _places(envs, axis)
+        ]
 
-    marks = [_mark(count) for count in across("n")]
-    present = F.size(F.filter(F.array(*marks), lambda mark: mark == 1)).cast("bigint")
-    numbers = [
-        number.alias(f"{comp.number_prefix}{env}") for env, number in zip(envs, across("num"))
+    counts = [
+        F.coalesce(F.bit_count(_part("_set", chunk)), F.lit(0)) for chunk in range(axis.chunks)
     ]
+    present = reduce(add, counts).cast("bigint")
+    described = F.array_min(
+        F.array(*(_part("_described", chunk) for chunk in range(axis.chunks)))
+    )
+    numbers = across(comp.number, comp.number_prefix)
     totals = [present.alias("Count_Present"), _share(present, F.lit(len(envs))).alias("Pct_Present")]
-    lead = [
-        F.array_min(F.array(*across("d")))["value"].alias("DESCRIPTION"),
-        *(mark.alias(env) for env, mark in zip(envs, marks)),
-    ]
+    lead = [described["value"].alias("DESCRIPTION"), *_marks(envs, axis)]
     if comp.category:
-        categories = [cat.alias(f"Type_{env}") for env, cat in zip(envs, across("cat"))]
-        pairs = [column for pair in zip(numbers, categories) for column in pair]
+        pairs = [c for pair in zip(numbers, across(comp.category, "Type_")) for c in pair]
         return wide.select("DESC_KEY", *lead, *pairs, *totals)
     if languages is None:
         return wide.select("DESC_KEY", *lead, *totals, *numbers)
@@ -120,13 +131,44 @@ def presence_enriched(
     )
 
 
-def _mark(count: Column) -> Column:
-    return (F.coalesce(count, F.lit(0)) > 0).cast("int")
+def _by_chunk(cells: DataFrame, axis: Axis, aggregates: dict[str, Column]) -> DataFrame:
+    """One row per description with a set of environments, and ``aggregates``, per chunk.
+
+    Only chunks are pivoted, one for 63 environments; the columns of the single
+    environments are then read off the sets.
+    """
+    named = {"_set": F.bit_or(single(F.col(BIT))), **aggregates}
+    return (
+        axis.locate(cells)
+        .groupBy("DESC_KEY", CHUNK)
+        .agg(*(value.alias(name) for name, value in named.items()))
+        .groupBy("DESC_KEY")
+        .agg(
+            *(
+                F.first(F.when(F.col(CHUNK) == chunk, F.col(name)), ignorenulls=True).alias(
+                    f"{name}_{chunk}"
+                )
+                for chunk in range(axis.chunks)
+                for name in named
+            )
+        )
+    )
+
+
+def _part(name: str, chunk: int) -> Column:
+    return F.col(f"{name}_{chunk}")
 
 
-def _share(present: Column, environment_count: Column) -> Column:
-    return F.bround(present / F.greatest(environment_count, F.lit(1)) * 100, 1)
+def _places(envs: list[str], axis: Axis) -> list[tuple[str, int, int]]:
+    return [(env, *divmod(i, axis.chunk_size)) for i, env in enumerate(envs)]
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _marks(envs: list[str], axis: Axis) -> list[Column]:
+    return [
+        has(_part("_set", chunk), F.lit(bit)).cast("int").alias(env)
+        for env, chunk, bit in _places(envs, axis)
+    ]
+
+
+def _share(present: Column, environment_count: Column) -> Column:
+    return F.bround(present / F.greatest(environment_count, F.lit(1)) * 100, 1)

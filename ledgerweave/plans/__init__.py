@@ -1,10 +1,10 @@
 """Whole runs: one component end to end, a merge plan, and their result tables."""
 
-from ledgerweave.plans.materialise import materialise
 from ledgerweave.plans.merge_plan import merge_plan
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
 from ledgerweave.plans.run import ComponentResult, run_component
 from ledgerweave.plans.sink import TABLE_NAMES, Sink
+from ledgerweave.storage import materialise
 
 __all__ = [
     "ComponentResult",

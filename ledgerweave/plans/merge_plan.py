@@ -15,7 +15,7 @@ from ledgerweave.operators.merge import (
     number_folds,
     unify,
 )
-from ledgerweave.plans.materialise import materialise
+from ledgerweave.storage import materialise
 from ledgerweave.plans.report import config_echo
 from ledgerweave.plans.sink import Sink
 

@@ -19,7 +19,7 @@ from ledgerweave.operators.presence import (
     presence_cells,
     presence_enriched,
 )
-from ledgerweave.plans.materialise import materialise
+from ledgerweave.storage import materialise
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
 from ledgerweave.plans.sink import TABLE_NAMES, Sink
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import CC, GL
-from ledgerweave.plans.materialise import materialise
+from ledgerweave.storage import materialise
 
 # Result names and the tables they are written to.
 TABLE_NAMES = {

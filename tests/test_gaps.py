@@ -210,5 +210,5 @@ def test_gaps_and_present_cells_make_the_grid(spark):
 def test_gaps_are_never_shuffled_nor_crossed(spark):
     frame = ledger(spark, GL, random_entries(1, GL, envs=9))
     plan = gap_actions(frame, GL)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan.split("Generate explode")[0]
+    assert "Exchange" not in plan.split("Generate posexplode")[0]
     assert "Cartesian" not in plan and "NestedLoop" not in plan
