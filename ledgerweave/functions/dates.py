@@ -28,8 +28,10 @@ def parse_last_used(c: Column, data_type: str, date_formats: Sequence[str] = ())
     if data_type in ("date", "timestamp", "timestamp_ntz"):
         return c.cast("timestamp_ntz")
 
+    text = strip(c.cast("string"))
     # Columns with blanks often arrive as floats: 20240115.0 means 20240115.
-    text = F.regexp_replace(strip(c.cast("string")), r"^([0-9]+)\.0$", "$1")
+    whole = F.regexp_replace(text, r"\.0$", "")
+    text = F.when(text.endswith(".0") & _all_digits(whole), whole).otherwise(text)
     century = F.when(F.substring(text, 1, 2) >= CENTURY_PIVOT, F.lit("19")).otherwise(F.lit("20"))
     serial = text.try_cast("int")
     free = F.coalesce(
@@ -41,16 +43,13 @@ def parse_last_used(c: Column, data_type: str, date_formats: Sequence[str] = ())
     )
     parsed = (
         F.when(F.lower(text).isin(*BLANK_DATES), None)
-        .when(text.rlike("^[0-9]{6}$"), _calendar_day(F.concat(century, text)))
-        .when(text.rlike("^[0-9]{8}$"), _calendar_day(text))
+        .when(~_all_digits(text), free)
+        .when(F.length(text) == 6, _calendar_day(F.concat(century, text)))
+        .when(F.length(text) == 8, _calendar_day(text))
         .when(
-            text.rlike("^[0-9]+$"),
-            F.when(
-                serial.between(SERIAL_FIRST, SERIAL_LAST),
-                F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), serial).cast("timestamp_ntz"),
-            ),
+            serial.between(SERIAL_FIRST, SERIAL_LAST),
+            F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), serial).cast("timestamp_ntz"),
         )
-        .otherwise(free)
     )
     inside = parsed.between(
         F.lit(EARLIEST).cast("timestamp_ntz"), F.lit(LATEST).cast("timestamp_ntz")
@@ -58,5 +57,9 @@ def parse_last_used(c: Column, data_type: str, date_formats: Sequence[str] = ())
     return F.when(inside, parsed)
 
 
+def _all_digits(text: Column) -> Column:
+    return F.translate(text, "0123456789", "") == ""
+
+
 def _calendar_day(text: Column) -> Column:
     return F.try_to_date(text, "yyyyMMdd").cast("timestamp_ntz")

@@ -25,6 +25,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, _SPACE_RUN, " "))
 
 
+def is_blank(c: Column) -> Column:
+    """Whether ``c`` is empty but for white space; null for null."""
+    return ~c.rlike(f"(?U)(?!{_SPACE})(?s:.)")
+
+
 def strip(c: Column) -> Column:
     """``c`` without white space at either end."""
     return F.regexp_replace(c, _EDGE_SPACE, "")
@@ -90,7 +95,8 @@ def canonical_key(c: Column) -> Column:
     dropped = [char for char, folded in single.items() if not folded]
     folded = F.translate(expanded, "".join(kept + dropped), "".join(single[ch] for ch in kept))
 
-    plain = F.when(text.rlike(r"[^\x00-\x7f]"), folded).otherwise(F.lower(text))
+    foreign = F.octet_length(text) > F.length(text)
+    plain = F.when(foreign, folded).otherwise(F.lower(text))
     return F.trim(F.regexp_replace(plain, "[^0-9a-z]+", " "))
 
 

@@ -302,7 +302,7 @@ def merge_mappings(
         .filter(F.col("DESC_KEY").isNotNull())
         .groupBy("ENV", "DESCRIPTION", comp.number)
         .agg(F.min(F.struct(ordinal, "DATALIB", "COMPANY", "DESC_KEY")).alias("_first"))
-        .select("ENV", "DESCRIPTION", comp.number, "_first.DATALIB", "_first.COMPANY", "_first.DESC_KEY")
+        .select("ENV", "DESCRIPTION", comp.number, "_first.*")
     )
     canonical = F.col(f"{comp.number}_CANONICAL")
     same = same_value(F.col(comp.number), canonical)

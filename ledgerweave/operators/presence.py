@@ -117,7 +117,8 @@ def presence_enriched(
         F.array(*(_part("_described", chunk) for chunk in range(axis.chunks)))
     )
     numbers = across(comp.number, comp.number_prefix)
-    totals = [present.alias("Count_Present"), _share(present, F.lit(len(envs))).alias("Pct_Present")]
+    share = _share(present, F.lit(len(envs)))
+    totals = [present.alias("Count_Present"), share.alias("Pct_Present")]
     lead = [described["value"].alias("DESCRIPTION"), *_marks(envs, axis)]
     if comp.category:
         pairs = [c for pair in zip(numbers, across(comp.category, "Type_")) for c in pair]

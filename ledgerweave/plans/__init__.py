@@ -3,17 +3,17 @@
 from ledgerweave.plans.merge_plan import merge_plan
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
 from ledgerweave.plans.run import ComponentResult, run_component
-from ledgerweave.plans.sink import TABLE_NAMES, Sink
+from ledgerweave.plans.sink import Sink, table_names
 from ledgerweave.storage import materialise
 
 __all__ = [
     "ComponentResult",
     "Sink",
-    "TABLE_NAMES",
     "config_echo",
     "filter_summary",
     "materialise",
     "merge_plan",
     "run_component",
     "run_summary",
+    "table_names",
 ]

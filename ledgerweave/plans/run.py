@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
@@ -21,7 +21,7 @@ from ledgerweave.operators.presence import (
 )
 from ledgerweave.storage import materialise
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
-from ledgerweave.plans.sink import TABLE_NAMES, Sink
+from ledgerweave.plans.sink import Sink, table_names
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,13 @@ def run_component(
     *,
     run_ts: str | None = None,
     out: str | None = None,
+    names: Mapping[str, str] | None = None,
     format: str = "parquet",
 ) -> ComponentResult:
     """Filter, compare and report one conformed ledger, or a function returning it.
 
-    With ``out`` eleven tables are written below ``<out>/<component>_output_<run_ts>``;
-    without it nothing but intermediates is.
+    With ``out`` eleven tables are written below ``<out>/<component>_output_<run_ts>``,
+    under other ``names`` where given; without it nothing but intermediates is.
 
     What several results read is stored once: the ledger of a loader function, the
     kept rows and the presence cells. A ledger given as a DataFrame is read three
@@ -67,7 +68,7 @@ def run_component(
         return _results(raw, split, materialise(split.cleaned), comp)
 
     folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
-    sink = Sink(folder, TABLE_NAMES[comp.code], format)
+    sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
     result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp)
     _write(result, sink, comp, rules, run_ts)
     return result

@@ -7,42 +7,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.component import CC, GL
+from ledgerweave.component import Component
 from ledgerweave.storage import materialise
 
-# Result names and the tables they are written to.
-TABLE_NAMES = {
-    GL.code: {
-        "Summary": "GL_RunSummary",
-        "Cleaned Data": "GL_Cleaned",
-        "Filtered Out": "GL_Filtered",
-        "Filter Summary": "GL_Summary",
-        "Presence Matrix (binary)": "GL_PresenceBin",
-        "Presence Matrix (enriched)": "GL_Presence",
-        "Create": "GL_Create",
-        "Review": "GL_Review",
-        "Number Mismatches": "GL_NumMismatch",
-        "Type Mismatches": "GL_TypeMismatch",
-        "Config": "GL_Config",
-    },
-    CC.code: {
-        "Summary": "CC_RunSummary",
-        "Cleaned Data": "CC_Cleaned",
-        "Filtered Out": "CC_Filtered",
-        "Filter Summary": "CC_Summary",
-        "Presence Matrix (binary)": "CC_PresenceBin",
-        "Presence Matrix (enriched)": "CC_Presence",
-        "Create": "CC_Create",
-        "Review": "CC_Review",
-        "Number Mismatches": "CC_NumMismatch",
-        "Type Mismatches": "CC_TypeMismatch",
-        "Config": "CC_Config",
-    },
+# Result names and the tables they are written to, after the component code.
+RESULTS = {
+    "Summary": "RunSummary",
+    "Cleaned Data": "Cleaned",
+    "Filtered Out": "Filtered",
+    "Filter Summary": "Summary",
+    "Presence Matrix (binary)": "PresenceBin",
+    "Presence Matrix (enriched)": "Presence",
+    "Create": "Create",
+    "Review": "Review",
+    "Number Mismatches": "NumMismatch",
+    "Type Mismatches": "TypeMismatch",
+    "Config": "Config",
 }
 TEXT_FORMATS = ("csv", "json")
 TEXT_DATE = "dd-MM-yyyy"
 
 
+def table_names(comp: Component) -> dict[str, str]:
+    """The usual table of each result of ``comp``."""
+    return {name: f"{comp.code}_{table}" for name, table in RESULTS.items()}
+
+
 class Sink:
     """Writes result tables below one folder, each under its mapped name.
 

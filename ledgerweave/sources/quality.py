@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
-from ledgerweave.functions.text import strip
+from ledgerweave.functions.text import is_blank
 
 SHOWN_CASES = 10
 
@@ -36,13 +36,12 @@ def _rules(comp: Component) -> list[tuple[str, str, Column]]:
         (name, "not null", F.col(name).isNull()) for name in ("DATALIB", "COMPANY", "DESCRIPTION")
     ]
     rules += [
-        (name, "not blank", F.coalesce(strip(F.col(name).cast("string")) == "", F.lit(False)))
+        (name, "not blank", F.coalesce(is_blank(F.col(name).cast("string")), F.lit(False)))
         for name in ("DATALIB", "DESCRIPTION")
     ]
-    rules += [
-        (name, "J or N", F.coalesce(~F.upper(F.col(name).cast("string")).isin("J", "N"), F.lit(False)))
-        for name in comp.flags
-    ]
+    for name in comp.flags:
+        known = F.upper(F.col(name).cast("string")).isin("J", "N")
+        rules.append((name, "J or N", F.coalesce(~known, F.lit(False))))
     return rules
 
 

@@ -55,7 +55,8 @@ def differences(spark, con, sf_dir: str, name: str) -> tuple[int, list[str]]:
     left, right = Counter(ours), Counter(theirs)
     if left != right:
         wrong.append(
-            f"{len(ours)} rows against {len(theirs)}; only here {list((left - right).items())[:3]}; "
+            f"{len(ours)} rows against {len(theirs)}; "
+            f"only here {list((left - right).items())[:3]}; "
             f"only there {list((right - left).items())[:3]}"
         )
     return len(ours), wrong
@@ -72,7 +73,8 @@ def main() -> None:
             rows, wrong = differences(spark, con, sf_dir, name)
         except Exception as error:  # noqa: BLE001
             rows, wrong = 0, [f"{type(error).__name__}: {str(error)[:600]}"]
-        print(f"{'FAIL' if wrong else 'ok  '} {name:35} {rows:7} {time.time() - start:5.1f}s", *wrong, flush=True)
+        verdict, taken = "FAIL" if wrong else "ok  ", time.time() - start
+        print(f"{verdict} {name:35} {rows:7} {taken:5.1f}s", *wrong, flush=True)
 
 
 if __name__ == "__main__":

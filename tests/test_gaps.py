@@ -119,7 +119,8 @@ def test_several_holders_of_a_number_give_one_row(spark):
     (found,) = [r for r in rows(gap_actions(frame, GL)) if r["DESCRIPTION"] == "c"]
     assert (found["Conflicting_Description"], found["Suggested_Number"]) == ("b", "6")
     given = gaps_of(spark, ("b", "E-1"), ("a", "E-1"), ("c", "E-1"))
-    rivals = {r["DESCRIPTION"]: r["Conflicting_Description"] for r in rows(gap_actions(frame, GL, given))}
+    found = rows(gap_actions(frame, GL, given))
+    rivals = {r["DESCRIPTION"]: r["Conflicting_Description"] for r in found}
     assert rivals == {"b": "a", "a": "b", "c": "b"}
 
 
@@ -189,7 +190,8 @@ def test_against_brute_force(spark, comp, options, given):
     frame = ledger(spark, comp, entries)
     gaps, pairs = None, None
     if given:
-        pairs = sorted({(e["DESC_KEY"], e["ENV"]) for e in entries}) + [("ghost", "L-0"), ("k1", "N-1")]
+        pairs = sorted({(e["DESC_KEY"], e["ENV"]) for e in entries})
+        pairs += [("ghost", "L-0"), ("k1", "N-1")]
         gaps = gaps_of(spark, *pairs)
     found = gap_actions(frame, comp, gaps, **options).select(
         "ENV", comp.number, "ActionType", "Conflicting_Description", "Suggested_Number"

@@ -182,7 +182,8 @@ def test_hot_conflicts_are_split_without_loss(spark):
     assert whole["cold"] == ("1, 2", "t")
 
     parts = rows(conflicts(frame, GL, spec(), values_per_row=40))
-    assert [r for r in parts if r["DESC_KEY"] == "cold"] == [r for r in found if r["DESC_KEY"] == "cold"]
+    cold, whole_cold = ([r for r in f if r["DESC_KEY"] == "cold"] for f in (parts, found))
+    assert cold == whole_cold
     hot = [r for r in parts if r["DESC_KEY"] == "hot"]
     assert len(hot) == 8
     listed = [n for r in hot for n in r["Numbers"].split(", ") if n]
@@ -206,7 +207,8 @@ def test_actions_in_the_target(spark):
         ("Other", "L3-3", "5", None),
         ("nothing", "L3-3", "6", None),
     )
-    found = {r["DESCRIPTION"]: (r["ActionType"], r["Reason"]) for r in rows(actions(frame, GL, spec()))}
+    listed = rows(actions(frame, GL, spec()))
+    found = {r["DESCRIPTION"]: (r["ActionType"], r["Reason"]) for r in listed}
     assert found == {
         "same": ("Review", SAME_IN_TARGET),
         "differs": ("Review", CROSS_CHECK),

@@ -5,7 +5,7 @@ from frames import ledger, rows
 from pyspark.sql import functions as F
 
 from ledgerweave import CC, GL, FilterRules, merge_plan, run_component
-from ledgerweave.plans import TABLE_NAMES, Sink, config_echo, materialise, run_summary
+from ledgerweave.plans import Sink, config_echo, materialise, run_summary, table_names
 
 SPEC = {
     "sources": [{"datalib": "ERP", "company": 1}, {"datalib": "ERP", "company": 2}],
@@ -63,6 +63,17 @@ def test_a_run_returns_all_results(spark):
     assert rows(result.type_mismatches) == []
 
 
+@pytest.mark.parametrize("comp, frame", [(GL, accounts), (CC, cost_centers)], ids=["GL", "CC"])
+def test_a_run_that_keeps_nothing(spark, tmp_path, comp, frame):
+    rules = FilterRules(datalibs=["nowhere"])
+    result = run_component(frame(spark), comp, rules, run_ts="t", out=str(tmp_path))
+    assert result.cleaned.count() == result.actions.count() == 0
+    assert result.presence_binary.columns == ["DESC_KEY"]
+    assert result.presence_enriched.count() == 0
+    stored = spark.read.parquet(f"{tmp_path}/{comp.code}_output_t/{comp.code}_RunSummary")
+    assert {r.Metric: r.Value for r in stored.collect()}["Environments"] == "0"
+
+
 def test_summary(spark):
     result = run_component(accounts(spark), GL)
     found = run_summary(
@@ -104,7 +115,7 @@ def test_a_run_writes_eleven_tables_once(spark, tmp_path):
     out = str(tmp_path)
     run_component(accounts(spark), GL, run_ts="20240601_120000", out=out)
     folder = tmp_path / "GL_output_20240601_120000"
-    assert {p.name for p in folder.iterdir()} == set(TABLE_NAMES["GL"].values())
+    assert {p.name for p in folder.iterdir()} == set(table_names(GL).values())
     assert spark.read.parquet(f"{folder}/GL_Create").count() == 1
     assert spark.read.parquet(f"{folder}/GL_Review").count() == 0
     summary = spark.read.parquet(f"{folder}/GL_RunSummary").collect()
@@ -122,14 +133,15 @@ def test_a_run_writes_eleven_tables_once(spark, tmp_path):
 @pytest.mark.parametrize("format", ["csv", "json"])
 def test_text_runs(spark, tmp_path, format):
     frame = accounts(spark).withColumn("_ord", F.struct(F.lit("f").alias("file"), "_ord"))
-    run_component(frame, GL, run_ts="t", out=str(tmp_path), format=format)
+    names = {"Create": "ToCreate"}
+    run_component(frame, GL, run_ts="t", out=str(tmp_path), names=names, format=format)
     folder = tmp_path / "GL_output_t"
     assert len(list(folder.iterdir())) == 11
     reader = spark.read.option("header", True).format(format)
     found = reader.load(f"{folder}/GL_Cleaned").collect()
     assert {r.LASTUSED_DATE for r in found} == {"15-01-2024"}
     assert {r._ord_file for r in found} == {"f"}
-    assert reader.load(f"{folder}/GL_Create").first().ACCOUNT == "4000"
+    assert reader.load(f"{folder}/ToCreate").first().ACCOUNT == "4000"
 
 
 def test_sorted_results(spark, tmp_path):

@@ -47,7 +47,8 @@ def ran(df):
 def hot_rows(spark, size=60_000, envs=7):
     """A third of the rows in one description and a third in one number."""
     number = F.when(F.col("id") % 3 == 0, F.lit(9999)).otherwise(F.col("id") % 5000)
-    key = F.when(F.col("id") % 3 == 1, F.lit("")).otherwise(F.concat(F.lit("k"), F.col("id") % 4000))
+    other = F.concat(F.lit("k"), F.col("id") % 4000)
+    key = F.when(F.col("id") % 3 == 1, F.lit("")).otherwise(other)
     frame = spark.range(0, size, 1, 8).select(
         F.lit("L").alias("DATALIB"),
         (F.col("id") % envs).cast("string").alias("COMPANY"),

@@ -56,8 +56,11 @@ def test_key_of_every_character(spark):
     assert wrong == []
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(texts=st.lists(st.text(st.characters(exclude_categories=["Cs"], exclude_characters="\0")), min_size=200, max_size=400))
+ANY_TEXT = st.text(st.characters(exclude_categories=["Cs"], exclude_characters="\0"))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(ANY_TEXT, min_size=200, max_size=400))
 def test_key_and_squeeze_of_any_text(spark, texts):
     assert apply(spark, texts, fn.canonical_key) == [expected_key(t) for t in texts]
     assert apply(spark, texts, fn.squeeze) == [" ".join(t.split()) for t in texts]
