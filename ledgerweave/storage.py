@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Folders of local sessions that name none, by application.
+_own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,11 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="ledgerweave-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="ledgerweave-")
+    return _own_folders[context.applicationId]
 
 
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:

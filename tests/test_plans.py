@@ -1,4 +1,5 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from frames import ledger, rows
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave import CC, GL, FilterRules, merge_plan, run_component
 from ledgerweave.plans import Sink, config_echo, materialise, run_summary, table_names
+from ledgerweave.storage import shared_folder
 
 SPEC = {
     "sources": [{"datalib": "ERP", "company": 1}, {"datalib": "ERP", "company": 2}],
@@ -190,3 +192,20 @@ def test_materialised_tables_live_in_the_shared_folder(spark):
 def test_config_echo_is_text(spark):
     found = config_echo(spark, {"a": None, "b": [1, 2], "c": True}).first()
     assert (found.a, found.b, found.c) == (None, "1,2", "True")
+
+
+def fake_session(master, folder=None):
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+    return SimpleNamespace(conf={"spark.checkpoint.dir": folder}, sparkContext=context)
+
+
+def test_the_shared_folder_is_the_named_one():
+    assert shared_folder(fake_session("yarn", "hdfs:///scratch")) == "hdfs:///scratch"
+    assert shared_folder(fake_session("local[2]", "/named")) == "/named"
+
+
+def test_only_local_sessions_make_their_own_folder():
+    own = shared_folder(fake_session("local[2]"))
+    assert own == shared_folder(fake_session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(fake_session("spark://host:7077"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from frames import ledger, rows
 
@@ -137,3 +139,44 @@ def test_names_with_special_characters(spark):
     cells = presence_cells(frame, GL)
     found = presence_enriched(cells, GL, environments(cells))
     assert rows(found)[0]["Acct_A.b`c-1 2"] == "7"
+
+
+def test_wide_matrices_over_many_environments(spark):
+    rng = random.Random(11)
+    entries = [
+        {
+            "DESCRIPTION": rng.choice(["hot", f"k{rng.randrange(30)}"]),
+            "ENV": f"L-{rng.randrange(140):03}",
+            "ACCOUNT": rng.choice([None, str(rng.randrange(1000))]),
+            "TYPE": rng.choice([None, "T", "U"]),
+        }
+        for _ in range(3000)
+    ]
+    entries += [{"DESCRIPTION": "all", "ENV": f"L-{i:03}", "ACCOUNT": str(i)} for i in range(140)]
+    first, present, described = {}, {}, {}
+    for e in entries:
+        key = e["DESCRIPTION"]
+        described.setdefault(key, key)
+        present.setdefault(key, set()).add(e["ENV"])
+        for name, prefix in (("ACCOUNT", "Acct_"), ("TYPE", "Type_")):
+            if e.get(name) is not None:
+                first.setdefault((key, prefix + e["ENV"]), e[name])
+
+    cells = presence_cells(ledger(spark, GL, entries), GL)
+    envs = environments(cells)
+    assert len(envs) == 140
+    expected = {
+        key: {"DESC_KEY": key, **{env: int(env in present[key]) for env in envs}} for key in present
+    }
+    assert by_key(presence_binary(cells, envs)) == expected
+
+    found = by_key(presence_enriched(cells, GL, envs))
+    for key, row in expected.items():
+        row |= {
+            "DESCRIPTION": key,
+            "Count_Present": len(present[key]),
+            "Pct_Present": pytest.approx(len(present[key]) / 1.4, abs=0.051),
+        }
+        row |= {p + env: first.get((key, p + env)) for env in envs for p in ("Acct_", "Type_")}
+        assert found[key] == row
+    assert found["all"]["Pct_Present"] == 100.0
