@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, warc
+from . import bpe, chat, langid, pages, rules, warc
 from .common import materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -62,10 +62,27 @@ FROM ordered
 """
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, by profiles learned from two thirds of them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3
+    held_out = documents.withColumn("held_out", fold == 1)
+    profiles = langid.train(held_out.filter(~F.col("held_out")))
+    return langid.predict(held_out.drop("lang"), profiles).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives in the shared folder and read back."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
-    archives = materialise(warc.write_archives(warc.choose_types(pages)))
+    records = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
+    archives = materialise(warc.write_archives(warc.choose_types(records)))
     return warc.read_archives(archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
@@ -99,9 +116,27 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and robust outliers of all documents."""
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "distance",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_langid": op2_langid,
+    "op4_pages": op4_pages,
     "op6_warc": op6_warc,
     "op8_bpe": op8_bpe,
+    "op9_rules": op9_rules,
 }
 ORACLES: dict[str, str] = {"op1_chat": OP1_SQL, "op6_warc": OP6_SQL}
