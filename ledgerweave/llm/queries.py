@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, pages, rules, warc
+from . import bpe, chat, decontam, langid, pages, rules, warc
 from .common import materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -131,6 +131,11 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items, and the items."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_langid": op2_langid,
@@ -138,5 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
+    "op10_decontam": op10_decontam,
 }
 ORACLES: dict[str, str] = {"op1_chat": OP1_SQL, "op6_warc": OP6_SQL}
