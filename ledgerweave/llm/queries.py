@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, pages, rules, warc
+from . import bpe, chat, decontam, langid, pages, parity, rules, warc
 from .common import materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -79,6 +79,11 @@ def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op5_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of near duplicates they belong to."""
+    return parity.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives in the shared folder and read back."""
     records = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
@@ -140,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_langid": op2_langid,
     "op4_pages": op4_pages,
+    "op5_parity": op5_parity,
     "op6_warc": op6_warc,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
