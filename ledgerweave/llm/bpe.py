@@ -31,6 +31,7 @@ LONG_WORD = 128  # bytes; beyond, a heap replaces the scan
 CACHED_WORDS = 250_000  # words a task remembers at least, twice as many at most
 CACHED_LENGTH = 24  # characters; longer words seldom come again
 NEVER = 1 << 60
+ID_BITS = 24  # a merge is its rank above the id it makes
 
 
 def byte_characters() -> list[str]:
@@ -41,6 +42,8 @@ def byte_characters() -> list[str]:
         found.setdefault(b, chr(256 + len(found) - len(plain)))
     return [found[b] for b in range(256)]
 
+_ID = (1 << ID_BITS) - 1
+
 
 class Codec:
     """The vocabulary and merges of one file."""
@@ -54,7 +57,7 @@ class Codec:
         byte_of = {c: b for b, c in enumerate(characters)}
         self.byte_ids = [vocabulary[c] for c in characters]
         self.merges = {
-            (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b])
+            (vocabulary[a], vocabulary[b]): (rank << ID_BITS) | vocabulary[a + b]
             for rank, (a, b) in enumerate(merges)
         }
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -72,29 +75,26 @@ class Codec:
         parts = [self.byte_ids[b] for b in word.encode("utf-8")]
         if len(parts) > LONG_WORD:
             return self._merge_long(parts)
-        merges = self.merges
-        none = (NEVER, -1)
-        found = [merges.get(pair, none) for pair in zip(parts, parts[1:])]
-        ranks = [rank for rank, _ in found]
-        merged = [number for _, number in found]
+        merge = self.merges.get
+        ranks = [merge(pair, NEVER) for pair in zip(parts, parts[1:])]
         while ranks:
             lowest = min(ranks)
             if lowest == NEVER:
                 break
             i = ranks.index(lowest)
-            parts[i] = merged[i]
-            del parts[i + 1], ranks[i], merged[i]
+            parts[i] = own = lowest & _ID
+            del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1], merged[i - 1] = merges.get((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = merge((parts[i - 1], own), NEVER)
             if i < len(ranks):
-                ranks[i], merged[i] = merges.get((parts[i], parts[i + 1]), none)
+                ranks[i] = merge((own, parts[i + 1]), NEVER)
         return tuple(parts)
 
     def _merge_long(self, parts: list[int]) -> tuple[int, ...]:
         merges, n = self.merges, len(parts)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [
-            (merges[pair][0], i, pair)
+            (merges[pair] >> ID_BITS, i, pair)
             for i, pair in enumerate(zip(parts, parts[1:]))
             if pair in merges
         ]
@@ -104,7 +104,7 @@ class Codec:
             j = after[i]
             if j >= n or parts[i] != pair[0] or parts[j] != pair[1]:
                 continue  # one of the two has been merged meanwhile
-            parts[i], parts[j] = merges[pair][1], -1
+            parts[i], parts[j] = merges[pair] & _ID, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
@@ -112,7 +112,7 @@ class Codec:
                 if left >= 0 and after[left] < n:
                     fresh = (parts[left], parts[after[left]])
                     if fresh in merges:
-                        heapq.heappush(heap, (merges[fresh][0], left, fresh))
+                        heapq.heappush(heap, (merges[fresh] >> ID_BITS, left, fresh))
         return tuple(p for p in parts if p >= 0)
 
     def encode(self, text: str) -> list[int]:

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerweave.storage import materialise
 
-__all__ = ["add_columns", "column", "map_batches", "materialise", "table"]
+__all__ = ["add_columns", "bit_table", "column", "in_table", "map_batches", "materialise", "table"]
+
+TABLE_BITS = 1 << 25  # of a bit table, 4 MB however many keys there are
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +57,35 @@ def add_columns(df: DataFrame, made: StructType, start: Callable[[], Callable])
         return step
 
     return map_batches(df, StructType(kept + made.fields), begin)
+
+
+def bit_table(keys: DataFrame, key: str) -> np.ndarray:
+    """A bit table of the values of a long column, by their hash.
+
+    It lets through all keys and a few others, more of them the more keys there are; so
+    it only ever saves work ahead of a join.
+    """
+    words = (
+        keys.select(F.pmod(F.xxhash64(key), F.lit(TABLE_BITS)).alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits"))
+    )
+    found = np.zeros(TABLE_BITS // 64, np.int64)
+    for word, bits in words.toLocalIterator():
+        found[word] = bits
+    return found.view(np.uint64)
+
+
+def in_table(df: DataFrame, key: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """The rows whose ``key`` may be in a bit table, or those where it cannot be."""
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    place = "_place"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = column(batch, place).to_numpy().astype(np.uint64)
+            hit = (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+            yield batch.filter(pa.array(hit == inside)).drop_columns([place])
+
+    placed = df.withColumn(place, F.pmod(F.xxhash64(key), F.lit(TABLE_BITS)))
+    return placed.mapInArrow(run, df.schema)

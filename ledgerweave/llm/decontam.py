@@ -73,18 +73,15 @@ def changes(bits: int, most: int) -> list[int]:
 
 def lookups_of(fingerprint: Column) -> Column:
     """All block values within reach of the fingerprint's blocks."""
-    reach = RADIUS // BLOCKS
-    parts = []
-    for i, (a, b) in enumerate(_block_bounds()):
-        value = F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
-        masks = F.array(*(F.lit(m).cast("long") for m in changes(b - a, reach)))
-        parts.append(
-            F.transform(
-                masks,
-                lambda m, value=value, i=i: F.struct(F.lit(i).alias("block"), value.bitwiseXOR(m).alias("value")),
-            )
+
+    def lookups(block: int, low: int, high: int) -> Column:
+        value = F.shiftrightunsigned(fingerprint, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+        masks = F.array(*(F.lit(m).cast("long") for m in changes(high - low, RADIUS // BLOCKS)))
+        return F.transform(
+            masks, lambda m: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m).alias("value"))
         )
-    return F.concat(*parts)
+
+    return F.concat(*(lookups(i, a, b) for i, (a, b) in enumerate(_block_bounds())))
 
 
 def prepare_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:

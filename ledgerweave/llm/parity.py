@@ -19,8 +19,8 @@ pass. Verified links are joined into components, and a second round emits those
 of large buckets that pass but lie in different components so far; so no link between
 components is lost, and a group of copies never makes all its pairs.
 
-Nulls: a null text is an empty set; empty sets link with nothing. A null doc_id is kept,
-orders ahead of all others and is returned as null. Repeated rows are equal sets.
+Nulls: a null text is an empty set; empty sets link with nothing. Documents without
+doc_id link like others, but never name a component. Repeated rows are equal sets.
 Shingles are compared as 64-bit numbers. Columns beside the named ones are not read.
 """
 
@@ -30,10 +30,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, map_batches, materialise
+from .common import bit_table, column, in_table, map_batches, materialise
 from .components import components
 from .shingles import Shingler, mix, shingles_of
 
@@ -41,8 +41,6 @@ SIMILAR = (80, 100)  # intersection to union, as a fraction
 BUCKET = 8  # sets; larger buckets emit a forest instead of all pairs
 SMALL = 5  # bands below 2^5 shingles have a block for each shingle
 ROWS = 2_000_000  # of a task that looks for shared blocks
-NEEDED_BITS = 1 << 25  # of the table of sets to verify
-NO_ID = -(1 << 63)  # stands for a null doc_id
 _U64 = np.uint64
 
 
@@ -209,24 +207,11 @@ def _needed_sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
     A bit table of fixed size picks the documents; the few it lets through beside them
     find no partner later.
     """
-    words = (
-        reps.select(F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_BITS)).alias("at"))
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits"))
-    )
-    table = np.zeros(NEEDED_BITS // 64, np.int64)
-    for word, bits in words.toLocalIterator():
-        table[word] = bits
-    shared = documents.sparkSession.sparkContext.broadcast(table.view(np.uint64))
-
     def start() -> Callable:
-        shingler, needed = Shingler(), shared.value
+        shingler = Shingler()
 
         def work(batch: pa.RecordBatch) -> dict:
-            at = column(batch, "at").to_numpy().astype(np.uint64)
-            wanted = (needed[at >> _U64(6)] >> (at & _U64(63))) & _U64(1) > 0
-            chosen = batch.filter(pa.array(wanted))
-            sets = [s for _, s in _distinct_sets(chosen, shingler) if len(s)] if chosen.num_rows else []
+            sets = [s for _, s in _distinct_sets(batch, shingler) if len(s)]
             return {
                 "set_id": pa.array([set_id(s) for s in sets], pa.int64()),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -236,8 +221,8 @@ def _needed_sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
 
         return work
 
-    placed = documents.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_BITS)).alias("at"))
-    return map_batches(placed, "set_id long, n long, sketch binary, shingles array<long>", start)
+    chosen = in_table(documents, "doc_id", bit_table(reps, "doc_id"))
+    return map_batches(chosen, "set_id long, n long, sketch binary, shingles array<long>", start)
 
 
 def _passing(sizes: np.ndarray, sketches: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
@@ -346,8 +331,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links lead to."""
-    own = F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID))
-    texts = documents.select(own.alias("doc_id"), F.col(text).alias("text"))
+    texts = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = materialise(shingle_sets(texts))
     reps = materialise(
         sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
@@ -380,21 +364,12 @@ def _dealt(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _by_document(sets: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
-    ends = links
-    for end in ("a", "b"):
-        of = reps.select(F.col("set_id").alias(end), F.col("doc_id").alias(f"doc_{end}"))
-        ends = ends.join(of, end)
-    found = components(ends.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")))
-    classes = materialise(
-        reps.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "set_id", F.coalesce("component", "doc_id").alias("component_id")
-        )
+    found = components(links)
+    labelled = reps.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "component", F.coalesce("component", "set_id")
     )
-    told = sets.join(classes, "set_id", "left")
-    return told.select(
-        _given("doc_id"), "n_shingles", F.coalesce(_given("component_id"), _given("doc_id")).alias("component_id")
+    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    classes = materialise(labelled.join(least, "component").select("set_id", "component_id"))
+    return sets.join(classes, "set_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
-
-
-def _given(name: str) -> Column:
-    return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)

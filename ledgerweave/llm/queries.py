@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, pages, parity, rules, warc
+from . import bpe, chat, decontam, langid, pages, parity, quality, rules, suffix, warc
 from .common import materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -73,6 +73,21 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeats of 100 bytes."""
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"]
+    )
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -108,6 +123,34 @@ FROM digests JOIN last USING (hex)
 """
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability that each document is of quality, and that it is toxic.
+
+    Sites are the sources of documents, their paths the languages there.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = (
+        table(spark, sf_dir, "labels")
+        .groupBy("doc_id")
+        .agg(F.max("quality").alias("label_quality"), F.max("toxic").alias("label_toxic"))
+    )
+    labelled = documents.join(labels, "doc_id").withColumns(
+        {"quality": F.col("label_quality"), "toxic": F.col("label_toxic")}
+    )
+    targets = ("quality", "toxic")
+    models = quality.fit(labelled, targets)
+    scored = materialise(quality.evidence(documents, models).drop("text"))
+    judged = scored.withColumnsRenamed({"source": "host", "lang": "path"}).join(labels, "doc_id", "left")
+    for target in targets:
+        judged = quality.posteriors(judged, target, quality.rate_of(labels, f"label_{target}"))
+    return judged.select(
+        "doc_id",
+        "quality",
+        "toxic",
+        ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).alias("kept"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with a byte-level vocabulary, and decoded again."""
     path = public_tokenizers.path(VOCABULARY)
@@ -144,9 +187,11 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_langid": op2_langid,
+    "op3_suffix": op3_suffix,
     "op4_pages": op4_pages,
     "op5_parity": op5_parity,
     "op6_warc": op6_warc,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_decontam": op10_decontam,

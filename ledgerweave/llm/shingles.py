@@ -15,7 +15,7 @@ import pyarrow as pa
 WORDS = 5  # of a shingle
 BLOCK = 1 << 21  # bytes handled at once
 _U64 = np.uint64
-_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse
+STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,7 +25,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """The powers of ``base`` up to ``n``, modulo 2^64."""
     factors = np.full(n + 1, base, np.uint64)
     factors[0] = 1
     return np.cumprod(factors)
@@ -42,7 +43,7 @@ class Shingler:
         self._grow(BLOCK)
 
     def _grow(self, n: int) -> None:
-        self._powers, self._inverse = _powers(_STEP, n), _powers(pow(_STEP, -1, 1 << 64), n)
+        self._powers, self._inverse = powers(STEP, n), powers(pow(STEP, -1, 1 << 64), n)
 
     def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words, and how many words each text has.
@@ -92,7 +93,7 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for i in range(k):
-        total = total * _U64(_STEP) + words[i : i + n]
+        total = total * _U64(STEP) + words[i : i + n]
     return mix(total + _U64(k))
 
 
