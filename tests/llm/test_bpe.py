@@ -1,0 +1,57 @@
+"""Byte-level BPE against the tokenizers library."""
+
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from ledgerweave.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def some_texts():
+    chance = random.Random(5)
+    wide = [*range(32, 127), 9, 10, 13, 0x1C, 0x85, 0xA0, 0x2028, 0xE9, 0xDF, 0x4E2D, 0x1F600, 0x300]
+    texts = ["".join(chr(chance.choice(wide)) for _ in range(chance.randrange(80))) for _ in range(300)]
+    return [*texts, "", " ", "I'll we've 'S", "a" * 3000, "ab" * 700, "x<|endoftext|>y<|endoftext|>", "\n\n  z"]
+
+
+def test_ids_and_texts_equal_the_library(spark, library):
+    texts = some_texts()
+    rows = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, IDS string")
+    done = bpe.decode(bpe.encode(rows, PATH), PATH).select("doc_id", "ids", "decoded").collect()
+    for row in done:
+        want = library.encode(texts[row.doc_id], add_special_tokens=False).ids
+        assert row.ids == want
+        assert row.decoded == library.decode(want, skip_special_tokens=False)
+    assert len(done) == len(texts)
+
+
+def test_scan_and_heap_merge_alike():
+    codec = bpe.Codec(PATH)
+    for text in ("the" * 30, "aaaa" * 20, " banana", "éééß" * 9):
+        assert codec._merge_long([codec.byte_ids[b] for b in text.encode()]) == codec.encode_word(text)
+
+
+def test_broken_bytes_nulls_and_empty_table(spark):
+    codec = bpe.Codec(PATH)
+    assert codec.decode([codec.byte_ids[0xC3]]) == "�"
+    rows = spark.createDataFrame([(1, None), (1, None)], "doc_id long, text string")
+    done = bpe.decode(bpe.encode(rows, PATH), PATH).collect()
+    assert [(r.ids, r.decoded) for r in done] == [([], ""), ([], "")]
+    assert bpe.encode(rows.limit(0), PATH).count() == 0
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    codec = bpe.Codec(PATH)
+    text = " one two three four five six one two three" * 3
+    again = bpe.Codec(PATH).encode(text)
+    assert codec.encode(text) == again and len(codec._cache) <= 3 and len(codec._cache._older) <= 3

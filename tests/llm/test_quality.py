@@ -1,0 +1,71 @@
+"""Hierarchical empirical Bayes: shrinkage by hand, held-out accuracy."""
+
+import random
+
+import pytest
+
+from ledgerweave.llm import quality
+from ledgerweave.llm.common import table
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_features_of_odd_texts():
+    assert quality.features("") == quality.features(" \n") == {"#empty"}
+    assert {"word", "#edge:!!", "#mark:***"} <= quality.features("WORD!! ***")
+
+
+def test_sites_lean_on_what_is_above_them(spark):
+    rows = [(i, "good", "a", 0.0, 1) for i in range(50)] + [(100 + i, "bad", "a", 0.0, 0) for i in range(50)]
+    rows += [(200, "good", "new", 0.0, None), (201, "bad", "new", 0.0, None), (202, "new", "x", 0.0, None), (203, None, None, 3.0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, host string, path string, evidence_quality double, label_quality int")
+    p = {r.doc_id: r.quality for r in quality.posteriors(df, "quality", 0.5).collect()}
+    assert len(p) == len(rows) and all(0 < x < 1 for x in p.values())
+    assert p[200] > 0.9 > 0.6 > p[202] > 0.4 > 0.1 > p[201]
+    assert p[203] > 0.8
+
+
+def test_a_document_does_not_vouch_for_itself(spark):
+    rows = [(1, "h", "p", 0.0, 1), (2, "h", "p", 0.0, 0), (3, "g", "p", 0.0, 1), (4, "g", "p", 0.0, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, host string, path string, evidence_quality double, label_quality int")
+    p = {r.doc_id: r.quality for r in quality.posteriors(df, "quality", 0.5).collect()}
+    assert p[1] <= 0.5 <= p[2]
+
+
+def test_no_labels_nulls_and_empty_table(spark):
+    schema = "doc_id long, text string, quality int"
+    for rows in ([], [(1, "a", None), (None, None, None)], [(1, "a", 1), (2, "b", 1)]):
+        df = spark.createDataFrame(rows, schema)
+        models = quality.fit(df, ("quality",))
+        assert models["quality"].weights == {} and models["quality"].slope == 0
+        scored = quality.evidence(df, models).withColumnsRenamed({"quality": "label_quality"}).selectExpr("*", "null host", "doc_id path")
+        assert quality.posteriors(scored, "quality", 0.5).count() == len(rows)
+
+
+def test_planted_features_are_found(spark):
+    chance = random.Random(1)
+    words = [f"w{i}" for i in range(50)]
+    rows = []
+    for i in range(400):
+        own = chance.choices(words, k=30)
+        if i % 4 == 0:
+            own[chance.randrange(30)] = "Awful,"
+        rows.append((i, " ".join(own), int(i % 4 > 0), "clash"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int, _sum_quality string")
+    models = quality.fit(df.drop("_sum_quality"))
+    assert "awful" in models["quality"].weights
+    found = quality.evidence(df.select("doc_id", "text", "_sum_quality"), models).collect()
+    assert all((r.evidence_quality < -1) == (r.doc_id % 4 == 0) for r in found)
+
+
+@pytest.mark.parametrize("target, least", [("quality", 0.97), ("toxic", 0.97)])
+def test_held_out_accuracy(spark, target, least):
+    documents = table(spark, SF, "documents").select("doc_id", "text")
+    labelled = documents.join(table(spark, SF, "labels"), "doc_id").select("doc_id", "text", target)
+    known, asked = (labelled.filter(f"crc32(concat('x', doc_id)) % 4 {sign} 0") for sign in ("<>", "="))
+    models = quality.fit(known, (target,))
+    prior = quality.rate_of(known, target)
+    scored = quality.evidence(asked, models).selectExpr("*", "null AS host", "null AS path", f"cast(null AS int) AS label_{target}")
+    rows = quality.posteriors(scored.withColumnRenamed(target, "truth"), target, prior).select("truth", target).collect()
+    assert len(rows) > 300
+    assert sum((r[target] >= 0.5) == bool(r.truth) for r in rows) >= least * len(rows)

@@ -1,0 +1,94 @@
+"""WARC archives: round trip, framing, digests."""
+
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerweave.llm import warc
+
+SCHEMA = "page_id long, url string, payload string, digest string"
+
+
+def round_trip(spark, rows, least=0):
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    return warc.read_archives(warc.write_archives(warc.choose_types(pages, least).repartition(3)))
+
+
+def test_revisits_point_to_the_last_page(spark):
+    rows = [
+        (1, "http://a/é ?x=\n", "same"),
+        (2, None, "same"),
+        (3, "u", "own"),
+        (9, "u", "same"),
+        (9, "u", "same"),
+        (4, "u", None),
+        (5, "u", ""),
+        (None, "u", "own"),
+        (6, "u", "ß" * 300_000 + "\r\n\r\n"),
+    ]
+    found = round_trip(spark, rows).collect()
+    told = sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in found)
+    assert told == [
+        (0, "revisit", 3, 3),
+        (1, "revisit", 9, 4),
+        (2, "revisit", 9, 4),
+        (3, "response", None, 3),
+        (4, "revisit", 5, 0),
+        (5, "response", None, 0),
+        (6, "response", None, 600_004),
+        (9, "response", None, 4),
+        (9, "response", None, 4),
+    ]
+    by_id = {r.page_id: r for r in found}
+    assert by_id[6].payload == rows[-1][2] and by_id[1].url == rows[0][1] and by_id[2].url is None
+    assert by_id[3].payload_digest == warc.base32_sha1(b"own")
+
+
+def test_small_payloads_are_responses(spark):
+    found = round_trip(spark, [(1, "u", "aa"), (2, "u", "aa"), (3, "u", "bbbb"), (4, "u", "bbbb")], 3).collect()
+    assert sorted(r.page_id for r in found if r.record_type == "revisit") == [3]
+
+
+def test_empty_table(spark):
+    assert round_trip(spark, []).count() == 0
+
+
+def test_members_are_read_in_any_pieces():
+    records = [warc.record_bytes(i, "u", b"x" * i, None, False) for i in range(40)]
+    archive = b"".join(map(warc.gzip_member, records))
+    assert gzip.decompress(archive) == b"".join(records)
+    for step in (1, 7, 1000, len(archive)):
+        pieces = (archive[i : i + step] for i in range(0, len(archive), step))
+        assert list(warc.members(pieces)) == records
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(
+        b"".join(warc.gzip_member(warc.record_bytes(i, "u", b"page %d" % i, None, False)) for i in range(5))
+    )
+    found = warc.read_files(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert found.agg(F.sort_array(F.collect_list("payload"))).first()[0] == [f"page {i}" for i in range(5)]
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        lambda r: r.replace(b"hello", b"hallo"),
+        lambda r: r.replace(b"Content-Length: ", b"Content-Length: 1"),
+        lambda r: r.replace(b"WARC/1.1", b"HTTP/1.1"),
+        lambda r: r[:-4],
+    ],
+)
+def test_damage_is_noticed(broken):
+    record = warc.record_bytes(1, "u", b"hello", None, False)
+    assert warc.parse_record(record)[0] == 1
+    with pytest.raises(warc.WarcError):
+        warc.parse_record(broken(record))
+
+
+def test_cut_archive_is_noticed():
+    member = warc.gzip_member(b"WARC/1.1\r\n\r\n")
+    for archive in (member[:-5], b"no gzip"):
+        with pytest.raises(warc.WarcError):
+            list(warc.members([archive]))
