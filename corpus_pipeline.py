@@ -62,11 +62,15 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: the documents with their token ids, and whether these decode to the text again."""
+    """BPE: the documents with their token ids, and whether these decode to the text again.
+
+    Columns of documents with the names of these are replaced.
+    """
     path = public_tokenizers.path(queries.VOCABULARY)
     read = bpe.decode(bpe.encode(docs, path), path, into="_decoded")
+    made = ("ids", "n_tokens", "round_trip")
     return read.select(
-        *docs.columns,
+        *(c for c in docs.columns if c.lower() not in made),
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         (F.col("_decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),

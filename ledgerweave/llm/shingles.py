@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 WORDS = 5  # of a shingle
-BLOCK = 1 << 21  # bytes handled at once
+BLOCK = 1 << 19  # bytes handled at once
 _U64 = np.uint64
 STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 

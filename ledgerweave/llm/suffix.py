@@ -47,7 +47,7 @@ PARTS = 8  # ranges of offsets
 SHARDS = 4
 BATCH = 400_000  # bytes of strings merged at once
 STRINGS = 20_000  # of one core that are merged
-BLOCK = 1 << 21  # bytes searched for anchors at once
+BLOCK = 1 << 19  # bytes searched for anchors at once
 TASK_BYTES = 1 << 26  # of text whose anchors go to one task
 NO_ID = -(1 << 63)  # stands for a null doc_id
 END, BETWEEN, SHIFT = 0, 1, 2  # symbols: end of a shard, between strings, bytes from 2 on
