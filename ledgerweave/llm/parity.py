@@ -201,28 +201,32 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, signature long")
 
 
-def _needed_sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """(set_id, n, sketch, shingles) of the sets whose documents are in ``reps`` (doc_id).
+def _needed_sets(documents: DataFrame, ids: DataFrame, reps: DataFrame, full: bool) -> DataFrame:
+    """The sets with the given ``ids`` (set_id): their n and sketch, or in full their shingles.
 
-    A bit table of fixed size picks the documents; the few it lets through beside them
-    find no partner later.
+    They are made anew from one text each. A bit table of fixed size picks the texts; the few it
+    lets through beside them find no partner later.
     """
+
     def start() -> Callable:
         shingler = Shingler()
 
         def work(batch: pa.RecordBatch) -> dict:
             sets = [s for _, s in _distinct_sets(batch, shingler) if len(s)]
-            return {
-                "set_id": pa.array([set_id(s) for s in sets], pa.int64()),
+            own = {"set_id": pa.array([set_id(s) for s in sets], pa.int64())}
+            if full:
+                return own | {"shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
+            return own | {
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "sketch": pa.array([bit_sketch(s).tobytes() for s in sets], pa.binary()),
-                "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             }
 
         return work
 
-    chosen = in_table(documents, "doc_id", bit_table(reps, "doc_id"))
-    return map_batches(chosen, "set_id long, n long, sketch binary, shingles array<long>", start)
+    wanted = ids.distinct().join(reps, "set_id")
+    chosen = in_table(documents, "doc_id", bit_table(wanted, "doc_id"))
+    schema = "set_id long, shingles array<long>" if full else "set_id long, n long, sketch binary"
+    return materialise(map_batches(chosen, schema, start))
 
 
 def _passing(sizes: np.ndarray, sketches: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
@@ -314,15 +318,14 @@ def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(sized, "a long, b long", start)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, documents: DataFrame, reps: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) of sets that are similar."""
     part, whole = SIMILAR
-    full = sets.select("set_id", "shingles")
+    full = _needed_sets(documents, pairs.select(F.explode(F.array("a", "b")).alias("set_id")), reps, full=True)
     common = F.size(F.array_intersect("x", "y")).cast("long")
     every = F.size("x") + F.size("y") - common
     return (
-        _sketched(pairs, sets)
-        .join(full.toDF("a", "x"), "a")
+        pairs.join(full.toDF("a", "x"), "a")
         .join(full.toDF("b", "y"), "b")
         .filter(whole * common >= part * every)
         .select("a", "b")
@@ -339,20 +342,19 @@ def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text
     buckets = materialise(_buckets(_dealt(_signature_rows(texts), sets)))
     pairs = buckets.filter("a IS NOT NULL").select("a", "b").distinct()
     crowded = buckets.filter("a IS NULL").select("signature", "b")
-    wanted = (
-        buckets.select(F.explode(F.array("a", "b")).alias("set_id")).dropna().distinct().join(reps, "set_id")
-    )
-    needed = materialise(_needed_sets(texts, wanted.select("doc_id")))
-    crowded = crowded.join(needed.select(F.col("set_id").alias("b"), "n", "sketch"), "b")
+    met = buckets.select(F.explode(F.array("a", "b")).alias("set_id")).dropna()
+    light = _needed_sets(texts, met, reps, full=False)
+    crowded = crowded.join(light.select(F.col("set_id").alias("b"), "n", "sketch"), "b")
     forest = _large_bucket_pairs(crowded.withColumn("label", F.lit(0).cast("long")), labelled=False)
-    links = materialise(_verified(pairs.unionByName(forest).distinct(), needed))
-    found = components(links)
+    likely = materialise(_sketched(pairs.unionByName(forest).distinct(), light))
+    links = materialise(_verified(likely, texts, reps))
     label = F.coalesce("component", "b").alias("label")
-    apart = crowded.join(found.withColumnRenamed("node", "b"), "b", "left")
-    across = _large_bucket_pairs(
-        apart.select("signature", "b", "n", "sketch", label), labelled=True
+    apart = crowded.join(components(links).withColumnRenamed("node", "b"), "b", "left")
+    across = materialise(
+        _large_bucket_pairs(apart.select("signature", "b", "n", "sketch", label), labelled=True)
     )
-    links = links.unionByName(_verified(across, needed))
+    if not across.isEmpty():
+        links = links.unionByName(_verified(across, texts, reps))
     return _by_document(sets, reps, links)
 
 
