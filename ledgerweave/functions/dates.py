@@ -26,7 +26,7 @@ def parse_last_used(c: Column, data_type: str, date_formats: Sequence[str] = ())
     ``date_formats`` in turn.
     """
     if data_type in ("date", "timestamp", "timestamp_ntz"):
-        return c.cast("timestamp_ntz")
+        return _in_range(c.cast("timestamp_ntz"))
 
     text = strip(c.cast("string"))
     # Columns with blanks often arrive as floats: 20240115.0 means 20240115.
@@ -51,10 +51,15 @@ def parse_last_used(c: Column, data_type: str, date_formats: Sequence[str] = ())
             F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), serial).cast("timestamp_ntz"),
         )
     )
-    inside = parsed.between(
+    return _in_range(parsed)
+
+
+def _in_range(moment: Column) -> Column:
+    """``moment``, null outside the range that counts as a date."""
+    inside = moment.between(
         F.lit(EARLIEST).cast("timestamp_ntz"), F.lit(LATEST).cast("timestamp_ntz")
     )
-    return F.when(inside, parsed)
+    return F.when(inside, moment)
 
 
 def _all_digits(text: Column) -> Column:

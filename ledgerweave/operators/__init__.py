@@ -5,14 +5,16 @@ from ledgerweave.operators.gaps import gap_actions
 from ledgerweave.operators.merge import (
     MergeSpec,
     merge_actions,
+    conflict_values,
     merge_conflicts,
     merge_mappings,
     number_folds,
     unify,
 )
 from ledgerweave.operators.mismatches import (
-    mismatch_details,
+    number_details,
     number_mismatches,
+    type_details,
     type_mismatches,
 )
 from ledgerweave.operators.presence import (
@@ -33,15 +35,17 @@ __all__ = [
     "keep_rule",
     "language_variants",
     "merge_actions",
+    "conflict_values",
     "merge_conflicts",
     "merge_mappings",
-    "mismatch_details",
     "number_folds",
+    "number_details",
     "number_mismatches",
     "presence_binary",
     "presence_cells",
     "presence_enriched",
     "presence_totals",
+    "type_details",
     "type_mismatches",
     "unify",
 ]

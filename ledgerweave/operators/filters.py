@@ -18,6 +18,7 @@ from ledgerweave.component import Component
 # and the flag value that excludes a row, in both cases.
 EMPTY_DESCRIPTIONS = ("", "leeg")
 EXCLUDED_FLAG = ("J", "j")
+FLAGS = ("DOORTREK_JN", "VERDREK_JN")
 
 
 @dataclass(frozen=True)
@@ -31,14 +32,17 @@ class FilterRules:
     datalibs: Sequence[str] = ()
     companies: Sequence[str] = ()
     lastused_days: int | None = None
-    excluded_flags: Sequence[str] = ("DOORTREK_JN", "VERDREK_JN")
+    excluded_flags: Sequence[str] = FLAGS
     as_of: datetime | None = None
 
     def __post_init__(self) -> None:
-        for name in ("datalibs", "companies"):
+        for name in ("datalibs", "companies", "excluded_flags"):
             if isinstance(getattr(self, name), str):
                 raise ValueError(f"{name} must be a list")
             object.__setattr__(self, name, tuple(str(v) for v in getattr(self, name)))
+        unknown = set(self.excluded_flags) - set(FLAGS)
+        if unknown:
+            raise ValueError(f"unknown flags: {', '.join(sorted(unknown))}")
         if self.lastused_days is not None:
             if self.lastused_days < 1:
                 raise ValueError("lastused_days must be at least 1")

@@ -19,10 +19,8 @@ from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.text import same_value
 from ledgerweave.operators.gaps import CREATE, FREE, REVIEW
 from ledgerweave.operators.joins import even_left_join, shuffle_anew
-from ledgerweave.operators.slices import SLICE, slice_large_groups
 
 # Values one conflict row lists when a description has too many for a single row.
-VALUES_PER_ROW = 10_000
 
 # Numbering strategies, reasons and suggestions.
 KEEP_PREFERRED, PICK_MAJORITY, FIRST, NEW_RANGE = (
@@ -180,19 +178,10 @@ def _choice(spec: MergeSpec) -> tuple[Column, Column]:
     return number, F.when(numbered, why).otherwise(F.lit(NO_NUMBER))
 
 
-def merge_conflicts(
-    cleaned: DataFrame,
-    folds: DataFrame,
-    unified: DataFrame,
-    comp: Component,
-    spec: MergeSpec,
-    values_per_row: int = VALUES_PER_ROW,
+def _conflict_values(
+    cleaned: DataFrame, folds: DataFrame, comp: Component, spec: MergeSpec
 ) -> DataFrame:
-    """Descriptions with several numbers or types among the sources, all listed.
-
-    A description with very many values gets several rows (see
-    :mod:`ledgerweave.operators.slices`).
-    """
+    """The distinct numbers and types of each description among the sources."""
     number = F.col(comp.number)
     nothing = F.lit(None).cast("string")
     values = folds.filter(number.isNotNull()).select(
@@ -206,19 +195,39 @@ def merge_conflicts(
             .distinct()
         )
         values = values.unionByName(categories, allowMissingColumns=True)
+    return values
+
+
+def conflict_values(
+    cleaned: DataFrame, folds: DataFrame, comp: Component, spec: MergeSpec
+) -> DataFrame:
+    """``DESC_KEY, KIND, VALUE`` of descriptions with several numbers or types, in long form."""
+    values = _conflict_values(cleaned, folds, comp, spec)
+    several = values.groupBy("DESC_KEY").agg(_several().alias("_several")).filter("_several")
+    return values.join(several, "DESC_KEY").select(
+        "DESC_KEY",
+        F.when(F.col("_number").isNotNull(), "number").otherwise("type").alias("KIND"),
+        F.coalesce("_number", "_category").alias("VALUE"),
+    )
+
 
-    several = (F.count("_number") > 1) | (F.count("_category") > 1)
+def _several() -> Column:
+    return (F.count("_number") > 1) | (F.count("_category") > 1)
+
+
+def merge_conflicts(
+    cleaned: DataFrame, folds: DataFrame, unified: DataFrame, comp: Component, spec: MergeSpec
+) -> DataFrame:
+    """Descriptions with several numbers or types among the sources, all listed.
+
+    One row per description, whatever the number of its values; the form without
+    such texts is :func:`conflict_values`.
+    """
     lists = (
-        slice_large_groups(
-            values,
-            "DESC_KEY",
-            F.coalesce("_number", "_category"),
-            values_per_row,
-            _several=several,
-        )
-        .groupBy("DESC_KEY", SLICE)
+        _conflict_values(cleaned, folds, comp, spec)
+        .groupBy("DESC_KEY")
         .agg(
-            F.coalesce(F.first("_several"), several).alias("_several"),
+            _several().alias("_several"),
             F.array_sort(F.collect_list("_number")).alias("_numbers"),
             F.array_sort(F.collect_list("_category")).alias("_categories"),
         )

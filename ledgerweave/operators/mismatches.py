@@ -1,4 +1,9 @@
-"""Descriptions that carry several numbers or several types."""
+"""Descriptions that carry several numbers or several types.
+
+The long form, one row per description, value and environment, is the result that has
+no limits. The text form joins a description's rows into one value, which has to come
+together in one place; it is one row per description whatever their number.
+"""
 
 from __future__ import annotations
 
@@ -6,87 +11,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
+from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.numbers import format_number
 from ledgerweave.functions.text import null_like_to_null, strip
-from ledgerweave.operators.slices import SLICE, slice_large_groups
-
-# Details one report row lists when a description has too many for a single row.
-DETAILS_PER_ROW = 10_000
 
 
-def mismatch_details(
-    cleaned: DataFrame, column: str, value: Column, ordinal: str = "_ord"
-) -> DataFrame:
-    """The findings in long form: one row per distinct value and environment of a description.
+def _details(cleaned: DataFrame, column: str, value: Column, ordinal: str) -> DataFrame:
+    """One row per distinct value and environment of a description.
 
-    ``value`` is the form of ``column`` that counts, null only where that is null.
-    Columns ``DESC_KEY, VALUE, ENV`` and ``_seen``, the first position with the
-    description there; rows that have a description come first.
+    ``POSITION`` is where it is seen first, ``_described`` the first position that
+    has a description.
     """
-    seen = F.struct(
-        F.col("DESCRIPTION").isNull().alias("bare"), F.col(ordinal).alias("at"), "DESCRIPTION"
-    )
     return (
         cleaned.filter(F.col(column).isNotNull())
         .groupBy("DESC_KEY", value.alias("VALUE"), "ENV")
-        .agg(F.min(seen).alias("_seen"))
+        .agg(
+            F.min(ordinal).alias("POSITION"),
+            first_by(F.col("DESCRIPTION"), F.col(ordinal)).alias("_described"),
+        )
     )
 
 
-def number_mismatches(
-    cleaned: DataFrame,
-    comp: Component,
-    ordinal: str = "_ord",
-    details_per_row: int = DETAILS_PER_ROW,
-) -> DataFrame:
+def _numbers(cleaned: DataFrame, comp: Component, ordinal: str) -> DataFrame:
+    return _details(cleaned, comp.number, format_number(F.col(comp.number)), ordinal)
+
+
+def _types(cleaned: DataFrame, comp: Component, ordinal: str) -> DataFrame:
+    category = F.col(comp.category)
+    typed = cleaned.filter(null_like_to_null(category).isNotNull())
+    return _details(typed, comp.category, strip(category), ordinal)
+
+
+def number_details(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
+    """``DESC_KEY, VALUE, ENV, POSITION`` where one description has several numbers."""
+    return _differing(_numbers(cleaned, comp, ordinal))
+
+
+def type_details(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
+    """``DESC_KEY, VALUE, ENV, POSITION`` where one description has several types."""
+    if comp.category is None:
+        schema = "DESC_KEY string, VALUE string, ENV string, POSITION bigint"
+        return cleaned.sparkSession.createDataFrame([], schema)
+    return _differing(_types(cleaned, comp, ordinal))
+
+
+def _differing(details: DataFrame) -> DataFrame:
+    several = details.groupBy("DESC_KEY").agg(
+        (F.min("VALUE") < F.max("VALUE")).alias("_differ")
+    )
+    return details.join(several.filter("_differ"), "DESC_KEY").select(
+        "DESC_KEY", "VALUE", "ENV", "POSITION"
+    )
+
+
+def number_mismatches(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
     """``DESCRIPTION, Details`` where one description has several numbers."""
-    number = format_number(F.col(comp.number))
-    details = mismatch_details(cleaned, comp.number, number, ordinal)
     detail = F.concat("VALUE", F.lit(" ("), "ENV", F.lit(")"))
-    return _report(details, detail, ", ", details_per_row)
+    return _report(_numbers(cleaned, comp, ordinal), detail, ", ")
 
 
-def type_mismatches(
-    cleaned: DataFrame,
-    comp: Component,
-    ordinal: str = "_ord",
-    details_per_row: int = DETAILS_PER_ROW,
-) -> DataFrame:
+def type_mismatches(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
     """``DESCRIPTION, Details`` where one description has several types.
 
     A component without a type column has no such mismatches.
     """
     if comp.category is None:
         return cleaned.sparkSession.createDataFrame([], "DESCRIPTION string, Details string")
-    category = F.col(comp.category)
-    typed = cleaned.filter(null_like_to_null(category).isNotNull())
-    details = mismatch_details(typed, comp.category, strip(category), ordinal)
-    return _report(details, F.concat("VALUE", F.lit(": "), "ENV"), " | ", details_per_row)
+    return _report(_types(cleaned, comp, ordinal), F.concat("VALUE", F.lit(": "), "ENV"), " | ")
 
 
-def _report(details: DataFrame, detail: Column, separator: str, details_per_row: int) -> DataFrame:
-    """One text per description with more than one value, details in input order.
-
-    A description with very many details gets several rows (see
-    :mod:`ledgerweave.operators.slices`), each in input order; none is left out.
-    """
-    differ = F.min("VALUE") < F.max("VALUE")
-    description = F.min("_seen")["DESCRIPTION"]
-    entry = F.struct(F.col("_seen.at"), detail.alias("detail"))
+def _report(details: DataFrame, detail: Column, separator: str) -> DataFrame:
+    """One text per description with more than one value, details in input order."""
+    entry = F.struct(F.col("POSITION"), detail.alias("detail"))
     texts = F.array_distinct(F.array_sort(F.collect_list(entry))["detail"])
     return (
-        slice_large_groups(
-            details,
-            "DESC_KEY",
-            detail,
-            details_per_row,
-            _differ=differ,
-            _description=description,
-        )
-        .groupBy("DESC_KEY", SLICE)
+        details.groupBy("DESC_KEY")
         .agg(
-            F.coalesce(F.first("_differ"), differ).alias("_differ"),
-            F.coalesce(F.first("_description"), description).alias("DESCRIPTION"),
+            (F.min("VALUE") < F.max("VALUE")).alias("_differ"),
+            F.min("_described")["value"].alias("DESCRIPTION"),
             texts.alias("_texts"),
         )
         .filter("_differ")

@@ -33,8 +33,8 @@ class ComponentResult:
     filtered: DataFrame
     counts: DataFrame
     cells: DataFrame
-    presence_binary: DataFrame
-    presence_enriched: DataFrame
+    presence_binary: DataFrame | None
+    presence_enriched: DataFrame | None
     actions: DataFrame
     number_mismatches: DataFrame
     type_mismatches: DataFrame
@@ -49,11 +49,14 @@ def run_component(
     out: str | None = None,
     names: Mapping[str, str] | None = None,
     format: str = "parquet",
+    wide: bool = True,
 ) -> ComponentResult:
     """Filter, compare and report one conformed ledger, or a function returning it.
 
     With ``out`` eleven tables are written below ``<out>/<component>_output_<run_ts>``,
     under other ``names`` where given; without it nothing but intermediates is.
+    ``wide=False`` leaves out the two matrices with columns per environment, for runs
+    with more environments than a table has room for; all else has no such limit.
 
     What several results read is stored once: the ledger of a loader function, the
     kept rows and the presence cells. A ledger given as a DataFrame is read three
@@ -65,27 +68,33 @@ def run_component(
     raw = materialise(source()) if callable(source) else source
     split = keep_reject(raw, comp, rules)
     if out is None:
-        return _results(raw, split, materialise(split.cleaned), comp)
+        return _results(raw, split, materialise(split.cleaned), comp, wide)
 
     folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
     sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
-    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp)
+    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp, wide)
     _write(result, sink, comp, rules, run_ts)
     return result
 
 
-def _results(raw: DataFrame, split, cleaned: DataFrame, comp: Component) -> ComponentResult:
+def _results(
+    raw: DataFrame, split, cleaned: DataFrame, comp: Component, wide: bool
+) -> ComponentResult:
     cells = materialise(presence_cells(cleaned, comp))
-    envs = environments(cells)
-    languages = None if comp.category else language_variants(cleaned)
+    binary = enriched = None
+    if wide:
+        envs = environments(cells)
+        languages = None if comp.category else language_variants(cleaned)
+        binary = presence_binary(cells, envs)
+        enriched = presence_enriched(cells, comp, envs, languages)
     return ComponentResult(
         raw=raw,
         cleaned=cleaned,
         filtered=split.filtered,
         counts=split.counts,
         cells=cells,
-        presence_binary=presence_binary(cells, envs),
-        presence_enriched=presence_enriched(cells, comp, envs, languages),
+        presence_binary=binary,
+        presence_enriched=enriched,
         actions=gap_actions(cleaned, comp, cells=cells),
         number_mismatches=number_mismatches(cleaned, comp),
         type_mismatches=type_mismatches(cleaned, comp),
@@ -99,8 +108,9 @@ def _write(
     counts = materialise(result.counts)
     sink.write("Filtered Out", result.filtered)
     sink.write("Filter Summary", filter_summary(counts))
-    sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
-    sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
+    if result.presence_binary is not None:
+        sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
+        sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
     # Actions outnumber all other rows: computing them per table beats storing them twice.
     kind = F.col("ActionType")
     create = sink.keep("Create", result.actions.filter(kind == CREATE))

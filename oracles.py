@@ -25,7 +25,7 @@ SELECT r.r_name AS DATALIB, CAST(n.n_nationkey AS VARCHAR) AS COMPANY,
             THEN 'J' ELSE 'N' END AS DOORTREK_JN,
        CASE WHEN p.p_size = 50 THEN 'J' WHEN p.p_size = 49 THEN NULL ELSE 'N' END AS VERDREK_JN,
        MAX(l.l_shipdate) AS LASTUSED_DATE,
-       CAST(n.n_nationkey AS BIGINT) * 1000000000 + p.p_partkey AS _ord
+       CAST(p.p_partkey AS BIGINT) * 32 + n.n_nationkey AS _ord
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -38,7 +38,7 @@ SELECT r.r_name AS DATALIB, CAST(n.n_nationkey AS VARCHAR) AS COMPANY,
                    ELSE c.c_mktsegment END, ' - ',
               CAST(CAST(floor(c.c_acctbal / 100) AS BIGINT) AS VARCHAR)) AS DESCRIPTION,
        MAX(o.o_orderpriority) AS DESCRIPTION_LANG, MAX(o.o_orderdate) AS LASTUSED_DATE,
-       CAST(n.n_nationkey AS BIGINT) * 1000000000 + c.c_custkey AS _ord
+       CAST(c.c_custkey AS BIGINT) * 32 + n.n_nationkey AS _ord
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN orders o ON o.o_custkey = c.c_custkey
@@ -248,6 +248,22 @@ SELECT any_value(DESCRIPTION) AS DESCRIPTION,
 FROM seen JOIN several USING (DESC_KEY) GROUP BY DESC_KEY"""
 
 
+def _details(comp: Component, value: str) -> str:
+    return f"""WITH {ledger(comp)},
+valued AS (SELECT DESC_KEY, ENV, _ord, {value} AS VALUE FROM kept),
+several AS (SELECT DESC_KEY FROM valued GROUP BY DESC_KEY HAVING count(DISTINCT VALUE) > 1)
+SELECT DESC_KEY, VALUE, ENV, min(_ord) AS POSITION
+FROM valued JOIN several USING (DESC_KEY) WHERE VALUE IS NOT NULL GROUP BY ALL"""
+
+
+def number_details(comp: Component) -> str:
+    return _details(comp, formatted(comp.number))
+
+
+def type_details(comp: Component) -> str:
+    return _details(comp, "CASE WHEN TYPE NOT IN ('nan', 'None', '', '<NA>') THEN trim(TYPE) END")
+
+
 def number_mismatches(comp: Component) -> str:
     return _mismatches(comp, formatted(comp.number), "v || ' (' || ENV || ')'", ", ")
 
@@ -373,6 +389,16 @@ SELECT DESC_KEY, DESCRIPTION, Numbers, {out_types}Why_Canonical
 FROM listed JOIN unified USING (DESC_KEY) WHERE n_numbers > 1 OR n_types > 1"""
 
 
+def conflict_values(comp: Component) -> str:
+    types = "UNION SELECT DESC_KEY, 'type', TYPE FROM sources WHERE TYPE IS NOT NULL" if comp is GL else ""
+    return f"""WITH {ledger(comp)}, {_unified(comp, 'pick_majority')},
+listed AS (
+  SELECT DESC_KEY, 'number' AS KIND, NUM AS VALUE FROM sources WHERE NUM IS NOT NULL {types}),
+several AS (
+  SELECT DISTINCT DESC_KEY FROM listed GROUP BY DESC_KEY, KIND HAVING count(DISTINCT VALUE) > 1)
+SELECT DISTINCT DESC_KEY, KIND, VALUE FROM listed JOIN several USING (DESC_KEY)"""
+
+
 def merge_actions(comp: Component) -> str:
     category = ", TYPE_CANONICAL AS TYPE" if comp is GL else ""
     return f"""WITH {ledger(comp)}, {_unified(comp, 'pick_majority')},
@@ -500,6 +526,8 @@ def all_oracles() -> dict[str, str]:
             "presence_binary": presence_binary(comp, names),
             "presence_enriched": presence_enriched(comp, names),
             "number_mismatches": number_mismatches(comp),
+            "number_details": number_details(comp),
+            "conflict_values": conflict_values(comp),
             "gap_actions": gap_actions(comp),
             "create_actions": actions_of(comp, "Create"),
             "review_actions": actions_of(comp, "Review"),
@@ -514,4 +542,5 @@ def all_oracles() -> dict[str, str]:
         for name, sql in per_component.items():
             found[f"{comp.code.lower()}_{name}"] = sql
     found["gl_type_mismatches"] = type_mismatches(GL)
+    found["gl_type_details"] = type_details(GL)
     return found

@@ -64,7 +64,7 @@ def _countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _position(key: Column) -> Column:
-    return (F.col("nation_key").cast("bigint") * 1_000_000_000 + key).alias("_ord")
+    return (key.cast("bigint") * 32 + F.col("nation_key")).alias("_ord")
 
 
 def gl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,8 @@ def test_extra_formats_come_in_order(spark):
 )
 def test_typed_columns(spark, kind, value, day):
     assert parse(spark, value, kind) == day
+
+
+def test_typed_dates_have_the_same_range(spark):
+    assert parse(spark, datetime(9999, 12, 31), "timestamp_ntz") is None
+    assert parse(spark, datetime(2024, 1, 15), "timestamp_ntz") == datetime(2024, 1, 15)

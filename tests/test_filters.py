@@ -127,3 +127,9 @@ def test_column_tests_reach_the_scan(spark, tmp_path):
     pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
     for column in ("DATALIB", "COMPANY", "LASTUSED_DATE", "DOORTREK_JN", "VERDREK_JN"):
         assert column in pushed, pushed
+
+
+@pytest.mark.parametrize("flags", ["DOORTREK_JN", ["DOORTREK"], ["DOORTREK_JN", "x"]])
+def test_unknown_flags_are_refused(flags):
+    with pytest.raises(ValueError):
+        FilterRules(excluded_flags=flags)

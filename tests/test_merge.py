@@ -168,7 +168,7 @@ def test_conflicts_over_types_alone(spark):
     assert found["Why_Canonical"] == "no_number"
 
 
-def test_hot_conflicts_are_split_without_loss(spark):
+def test_hot_conflicts_are_one_row(spark):
     frame = accounts(
         spark,
         *(("hot", "L1-1", str(i), f"t{i % 7}") for i in range(300)),
@@ -181,16 +181,6 @@ def test_hot_conflicts_are_split_without_loss(spark):
     assert whole["hot"] == (", ".join(numbers), ", ".join(f"t{i}" for i in range(7)))
     assert whole["cold"] == ("1, 2", "t")
 
-    parts = rows(conflicts(frame, GL, spec(), values_per_row=40))
-    cold, whole_cold = ([r for r in f if r["DESC_KEY"] == "cold"] for f in (parts, found))
-    assert cold == whole_cold
-    hot = [r for r in parts if r["DESC_KEY"] == "hot"]
-    assert len(hot) == 8
-    listed = [n for r in hot for n in r["Numbers"].split(", ") if n]
-    types = [t for r in hot for t in r["Types"].split(", ") if t]
-    assert sorted(listed) == numbers
-    assert sorted(types) == [f"t{i}" for i in range(7)]
-
 
 def test_actions_in_the_target(spark):
     frame = accounts(

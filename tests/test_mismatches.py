@@ -1,7 +1,8 @@
 from frames import ledger, rows
+from pyspark.sql import functions as F
 
 from ledgerweave.component import CC, GL
-from ledgerweave.operators import number_mismatches, type_mismatches
+from ledgerweave.operators import number_details, number_mismatches, type_mismatches
 
 
 def accounts(spark, *entries):
@@ -71,7 +72,7 @@ def test_the_description_comes_from_rows_with_a_value(spark):
     assert rows(number_mismatches(frame, GL))[0]["DESCRIPTION"] == "x"
 
 
-def test_hot_descriptions_are_split_without_loss(spark):
+def test_hot_descriptions_are_one_row(spark):
     wanted = [f"{i} (E{i % 3})" for i in range(500)]
     frame = accounts(
         spark,
@@ -82,13 +83,15 @@ def test_hot_descriptions_are_split_without_loss(spark):
     whole = {r["DESCRIPTION"]: r["Details"] for r in rows(number_mismatches(frame, GL))}
     assert whole == {"hot": ", ".join(wanted), "cold": "0 (E0), 1 (E1), 2 (E2), 3 (E3)"}
 
-    found = rows(number_mismatches(frame, GL, details_per_row=50))
-    hot = [r["Details"].split(", ") for r in found if r["DESCRIPTION"] == "hot"]
-    assert len(hot) == 10
-    assert sorted(sum(hot, [])) == sorted(wanted)
-    for part in hot:
-        assert part == sorted(part, key=wanted.index)
-        assert len(part) < 100
-    assert [r for r in found if r["DESCRIPTION"] != "hot"] == [
-        {"DESCRIPTION": "cold", "Details": whole["cold"]}
+    long = rows(number_details(frame, GL))
+    assert len(long) == 504 and {r["DESC_KEY"] for r in long} == {"hot", "cold"}
+
+
+def test_details_come_in_the_order_of_all_rows(spark):
+    frame = accounts(
+        spark, ("a", "E1", "100", None), ("a", "E2", "200", None), ("a", "E1", "100", None)
+    )
+    frame = frame.withColumn("DESCRIPTION", F.when(F.col("_ord") > F.lit(frame.agg(F.min("_ord")).first()[0]), "A"))
+    assert rows(number_mismatches(frame, GL)) == [
+        {"DESCRIPTION": "A", "Details": "100 (E1), 200 (E2)"}
     ]
