@@ -14,9 +14,10 @@ pieces that can be dealt out without missing a repeat:
    with equal cores go on, as strings a few bytes longer than ``LENGTH``.
 4. *Transforms.* The strings of a batch are dealt to shards, each with its suffix array
    and transform. The transforms are merged by refining their interleave: a pass sorts
-   the merged suffixes by one more symbol by handing each to the bucket of the symbol
-   ahead of it. After ``LENGTH`` passes the blocks that are still together are the
-   intervals of equal strings; of each, all but the earliest start are repeats.
+   the merged suffixes by two more symbols by handing each to the bucket of the symbols
+   ahead of it; suffixes that are alone by then are settled. The blocks left after
+   ``LENGTH`` symbols are the intervals of equal strings; of each, all but the earliest
+   start are repeats.
 
 Cores with more than ``STRINGS`` different strings (a passage of just such a length in very
 many surroundings) are compared by the numbers of their strings instead.
@@ -340,12 +341,15 @@ def _tied(new: np.ndarray) -> np.ndarray:
 
 
 def merge_transforms(transforms: list[np.ndarray], passes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order of all suffixes by their first ``passes`` symbols, and their blocks.
+    """The suffixes whose first ``passes`` symbols (an even number) occur at least twice, in
+    order of these, and their blocks.
 
     Suffixes are numbered through the shards, each in its own order. A pass takes the
-    suffixes in the order so far and hands each one's extension by the symbol ahead of
-    it to that symbol's bucket; within a shard that is the transform's last-to-first
-    mapping. Extensions stay in one block if symbol and former block are the same.
+    suffixes in the order so far and hands each one's extension by the two symbols
+    ahead of it to their bucket; within a shard that is the transform's last-to-first
+    mapping, twice. Extensions stay in one block if symbols and former block are the
+    same. Once a suffix is alone in its block its extensions are as well, so it is
+    settled and drops out, as do those that reach the end of their string.
     """
     back, offset = [], 0
     for transform in transforms:
@@ -355,45 +359,51 @@ def merge_transforms(transforms: list[np.ndarray], passes: int) -> tuple[np.ndar
         back.append(mapping)
         offset += len(order)
     symbols, back = np.concatenate(transforms), np.concatenate(back)
-    merged = np.arange(offset, dtype=np.int32)
+    outer = symbols[back]
+    pairs = (outer.astype(np.uint16) << 8) | symbols
+    inside = (symbols >= SHIFT) & (outer >= SHIFT)
+    back = back[back]
+    live = np.arange(offset, dtype=np.int32)
     block = np.zeros(offset, np.int32)
-    for _ in range(passes):
-        ahead = symbols[merged]
+    for _ in range(0, passes, 2):
+        within = inside[live]
+        live, block = live[within], block[within]
+        ahead = pairs[live]
         order = np.argsort(ahead, kind="stable")
-        merged = back[merged[order]]
         ahead, block = ahead[order], block[order]
-        new = (ahead[1:] != ahead[:-1]) | (block[1:] != block[:-1])
-        block = np.concatenate((np.zeros(1, np.int32), np.cumsum(new, dtype=np.int32)))
-        if block[-1] == offset - 1:
-            break  # all suffixes differ by now
-    return merged, block
+        new = np.empty(len(live) + 1, bool)
+        new[0] = new[-1] = True
+        np.not_equal(ahead[1:], ahead[:-1], out=new[1:-1])
+        new[1:-1] |= block[1:] != block[:-1]
+        tied = ~(new[:-1] & new[1:])
+        live = back[live[order[tied]]]
+        block = np.cumsum(new[:-1], dtype=np.int32)[tied]
+        if not len(live):
+            break
+    return live, block
 
 
 def equal_strings(strings: list[bytes], shard_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, offset, class) of all substrings of ``LENGTH`` bytes that occur at least twice."""
-    transforms, owners, offsets, room = [], [], [], []
+    transforms, owners, offsets = [], [], []
     for shard in np.unique(shard_of):
         own = np.flatnonzero(shard_of == shard)
         sizes = np.array([len(strings[i]) for i in own])
         text = np.full(int((sizes + 1).sum()), BETWEEN, np.uint8)
         owner = np.repeat(own, sizes + 1)
         offset = np.arange(len(text)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
-        rest = np.repeat(sizes, sizes + 1) - offset
-        text[rest > 0] = np.frombuffer(b"".join(strings[i] for i in own), np.uint8) + SHIFT
+        inside = offset < np.repeat(sizes, sizes + 1)
+        text[inside] = np.frombuffer(b"".join(strings[i] for i in own), np.uint8) + SHIFT
         text[-1] = END
         order = suffix_array(text)
         transforms.append(text[order - 1])
         owners.append(owner[order])
         offsets.append(offset[order])
-        room.append(rest[order] >= LENGTH)
     merged, block = merge_transforms(transforms, LENGTH)
-    whole = np.concatenate(room)[merged]
-    merged, block = merged[whole], block[whole]
-    at = _tied(np.concatenate(([True], block[1:] != block[:-1]))) if len(block) else np.zeros(0, np.int64)
-    return np.concatenate(owners)[merged[at]], np.concatenate(offsets)[merged[at]], block[at]
+    return np.concatenate(owners)[merged], np.concatenate(offsets)[merged], block
 
 
-def _numbered_strings(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _numbered_strings(strings: list[bytes], _: None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``equal_strings`` for any number of strings, by the numbers of their substrings."""
     hasher = _Hasher()
     sizes = np.array([len(s) for s in strings])
@@ -409,76 +419,68 @@ def _numbered_strings(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _settle_strings(rows: DataFrame) -> DataFrame:
-    """Step 4: repeats (doc, start, stop) among the strings, dealt by core."""
-
-    def repeats(strings: list[bytes], doc: np.ndarray, start: np.ndarray, shard: np.ndarray) -> tuple:
-        owner, offset, number = (
-            equal_strings(strings, shard) if len(strings) <= STRINGS else _numbered_strings(strings)
-        )
-        doc, place = doc[owner], start[owner] + offset
-        order, _, later = _first_of([number], doc, place)
-        doc, place = doc[order][later], place[order][later]
-        return _merged(doc, place, place + LENGTH)
+    """Step 4: repeats (doc, start, stop) among the strings, which come in order of their core."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("core", "left", "doc", "start", "string")
-        waiting: list[tuple] = []
-        size, found = 0, []
-        for core, left, doc, start, strings in _by_core(batches, names):
-            texts = np.array(strings, dtype=object)
-            _, number = np.unique(texts, return_inverse=True)
-            order, new, later = _first_of([left, number], doc, start)
-            ends = start + np.array([len(s) for s in strings])
-            found.append(_merged(doc[order][later], start[order][later], ends[order][later]))
-            first = order[new]
-            if len(first) < 2:
-                continue
-            waiting.append((texts[first].tolist(), doc[first], start[first], np.arange(len(first)) % SHARDS))
-            size += sum(map(len, waiting[-1][0]))
-            if size >= BATCH:
-                found.append(_together(waiting))
-                waiting, size = [], 0
-                yield _interval_batch(found)
-                found = []
-        if waiting:
-            found.append(_together(waiting))
-        if found:
-            yield _interval_batch(found)
-
-    def _together(waiting: list[tuple]) -> tuple:
-        if len(waiting[-1][0]) > STRINGS and len(waiting) > 1:
-            parts = [_together(waiting[:-1]), _together(waiting[-1:])]
-            return tuple(np.concatenate(p) for p in zip(*parts))
-        strings = [s for w in waiting for s in w[0]]
-        return repeats(strings, *(np.concatenate([w[i] for w in waiting]) for i in (1, 2, 3)))
+        hasher = _Hasher()
+        for rows in _chunks(batches):
+            yield _interval_batch(_chunk_repeats(rows, hasher))
 
     return rows.mapInArrow(run, "doc long, start long, stop long")
 
 
-def _by_core(batches: Iterable[pa.RecordBatch], names: tuple) -> Iterator[tuple]:
-    """The rows of one core after the other; rows come in order of their core."""
-    held: list = []
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Consecutive rows with about ``BATCH`` bytes of strings and whole cores."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        rows = [column(batch, c) for c in names]
-        if not batch.num_rows:
-            continue
-        rows = [r.to_pylist() if c == "string" else r.to_numpy() for c, r in zip(names, rows)]
-        cuts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1]))).tolist()
-        for a, b in zip(cuts, [*cuts[1:], len(rows[0])]):
-            part = [r[a:b] for r in rows]
-            if held and held[0][0][0] == part[0][0]:
-                held.append(part)
-                continue
-            if held:
-                yield _joined(held)
-            held = [part]
-    if held:
-        yield _joined(held)
-
-
-def _joined(parts: list) -> tuple:
-    columns = list(zip(*parts))
-    return tuple(np.concatenate(c) for c in columns[:-1]) + ([s for c in columns[-1] for s in c],)
+        at = 0
+        while at < batch.num_rows:
+            # About as many rows as fit, then on to the end of the core.
+            part = batch.slice(at, max(1, (BATCH - size) // (LENGTH + OFFSETS // PARTS) + 1))
+            at += part.num_rows
+            waiting.append(part)
+            size += part.num_rows * (LENGTH + OFFSETS // PARTS)
+            if size >= BATCH:
+                table = pa.Table.from_batches(waiting)
+                core = table["core"].to_numpy()
+                cut = int(np.searchsorted(core, core[-1]))
+                if cut:
+                    yield table.slice(0, cut)
+                waiting = table.slice(cut).to_batches()
+                size = (table.num_rows - cut) * (LENGTH + OFFSETS // PARTS) if cut else 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _chunk_repeats(rows: pa.Table, hasher: _Hasher) -> list[tuple]:
+    core, left, doc, start = (rows[c].to_numpy() for c in ("core", "left", "doc", "start"))
+    strings = rows["string"].to_pylist()
+    sizes = np.array([len(s) for s in strings], np.int64)
+    stops = np.cumsum(sizes)
+    hasher.load(np.frombuffer(b"".join(strings), np.uint8))
+    number = hasher.number(stops - sizes, stops)
+    order, new, later = _first_of([core, left, number], doc, start)
+    again = order[later]
+    found = [_merged(doc[again], start[again], start[again] + sizes[again])]
+    # The earliest of each class of equal strings, where a core has several.
+    first = order[new]
+    begins = np.flatnonzero(np.concatenate(([True], core[first][1:] != core[first][:-1])))
+    counts = np.diff(np.append(begins, len(first)))
+    place = np.arange(len(first)) - np.repeat(begins, counts)
+    count = np.repeat(counts, counts)
+    together = (count > 1) & (count <= STRINGS)
+    parts = [(first[together], place[together] % SHARDS, equal_strings)]
+    for begin, n in zip(begins[counts > STRINGS], counts[counts > STRINGS]):
+        parts.append((first[begin : begin + n], None, _numbered_strings))
+    for own, shard, compare in parts:
+        if len(own):
+            owner, offset, same = compare([strings[i] for i in own], shard)
+            docs, places = doc[own][owner], start[own][owner] + offset
+            order, _, later = _first_of([same], docs, places)
+            docs, places = docs[order][later], places[order][later]
+            found.append(_merged(docs, places, places + LENGTH))
+    return found
 
 
 def _interval_batch(found: list[tuple]) -> pa.RecordBatch:
