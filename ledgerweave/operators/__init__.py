@@ -1,7 +1,7 @@
 """Operators on conformed ledgers. Each takes and returns DataFrames."""
 
 from ledgerweave.operators.filters import FilterRules, keep_reject, keep_rule
-from ledgerweave.operators.gaps import gap_actions
+from ledgerweave.operators.gaps import action_counts, gap_actions
 from ledgerweave.operators.merge import (
     MergeSpec,
     merge_actions,
@@ -30,6 +30,8 @@ __all__ = [
     "FilterRules",
     "MergeSpec",
     "environments",
+    "action_counts",
+    "action_counts",
     "gap_actions",
     "keep_reject",
     "keep_rule",

@@ -65,6 +65,7 @@ def gap_actions(
     comp: Component,
     gaps: DataFrame | None = None,
     *,
+    kind: str | None = None,
     cells: DataFrame | None = None,
     ordinal: str = "_ord",
     chunk_size: int = CHUNK_SIZE,
@@ -80,16 +81,12 @@ def gap_actions(
     ``gaps`` gives the ``(DESC_KEY, ENV)`` pairs to judge instead of the ones the
     ledger lacks; only then can a number be taken by the same description.
     ``cells`` are the presence cells of the ledger, if they are at hand already.
+    ``kind`` asks for the actions of one type; the others are never made.
     """
-    axis = environment_axis(cleaned, comp, gaps, chunk_size, broadcast_limit)
-    if cells is None:
-        described = _described(cleaned, comp, axis, F.col("ENV"), F.col(ordinal))
-    else:
-        described = _described(cells, comp, axis, F.col("ENV"))
-    wanted = _lacking(described, axis) if gaps is None else _given(described, axis, gaps)
-    taken = _taken(cleaned, comp, axis, ordinal, rivals=1 if gaps is None else 2)
-
-    joined = wanted.join(shuffle_anew(taken, comp.number), [comp.number, CHUNK], "left")
+    joined, axis = _judged(cleaned, comp, gaps, cells, ordinal, chunk_size, broadcast_limit)
+    if kind is not None:
+        chosen = _of_kind(kind)
+        joined = joined.withColumn("_missing", chosen).filter(F.col("_missing") != 0)
     bit = F.col(BIT)
     found = (
         axis.with_names(_phrased(joined, comp))
@@ -100,6 +97,55 @@ def gap_actions(
     return _worded(found, comp)
 
 
+def action_counts(
+    cleaned: DataFrame,
+    comp: Component,
+    gaps: DataFrame | None = None,
+    *,
+    cells: DataFrame | None = None,
+    ordinal: str = "_ord",
+    chunk_size: int = CHUNK_SIZE,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """One row with the number of actions of each type, counted on the sets without making any."""
+    joined, _ = _judged(cleaned, comp, gaps, cells, ordinal, chunk_size, broadcast_limit)
+    return joined.agg(
+        *(
+            F.coalesce(F.sum(F.bit_count(_of_kind(kind)).cast("bigint")), F.lit(0)).alias(kind)
+            for kind in (CREATE, REVIEW)
+        )
+    )
+
+
+def _of_kind(kind: str) -> Column:
+    """The missing environments that use the number already, or those that do not."""
+    taken = F.coalesce("_taken", F.lit(0))
+    if kind not in (CREATE, REVIEW):
+        raise ValueError(f"unknown type of action: {kind}")
+    return F.col("_missing").bitwiseAND(taken if kind == REVIEW else F.bitwise_not(taken))
+
+
+def _judged(
+    cleaned: DataFrame,
+    comp: Component,
+    gaps: DataFrame | None,
+    cells: DataFrame | None,
+    ordinal: str,
+    chunk_size: int,
+    broadcast_limit: int,
+) -> tuple[DataFrame, Axis]:
+    """Per description and chunk: what is missing there, and who uses its number."""
+    axis = environment_axis(cleaned, comp, gaps, chunk_size, broadcast_limit)
+    if cells is None:
+        described = _described(cleaned, comp, axis, F.col("ENV"), F.col(ordinal))
+    else:
+        described = _described(cells, comp, axis, F.col("ENV"))
+    wanted = _lacking(described, axis) if gaps is None else _given(described, axis, gaps)
+    taken = _taken(cleaned, comp, axis, ordinal, rivals=1 if gaps is None else 2)
+
+    return wanted.join(shuffle_anew(taken, comp.number), [comp.number, CHUNK], "left"), axis
+
+
 def _described(source: DataFrame, comp: Component, axis: Axis, *order: Column) -> DataFrame:
     """Per description: inherited attributes, and its environments as sets by chunk."""
     attributes = [name for name in comp.attributes if name in source.columns]

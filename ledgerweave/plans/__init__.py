@@ -2,7 +2,7 @@
 
 from ledgerweave.plans.merge_plan import merge_plan
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
-from ledgerweave.plans.run import ComponentResult, run_component
+from ledgerweave.plans.run import ComponentResult, Steps, run_component
 from ledgerweave.plans.sink import Sink, table_names
 from ledgerweave.storage import materialise
 
@@ -13,6 +13,7 @@ __all__ = [
     "filter_summary",
     "materialise",
     "merge_plan",
+    "Steps",
     "run_component",
     "run_summary",
     "table_names",

@@ -29,7 +29,7 @@ def run_summary(
     comp: Component,
     counts: DataFrame,
     cells: DataFrame,
-    actions: DataFrame,
+    action_counts: DataFrame,
     number_mismatches: DataFrame,
     type_mismatches: DataFrame,
     run_ts: str | None = None,
@@ -67,13 +67,8 @@ def run_summary(
                 }
             )
         ),
-        actions.agg(
-            *_figures(
-                {
-                    "Create Actions": F.count_if(F.col("ActionType") == CREATE),
-                    "Review Actions": F.count_if(F.col("ActionType") == REVIEW),
-                }
-            )
+        action_counts.select(
+            *_figures({"Create Actions": F.col(CREATE), "Review Actions": F.col(REVIEW)})
         ),
         number_mismatches.agg(*_figures({"Number Mismatches": F.count(F.lit(1))})),
         type_mismatches.agg(*_figures({"Type Mismatches": F.count(F.lit(1))})),

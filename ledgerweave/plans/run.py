@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.operators.filters import FilterRules, keep_reject
-from ledgerweave.operators.gaps import CREATE, REVIEW, gap_actions
+from ledgerweave.operators.gaps import CREATE, REVIEW, action_counts, gap_actions
 from ledgerweave.operators.mismatches import number_mismatches, type_mismatches
 from ledgerweave.operators.presence import (
     environments,
@@ -36,10 +37,23 @@ class ComponentResult:
     presence_binary: DataFrame | None
     presence_enriched: DataFrame | None
     actions: DataFrame
+    create: DataFrame
+    review: DataFrame
+    action_counts: DataFrame
     number_mismatches: DataFrame
     type_mismatches: DataFrame
 
 
+class Steps(NamedTuple):
+    """The functions a run consists of; each can be replaced by one of the same signature."""
+
+    split: Callable = keep_reject
+    cells: Callable = presence_cells
+    actions: Callable = gap_actions
+    numbers: Callable = number_mismatches
+    types: Callable = type_mismatches
+
+
 def run_component(
     source: DataFrame | Callable[[], DataFrame],
     comp: Component,
@@ -50,6 +64,7 @@ def run_component(
     names: Mapping[str, str] | None = None,
     format: str = "parquet",
     wide: bool = True,
+    steps: Steps = Steps(),
 ) -> ComponentResult:
     """Filter, compare and report one conformed ledger, or a function returning it.
 
@@ -57,6 +72,7 @@ def run_component(
     under other ``names`` where given; without it nothing but intermediates is.
     ``wide=False`` leaves out the two matrices with columns per environment, for runs
     with more environments than a table has room for; all else has no such limit.
+    ``steps`` replaces single steps of the run.
 
     What several results read is stored once: the ledger of a loader function, the
     kept rows and the presence cells. A ledger given as a DataFrame is read three
@@ -66,27 +82,36 @@ def run_component(
         raise ValueError("a written run needs run_ts to name its folder")
     rules = rules or FilterRules()
     raw = materialise(source()) if callable(source) else source
-    split = keep_reject(raw, comp, rules)
+    split = steps.split(raw, comp, rules)
     if out is None:
-        return _results(raw, split, materialise(split.cleaned), comp, wide)
+        return _results(raw, split, materialise(split.cleaned), comp, wide, steps)
 
     folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
     sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
-    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp, wide)
+    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp, wide, steps)
     _write(result, sink, comp, rules, run_ts)
     return result
 
 
 def _results(
-    raw: DataFrame, split, cleaned: DataFrame, comp: Component, wide: bool
+    raw: DataFrame, split, cleaned: DataFrame, comp: Component, wide: bool, steps: Steps
 ) -> ComponentResult:
-    cells = materialise(presence_cells(cleaned, comp))
+    cells = materialise(steps.cells(cleaned, comp))
     binary = enriched = None
     if wide:
         envs = environments(cells)
         languages = None if comp.category else language_variants(cleaned)
         binary = presence_binary(cells, envs)
         enriched = presence_enriched(cells, comp, envs, languages)
+    if steps.actions is gap_actions:
+        actions = gap_actions(cleaned, comp, cells=cells)
+        create, review = (gap_actions(cleaned, comp, kind=k, cells=cells) for k in (CREATE, REVIEW))
+        counted = action_counts(cleaned, comp, cells=cells)
+    else:
+        actions = steps.actions(cleaned, comp, cells=cells)
+        kind = F.col("ActionType")
+        create, review = (actions.filter(kind == k) for k in (CREATE, REVIEW))
+        counted = actions.agg(*(F.count_if(kind == k).alias(k) for k in (CREATE, REVIEW)))
     return ComponentResult(
         raw=raw,
         cleaned=cleaned,
@@ -95,9 +120,12 @@ def _results(
         cells=cells,
         presence_binary=binary,
         presence_enriched=enriched,
-        actions=gap_actions(cleaned, comp, cells=cells),
-        number_mismatches=number_mismatches(cleaned, comp),
-        type_mismatches=type_mismatches(cleaned, comp),
+        actions=actions,
+        create=create,
+        review=review,
+        action_counts=counted,
+        number_mismatches=steps.numbers(cleaned, comp),
+        type_mismatches=steps.types(cleaned, comp),
     )
 
 
@@ -111,15 +139,12 @@ def _write(
     if result.presence_binary is not None:
         sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
         sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
-    # Actions outnumber all other rows: computing them per table beats storing them twice.
-    kind = F.col("ActionType")
-    create = sink.keep("Create", result.actions.filter(kind == CREATE))
-    review = sink.keep("Review", result.actions.filter(kind == REVIEW))
+    sink.write("Create", result.create)
+    sink.write("Review", result.review)
     numbers = sink.keep("Number Mismatches", result.number_mismatches)
     types = sink.keep("Type Mismatches", result.type_mismatches)
 
-    actions = create.unionByName(review)
-    summary = run_summary(comp, counts, result.cells, actions, numbers, types, run_ts)
+    summary = run_summary(comp, counts, result.cells, result.action_counts, numbers, types, run_ts)
     sink.write("Summary", summary)
     parameters = {**asdict(rules), "component": comp.code, "run_timestamp": run_ts}
     sink.write("Config", config_echo(result.cells.sparkSession, parameters))

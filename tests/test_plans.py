@@ -6,7 +6,7 @@ from frames import ledger, rows
 from pyspark.sql import functions as F
 
 from ledgerweave import CC, GL, FilterRules, merge_plan, run_component
-from ledgerweave.plans import Sink, config_echo, materialise, run_summary, table_names
+from ledgerweave.plans import Sink, Steps, config_echo, materialise, run_summary, table_names
 from ledgerweave.storage import shared_folder
 
 SPEC = {
@@ -76,13 +76,43 @@ def test_a_run_that_keeps_nothing(spark, tmp_path, comp, frame):
     assert {r.Metric: r.Value for r in stored.collect()}["Environments"] == "0"
 
 
+def test_actions_by_type_and_their_counts(spark):
+    result = run_component(accounts(spark), GL)
+    assert rows(result.create) == rows(result.actions) and rows(result.review) == []
+    assert tuple(result.action_counts.first()) == (1, 0)
+
+
+def test_a_run_without_wide_tables(spark, tmp_path):
+    result = run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path), wide=False)
+    assert result.presence_binary is None and result.presence_enriched is None
+    assert result.create.count() == 1
+    assert not any("resence" in p.name for p in (tmp_path / "GL_output_t").iterdir())
+
+
+def test_each_step_can_be_replaced(spark):
+    seen = []
+
+    def noting(name, function):
+        def step(*args, **kwargs):
+            seen.append(name)
+            return function(*args, **kwargs)
+
+        return step
+
+    usual = Steps()
+    swapped = Steps(*(noting(n, f) for n, f in zip(Steps._fields, usual)))
+    result = run_component(accounts(spark), GL, steps=swapped)
+    assert sorted(seen) == sorted(Steps._fields)
+    assert tuple(result.action_counts.first()) == (1, 0)
+
+
 def test_summary(spark):
     result = run_component(accounts(spark), GL)
     found = run_summary(
         GL,
         result.counts,
         result.cells,
-        result.actions,
+        result.action_counts,
         result.number_mismatches,
         result.type_mismatches,
         run_ts="2024-06-01T12:00:00",
@@ -107,7 +137,8 @@ def test_summary(spark):
 def test_summary_separates_thousands(spark):
     counts = spark.sql("SELECT 1234567L AS Removed, 1000L AS Kept")
     nothing = spark.createDataFrame([], "ENV string, DESC_KEY string, ActionType string")
-    found = run_summary(CC, counts, nothing, nothing, nothing, nothing)
+    actions = spark.sql("SELECT 0L AS Create, 0L AS Review")
+    found = run_summary(CC, counts, nothing, actions, nothing, nothing)
     figures = {r["Metric"]: r["Value"] for r in rows(found)}
     assert len(figures) == 10
     assert (figures["Rows Loaded"], figures["Environments"]) == ("1,235,567", "0")
