@@ -166,7 +166,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
         known = Codec(path)
 
         def work(batch: pa.RecordBatch) -> dict:
-            found = [known.encode(t.as_py() or "") for t in column(batch, text)]
+            found = [known.encode(t or "") for t in column(batch, text).to_pylist()]
             starts = np.zeros(len(found) + 1, dtype=np.int64)
             np.cumsum([len(ids) for ids in found], out=starts[1:])
             flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(starts[-1]))
@@ -185,7 +185,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
         known = Codec(path)
 
         def work(batch: pa.RecordBatch) -> dict:
-            return {into: pa.array([known.decode(x.as_py() or []) for x in column(batch, ids)], pa.string())}
+            lists = column(batch, ids)
+            values = lists.values.to_numpy()
+            ends = lists.offsets.to_numpy()
+            told = [known.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+            return {into: pa.array(told, pa.string())}
 
         return work
 
