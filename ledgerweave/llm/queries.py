@@ -99,6 +99,29 @@ def op5_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP5_SQL = r"""
+WITH RECURSIVE spoken AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM spoken WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives in the shared folder and read back."""
     records = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
@@ -196,4 +219,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rules": op9_rules,
     "op10_decontam": op10_decontam,
 }
-ORACLES: dict[str, str] = {"op1_chat": OP1_SQL, "op6_warc": OP6_SQL}
+ORACLES: dict[str, str] = {"op1_chat": OP1_SQL, "op5_parity": OP5_SQL, "op6_warc": OP6_SQL}
