@@ -26,18 +26,20 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Callable]) -> DataFrame:
+def map_batches(
+    df: DataFrame, schema: str | StructType, start: Callable[[], Callable], rows: int = 1 << 30
+) -> DataFrame:
     """Rows made from Arrow batches.
 
     ``start()`` runs once per task, so that it can load a model; what it returns
-    takes a batch and returns the columns of the result.
+    takes a batch, of ``rows`` rows at most, and returns the columns of the result.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            if batch.num_rows:
-                made = work(batch)
+            for at in range(0, batch.num_rows, rows):
+                made = work(batch.slice(at, rows))
                 yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
     return df.mapInArrow(run, schema)

@@ -41,6 +41,7 @@ SIMILAR = (80, 100)  # intersection to union, as a fraction
 BUCKET = 8  # sets; larger buckets emit a forest instead of all pairs
 SMALL = 5  # bands below 2^5 shingles have a block for each shingle
 ROWS = 2_000_000  # of a task that looks for shared blocks
+TEXTS = 1_000  # whose sets a task holds at once
 _U64 = np.uint64
 
 
@@ -135,7 +136,7 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
 
         return work
 
-    return map_batches(documents, "doc_id long, n_shingles long, set_id long", start)
+    return map_batches(documents, "doc_id long, n_shingles long, set_id long", start, TEXTS)
 
 
 def _signature_rows(documents: DataFrame) -> DataFrame:
@@ -159,7 +160,7 @@ def _signature_rows(documents: DataFrame) -> DataFrame:
 
         return work
 
-    return map_batches(documents, "signature long, set_id long", start)
+    return map_batches(documents, "signature long, set_id long", start, TEXTS)
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
@@ -226,7 +227,7 @@ def _needed_sets(documents: DataFrame, ids: DataFrame, reps: DataFrame, full: bo
     wanted = ids.distinct().join(reps, "set_id")
     chosen = in_table(documents, "doc_id", bit_table(wanted, "doc_id"))
     schema = "set_id long, shingles array<long>" if full else "set_id long, n long, sketch binary"
-    return materialise(map_batches(chosen, schema, start))
+    return materialise(map_batches(chosen, schema, start, TEXTS))
 
 
 def _passing(sizes: np.ndarray, sketches: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
