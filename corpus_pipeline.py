@@ -48,9 +48,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Bytes of characters that a cut left incomplete go as well.
     """
-    cut = suffix.remove_repeats(docs)
+    cut = suffix.remove_repeats(docs, characters=True)
     touched = F.size("spans") > 0
-    text = F.when(touched, F.try_validate_utf8(F.col("kept").cast("string"))).otherwise(F.col("text"))
+    text = F.when(touched, F.col("kept").cast("string")).otherwise(F.col("text"))
     left = cut.withColumn("text", text).filter(~touched | (F.length("text") > 0))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

@@ -512,11 +512,14 @@ def _texts(documents: DataFrame, doc: str, text: str) -> DataFrame:
     )
 
 
-def remove_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    documents: DataFrame, doc: str = "doc_id", text: str = "text", characters: bool = False
+) -> DataFrame:
     """``documents`` with ``n_bytes``, ``spans`` and ``kept``: what is removed of each and what is left.
 
     ``spans`` are the maximal removed runs (start, stop), ``kept`` the remaining bytes,
-    which may cut a character in two. Columns of these names are replaced.
+    which may cut a character in two. With ``characters`` the runs are widened to whole
+    characters, so that ``kept`` is text again. Columns of these names are replaced.
     """
     spans = materialise(
         repeated_spans(documents, doc, text)
@@ -543,6 +546,8 @@ def remove_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text"
             for body, found in zip(column(batch, text).to_pylist(), column(batch, "_found").to_pylist()):
                 data = (body or "").encode()
                 joined = _joined_spans(found or [])
+                if characters:
+                    joined = _joined_spans(_whole_characters(data, joined))
                 ends = [0, *(s["stop"] for s in joined)]
                 starts = [*(s["start"] for s in joined), len(data)]
                 sizes.append(len(data))
@@ -567,3 +572,20 @@ def _joined_spans(spans: list[dict]) -> list[dict]:
         else:
             joined.append(dict(span))
     return joined
+
+
+def _whole_characters(data: bytes, spans: list[dict]) -> list[dict]:
+    """The spans with all bytes of the characters that they begin or end in."""
+
+    def inside(at: int) -> bool:
+        return at < len(data) and data[at] & 0xC0 == 0x80
+
+    wider = []
+    for span in spans:
+        start, stop = span["start"], span["stop"]
+        while inside(start):
+            start -= 1
+        while inside(stop):
+            stop += 1
+        wider.append({"start": start, "stop": stop})
+    return wider

@@ -83,3 +83,18 @@ def test_odd_documents_pass_through(spark):
             found = materialise(stage(spark, found, SF))
         assert {r.doc_id for r in found.collect()} == ({2, 3} if source is docs else set())
         assert found.count() == (2 if source is docs else 0)
+
+
+def test_repeats_that_end_inside_a_character_leave_the_rest(spark):
+    passage = "".join(chr(97 + i * i % 23) for i in range(90)) + " the passage that all of these share"
+    rows = [
+        (1, f"first ũ{passage}é one", "", "", 0),
+        (2, f"second {passage}è two", "", "", 0),  # the lead byte of its e-grave repeats
+        (3, f"third é{passage}è-three", "", "", 0),  # and the last one of its e-acute; the rest makes a letter
+        (4, f"é{passage}è", "", "", 0),
+        (5, "fifth é", "", "", 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.without_repeats(spark, docs, SF).collect()
+    assert {r.doc_id: r.text for r in left} == {1: rows[0][1], 2: "second  two", 3: "third -three", 5: "fifth é"}
+    assert all(r.n_chars == len(r.text) for r in left)
