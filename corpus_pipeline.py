@@ -31,16 +31,29 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of near duplicates the document with the least doc_id stays.
 
-    Documents without shingles are no group; rows that repeat a doc_id are one document.
+    Documents without shingles are no group. What groups a row is its text: texts that share a
+    doc_id, or have none, stand for themselves. A null doc_id comes after all others, equal ids
+    go by a hash of the text, and of rows equal in both the one with the least other columns
+    stays.
     """
-    near = materialise(parity.near_duplicates(docs))
-    gone = near.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = near.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    near = parity.near_duplicates(keyed, "_row").filter("n_shingles > 0")
+    groups = near.groupBy(F.col("doc_id").alias("_row")).agg(
+        F.first("component_id").alias("component"), F.count("*").alias("n")
+    )
+    ids = keyed.select("_row", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    rows = materialise(groups.join(ids, "_row").select("_row", "component", "n", order.alias("place")))
+    least = rows.groupBy("component").agg(F.min("place").alias("least"))
+    gone = rows.join(least, "component").filter("_row != least._row").select("_row")
+    kept = keyed.join(gone, "_row", "left_anti")
+    again = rows.filter("n > 1").select("_row")
     if again.isEmpty():
-        return kept
-    once = kept.alias("d").join(again.alias("x"), _same_id(), "left_semi").dropDuplicates(["doc_id"])
-    return kept.alias("d").join(again.alias("x"), _same_id(), "left_anti").unionByName(once)
+        return kept.select(*docs.columns)
+    others = F.to_json(F.struct(*(c for c in docs.columns if c.lower() != "text")))
+    once = kept.join(again, "_row", "left_semi").groupBy("_row")
+    once = once.agg(F.min_by(F.struct(*docs.columns), others).alias("_one")).select("_one.*")
+    return kept.join(again, "_row", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,3 +98,22 @@ def test_repeats_that_end_inside_a_character_leave_the_rest(spark):
     left = corpus_pipeline.without_repeats(spark, docs, SF).collect()
     assert {r.doc_id: r.text for r in left} == {1: rows[0][1], 2: "second  two", 3: "third -three", 5: "fifth é"}
     assert all(r.n_chars == len(r.text) for r in left)
+
+
+def test_texts_are_grouped_whatever_their_ids(spark):
+    def words(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [
+        (None, words("a"), "x"), (None, words("b"), "x"), (None, words("c"), "x"), (None, words("c") + " more", "x"),
+        (None, words("d"), "x"), (6, words("d") + " more", "x"), (5, words("d"), "x"),
+        (7, words("e"), "x"), (7, words("f"), "x"), (7, words("d") + " other", "x"),
+        (8, words("g"), "z"), (8, words("g"), "y"), (None, words("h"), "z"), (None, words("h"), "y"),
+        (None, "", "x"), (None, None, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    found = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
+    group_c = [r for r in found if r[1] and r[1].startswith("c0 ")]
+    assert len(group_c) == 1 and group_c[0] in rows
+    want = [rows[i] for i in (0, 1, 6, 7, 8, 11, 13, 14, 15)]
+    assert sorted(set(found) - set(group_c), key=str) == sorted(want, key=str) and len(found) == 10
