@@ -23,7 +23,9 @@ Cores with more than ``STRINGS`` different strings (a passage of just such a len
 many surroundings) are compared by the numbers of their strings instead.
 
 Nulls: a null text is empty; a null doc_id orders ahead of all others and is kept. Rows
-that share a doc_id are one document and must be copies; they do not repeat each other.
+equal in doc_id and text are one document and do not repeat each other. Different texts
+that share a doc_id, or have none, are documents of their own, in order of a hash of the
+text; such tables are numbered anew first, which stores the documents once.
 Texts shorter than ``LENGTH`` bytes keep everything. Columns beside the named ones are not
 read. Anchors, contexts and cores are compared as 64-bit numbers.
 """
@@ -488,11 +490,12 @@ def _interval_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "start", "stop"])
 
 
-def repeated_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, start, stop) of all repeats, overlaps not yet joined; a null doc_id is ``NO_ID``."""
-    texts = _texts(documents, doc, text)
-    spark = documents.sparkSession
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def repeated_spans(texts: DataFrame, total: int) -> DataFrame:
+    """(doc, start, stop) of all repeats in (doc, text), overlaps not yet joined.
+
+    Rows that share ``doc`` are copies. ``total`` is the bytes of text.
+    """
+    spark = texts.sparkSession
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES + 1)
     settled = materialise(_settle_contexts(_anchor_rows(texts).repartition(partitions, "key")))
     onward = settled.filter("ranges IS NOT NULL")
@@ -505,11 +508,27 @@ def repeated_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text"
     return settled.filter("ranges IS NULL").drop("ranges").unionByName(_settle_strings(in_order))
 
 
-def _texts(documents: DataFrame, doc: str, text: str) -> DataFrame:
-    return documents.select(
-        F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+def _numbered(documents: DataFrame, doc: str, text: str) -> tuple[DataFrame, int]:
+    """``documents`` with ``_doc``, in order of doc_id and equal only for copies; the bytes of text.
+
+    That is doc_id itself, unless different texts share one or have none.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = documents.withColumn("_doc", F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)))
+    named = F.col(doc).cast("long").isNotNull()
+    sizes = keyed.select("_doc", F.xxhash64(body, named).alias("hash"), F.octet_length(body).alias("size"))
+    per_id = sizes.groupBy("_doc").agg(
+        F.sum("size").alias("size"), (F.min("hash") != F.max("hash")).alias("differ")
     )
+    total, differ = per_id.agg(F.sum("size"), F.max("differ")).first()
+    if not differ:
+        return keyed, total or 0
+    keyed = keyed.withColumn("_named", named).withColumn("_hash", F.xxhash64(body))
+    key = ["_named", "_doc", "_hash"]
+    # Numbers that rise through the partitions of a sorted table.
+    ranks = keyed.select(*key).distinct().orderBy(*key).withColumn("_rank", F.monotonically_increasing_id())
+    numbered = keyed.join(materialise(ranks), key).drop(*key).withColumnRenamed("_rank", "_doc")
+    return materialise(numbered), total or 0
 
 
 def remove_repeats(
@@ -521,12 +540,13 @@ def remove_repeats(
     which may cut a character in two. With ``characters`` the runs are widened to whole
     characters, so that ``kept`` is text again. Columns of these names are replaced.
     """
+    keyed, total = _numbered(documents, doc, text)
+    texts = keyed.select(F.col("_doc").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = materialise(
-        repeated_spans(documents, doc, text)
+        repeated_spans(texts, total)
         .groupBy(F.col("doc").alias("_doc"))
         .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_found"))
     )
-    keyed = documents.withColumn("_doc", F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)))
     table = bit_table(spans, "_doc")
     # Only documents that have repeats are dealt out anew.
     cut = in_table(keyed, "_doc", table).join(spans, "_doc", "left")

@@ -86,3 +86,24 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     found = sorted(((r.doc_id is not None, len(r.kept)) for r in suffix.remove_repeats(df).collect()))
     assert found == [(False, 300), (False, 300), (True, 0), (True, 0), (True, 5)]
     assert suffix.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_texts_without_ids_of_their_own(spark):
+    chance = random.Random(7)
+
+    def prose(n):
+        return "".join(chance.choices("abcdefgh", k=n))
+
+    passage, shared = prose(150), prose(120)
+    rows = [(None, prose(n) + passage + prose(n)) for n in (5, 300, 20, 900)] + [(None, prose(400)), (None, prose(30)), (None, None)]
+    rows += [(-(1 << 63), prose(50) + shared), (3, prose(700) + shared + prose(9)), (3, prose(150)), (3, shared + prose(3)), (8, passage + prose(200))]
+    rows += [rows[1], rows[8]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = suffix.remove_repeats(df).collect()
+    assert len(found) == len(rows)
+    # In order of doc_id, null first, then of the text's hash; copies are one document.
+    number = {r.text: r.number for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS number").collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, number[r[1]]))
+    want = brute(list(enumerate(t for _, t in order)))
+    assert {(r.doc_id, r.text, bytes(r.kept)) for r in found} == {(*r, want[i]) for i, r in enumerate(order)}
+    assert sum(len(w) < len(t or "") for w, (_, t) in zip(want.values(), order)) == 6
