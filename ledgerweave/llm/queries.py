@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, pages, parity, quality, rules, suffix, warc
+from . import bpe, chat, decontam, fim, langid, mix, pages, parity, pivots, quality, rules, suffix, warc
 from .common import materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -207,6 +207,96 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle, and put together again."""
+    cut = fim.rearrange(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = """
+WITH told AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+  FROM documents),
+units AS (
+  SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+    [CAST('0x' || hex[1 + 8 * i : 8 + 8 * i] AS BIGINT) FOR i IN range(4)] AS h FROM told),
+cuts AS (
+  SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+    greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+      THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:n], '') AS s FROM cuts)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much a mix of the sources takes of every document."""
+    taken = mix.words_taken(mix.mix(table(spark, sf_dir, "documents")))
+    return taken.withColumnRenamed("key", "doc_id")
+
+
+def op13_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's cluster, after three rounds."""
+    found = pivots.with_inertia(pivots.cluster(table(spark, sf_dir, "embeddings")))
+    return found.withColumnRenamed("key", "vec_id")
+
+
+def _op13_sql() -> str:
+    """The rounds written out one after the other."""
+    nearest = """
+    SELECT vec_id, h, v, cluster, distance FROM (
+      SELECT x.vec_id, x.h, x.v, c.cluster, list_sum([CAST((x.v[i] - c.v[i]) * (x.v[i] - c.v[i]) AS BIGINT)
+          FOR i IN range(1, 65)]) AS distance
+      FROM whole x, {centroids} c)
+    QUALIFY row_number() OVER (PARTITION BY h, v, vec_id ORDER BY distance, cluster) = 1"""
+    parts = [
+        """
+  whole AS (
+    SELECT vec_id, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h,
+      [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings WHERE len(embedding) = 64
+      AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+        """
+  c0 AS (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v FROM (SELECT h, v FROM whole ORDER BY h, v LIMIT 16))""",
+    ]
+    for i in range(pivots.ROUNDS):
+        parts.append(f"\n  a{i} AS ({nearest.format(centroids=f'c{i}')})")
+        parts.append(f"""
+  c{i + 1} AS (
+    SELECT c{i}.cluster, coalesce(moved.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+      SELECT cluster, list(m ORDER BY j) AS v FROM (
+        SELECT cluster, j, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+        FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS j FROM a{i}) GROUP BY cluster, j)
+      GROUP BY cluster) moved USING (cluster))""")
+    last = f"c{pivots.ROUNDS}"
+    parts.append(f"\n  final AS ({nearest.format(centroids=last)})")
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, CAST(final.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY final.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string({last}.v, ',')) AS centroid_sha256
+FROM final JOIN {last} ON final.cluster = {last}.cluster
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_langid": op2_langid,
@@ -218,5 +308,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_decontam": op10_decontam,
+    "op11_fim": op11_fim,
+    "op12_mix": op12_mix,
+    "op13_pivots": op13_pivots,
+}
+ORACLES: dict[str, str] = {
+    "op1_chat": OP1_SQL,
+    "op5_parity": OP5_SQL,
+    "op6_warc": OP6_SQL,
+    "op11_fim": OP11_SQL,
+    "op13_pivots": _op13_sql(),
 }
-ORACLES: dict[str, str] = {"op1_chat": OP1_SQL, "op5_parity": OP5_SQL, "op6_warc": OP6_SQL}
