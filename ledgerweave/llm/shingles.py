@@ -1,8 +1,9 @@
 """Words and word shingles of whole texts as 64-bit numbers, many texts at once.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A word's number is a polynomial
-over its bytes, read off one running sum over the block; a shingle's number is a
-polynomial over its words. All arithmetic is modulo 2^64.
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A word's number is the sum of one
+scattered number for each byte and its place in the word, read off one running sum over the
+block, so that no pattern of bytes makes words collide; a shingle's number is a polynomial
+over its few words. All arithmetic is modulo 2^64.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import pyarrow as pa
 
 WORDS = 5  # of a shingle
 BLOCK = 1 << 19  # bytes handled at once
+PLACES = 32  # bytes of a word with a table of their own; the numbers of later ones are scattered again
 _U64 = np.uint64
 STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 
@@ -38,12 +40,10 @@ class Shingler:
     def __init__(self) -> None:
         codes = np.arange(256, dtype=np.uint64)
         upper = (codes >= 65) & (codes <= 90)
-        self._letter = mix(np.where(upper, codes + _U64(32), codes) + _U64(1))
+        lower = np.where(upper, codes + _U64(32), codes)
+        places = np.arange(PLACES, dtype=np.uint64)[:, None] * _U64(256)
+        self._numbers = mix(mix(places + lower + _U64(1))).ravel()
         self._white = (codes == 32) | ((codes >= 9) & (codes <= 13))
-        self._grow(BLOCK)
-
-    def _grow(self, n: int) -> None:
-        self._powers, self._inverse = powers(STEP, n), powers(pow(STEP, -1, 1 << 64), n)
 
     def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words, and how many words each text has.
@@ -53,8 +53,6 @@ class Shingler:
         n = len(data)
         if not n:
             return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
-        if n >= len(self._powers):
-            self._grow(n)
         inside = ~self._white[data]
         cuts = ends[(ends > 0) & (ends < n)]
         before = np.concatenate(([False], inside[:-1]))
@@ -63,9 +61,17 @@ class Shingler:
         after = np.concatenate((inside[1:], [False]))
         after[cuts - 1] = False
         stops = np.flatnonzero(inside & ~after)
-        sums = np.cumsum(self._letter[data] * self._powers[:n])
+        begins = np.zeros(n, np.int32)
+        begins[starts] = starts
+        place = np.arange(n, dtype=np.int32) - np.maximum.accumulate(begins)
+        scattered = self._numbers[((place & (PLACES - 1)) << 8) | data]
+        late = np.flatnonzero(inside & (place >= PLACES))
+        if len(late):
+            turn = (place[late] // PLACES).astype(np.uint64)
+            scattered[late] = mix(scattered[late] + turn * _U64(STEP))
+        sums = np.cumsum(scattered)
         head = np.where(starts > 0, sums[starts - 1], _U64(0))
-        numbers = mix((sums[stops] - head) * self._inverse[starts])
+        numbers = mix(sums[stops] - head)
         upto = np.searchsorted(starts, ends)
         return numbers, np.diff(upto, prepend=0)
 

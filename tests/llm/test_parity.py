@@ -111,3 +111,12 @@ def test_components_of_paths_and_stars(spark):
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 140)} | {300: 300, 301: 300}
     assert found == want
+
+
+@pytest.mark.parametrize("length", [64, 1024, 4096])
+def test_patterned_words_do_not_collide(spark, length):
+    turns = [bin(i).count("1") % 2 for i in range(length)]
+    rows = [(i, "".join("ab"[t ^ i] for t in turns)) for i in range(2)]
+    rows += [(2, "a" * length), (3, "a" * (length + 1)), (4, "a" * (length - 1) + "b"), (5, "A" * length)]
+    found = parity.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 2}
