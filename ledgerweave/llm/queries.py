@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, fim, langid, mix, pages, parity, pivots, quality, rules, suffix, warc
-from .common import materialise, table
+from .common import bit_table, in_table, materialise, table
 
 VOCABULARY = "byte_bpe_50k.json"
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -157,8 +157,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("quality").alias("label_quality"), F.max("toxic").alias("label_toxic"))
     )
-    labelled = documents.join(labels, "doc_id").withColumns(
-        {"quality": F.col("label_quality"), "toxic": F.col("label_toxic")}
+    # The one time that texts are shuffled: those with labels, stored for all that fitting reads.
+    asked = in_table(documents.select("doc_id", "text"), "doc_id", bit_table(labels, "doc_id"))
+    labelled = materialise(
+        asked.join(labels.hint("merge"), "doc_id").select(
+            "doc_id", "text", F.col("label_quality").alias("quality"), F.col("label_toxic").alias("toxic")
+        )
     )
     targets = ("quality", "toxic")
     models = quality.fit(labelled, targets)

@@ -1,6 +1,8 @@
 """Hierarchical empirical Bayes: shrinkage by hand, held-out accuracy."""
 
+import math
 import random
+from collections import Counter
 
 import pytest
 
@@ -58,6 +60,71 @@ def test_planted_features_are_found(spark):
     assert all((r.evidence_quality < -1) == (r.doc_id % 4 == 0) for r in found)
 
 
+def plain_posteriors(rows, prior):
+    """The definition, document by document: rows are (id, host, path, evidence, label)."""
+    base = math.log(prior / (1 - prior))
+    own = {r[0]: float(r[4]) if r[4] is not None else 1 / (1 + math.exp(-(r[3] + base))) for r in rows}
+    inside = lambda p: min(1 - 1e-4, max(1e-4, p))
+
+    def sums(keys):
+        found = {}
+        for r in rows:
+            yes, n = found.get(keys(r), (0.0, 0.0))
+            found[keys(r)] = yes + own[r[0]], n + 1
+        return found
+
+    def strength(groups):
+        groups = [(yes, n, rate) for yes, n, rate in groups if n > 1]
+        whole = sum(n * r * (1 - r) for _, n, r in groups)
+        if not whole:
+            return quality.MOST_PRIOR
+        between = sum(n * (yes / n - r) ** 2 for yes, n, r in groups)
+        share = (between - sum(r * (1 - r) for _, _, r in groups)) / whole
+        return min(quality.MOST_PRIOR, max(1.0, 1 / share - 1)) if share > 0 else quality.MOST_PRIOR
+
+    hosts, paths = sums(lambda r: r[1]), sums(lambda r: (r[1], r[2]))
+    rate = inside(sum(own.values()) / len(own))
+    of_host = strength((yes, n, rate) for yes, n in hosts.values())
+    lean = {h: inside((yes + of_host * rate) / (n + of_host)) for h, (yes, n) in hosts.items()}
+    of_path = strength((yes, n, lean[h]) for (h, _), (yes, n) in paths.items())
+    found = {}
+    for i, host, path, evidence, _ in rows:
+        yes, n = hosts[host]
+        rest = (yes - own[i] + of_host * rate) / (n - 1 + of_host)
+        yes, n = paths[host, path]
+        p = inside((yes - own[i] + of_path * rest) / (n - 1 + of_path))
+        found[i] = 1 / (1 + math.exp(-(math.log(p / (1 - p)) + evidence)))
+    return found
+
+
+def test_posteriors_equal_the_definition(spark):
+    chance = random.Random(6)
+    rows = []
+    for i in range(500):
+        host = chance.choice(["hot", "hot", "a", "b", None])
+        path = chance.choice(["x", "y", None]) if host != "b" else f"p{i}"
+        label = chance.choice([None, None, None, 0, 1, 1 if host == "a" else 0])
+        rows.append((i, host, path, chance.gauss(0, 2), label))
+    df = spark.createDataFrame(rows, "doc_id long, host string, path string, evidence_quality double, label_quality int")
+    found = {r.doc_id: r.quality for r in quality.posteriors(df.repartition(4), "quality", 0.4).collect()}
+    want = plain_posteriors(rows, 0.4)
+    assert found.keys() == want.keys()
+    assert all(found[i] == pytest.approx(want[i], abs=1e-9) for i in want)
+
+
+def test_counts_equal_a_plain_count(spark):
+    chance = random.Random(7)
+    words = ["Word,", "other", "LOUD!", "lengthy-something", "*x*"]
+    rows = [(i, chance.choice([None, "", " ".join(chance.choices(words, k=8))]), chance.choice([0, 1, None])) for i in range(120)]
+    rows += rows[:10] + [(999, "long " * 50_000, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    want = Counter((f, int(v > 0)) for _, t, v in rows if v is not None for f in {*quality.features(t or ""), "#all"})
+    found = {}
+    for r in quality._counts(df, ("quality",)).collect():
+        found |= {(r.feature, 1): r.quality_1, (r.feature, 0): r.quality_0}
+    assert {k: v for k, v in found.items() if v} == dict(want)
+
+
 # Insults of the rarer languages are few among the labels of this small table.
 @pytest.mark.parametrize("target, least", [("quality", 0.97), ("toxic", 0.95)])
 def test_held_out_accuracy(spark, target, least):
