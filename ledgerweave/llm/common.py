@@ -15,6 +15,8 @@ from ledgerweave.storage import materialise
 __all__ = ["add_columns", "bit_table", "column", "in_table", "map_batches", "materialise", "table"]
 
 TABLE_BITS = 1 << 25  # of a bit table, 4 MB however many keys there are
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000  # texts that travel to a Python worker together, unless the session says otherwise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,12 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Spark's own batches are made for numbers: ten thousand texts fill both ends of the pipe."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def map_batches(
     df: DataFrame, schema: str | StructType, start: Callable[[], Callable], rows: int = 1 << 30
 ) -> DataFrame:
@@ -42,6 +50,7 @@ def map_batches(
                 made = work(batch.slice(at, rows))
                 yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
+    _small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
