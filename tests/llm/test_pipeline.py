@@ -117,3 +117,26 @@ def test_texts_are_grouped_whatever_their_ids(spark):
     assert len(group_c) == 1 and group_c[0] in rows
     want = [rows[i] for i in (0, 1, 6, 7, 8, 11, 13, 14, 15)]
     assert sorted(set(found) - set(group_c), key=str) == sorted(want, key=str) and len(found) == 10
+
+
+def test_documents_leak_for_themselves(spark):
+    """Neither a missing doc_id nor a shared one makes a clean document go."""
+    item = next(r.text for r in table(spark, SF, "benchmark").collect() if len(r.text.split()) > 12)
+    rows = [(None, item), (None, "clean without id"), (7, "clean"), (8, f"so {item}"), (8, "clean beside it"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.without_benchmark(spark, docs, SF).collect()
+    assert {(r.doc_id, r.text) for r in left} == {rows[i] for i in (1, 2, 4, 5)} and len(left) == 4
+
+
+def test_columns_called_like_ours_stay(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    names = "_place _doc _found spans kept n_bytes _lang _score told score _row row own again touched _decoded one n component".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    rows = [(i, f"the {chr(97 + i) * 40} of {words} and {i}", "en", "s", 1, *(f"{n}{i}" for n in names)) for i in range(2)]
+    found = spark.createDataFrame(rows, schema)
+    before = found.columns
+    for _, stage in corpus_pipeline.STAGES:
+        found = materialise(stage(spark, found, SF))
+    assert found.columns == [*before, "ids", "n_tokens", "round_trip"]
+    for r in found.collect():
+        assert all(r[n] == f"{n}{r.doc_id}" for n in names)
