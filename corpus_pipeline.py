@@ -2,7 +2,8 @@
 
 Each stage takes the documents its predecessor kept and returns documents again; the
 last adds their tokens. Documents keep their columns (doc_id, text, lang, source,
-n_chars) and any others.
+n_chars) and any others, whatever they are called: the stages hand an operator the text
+and, in one struct, all other columns.
 """
 
 from __future__ import annotations
@@ -17,15 +18,29 @@ from ledgerweave.llm.common import materialise, table
 LEAST_SCORE = 0.25  # of a document that is in some known language
 
 
-def _same_id() -> Column:
-    return F.col("d.doc_id").eqNullSafe(F.col("x.doc_id"))
+def _others(docs: DataFrame) -> Column:
+    """All columns but the text, as one."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "text")).alias("own")
+
+
+def _apart(docs: DataFrame, **made: Column) -> list[Column]:
+    """The columns of ``docs`` from a text and ``own``, some of them made anew."""
+    return [
+        (made.get(c.lower(), F.col("text") if c.lower() == "text" else F.col(f"own.`{c}`"))).alias(c)
+        for c in docs.columns
+    ]
+
+
+def _identity() -> Column:
+    """What tells documents apart: texts under one doc_id, or under none, are documents of their own."""
+    return F.xxhash64("doc_id", "text")
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents in none of the languages go; a missing ``lang`` is filled in."""
-    told = langid.predict(docs, langid.train(docs), into="_lang", score="_score")
-    kept = told.filter((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+    told = langid.predict(docs.select("text", _others(docs)), langid.train(docs), into="told", score="score")
+    kept = told.filter((F.col("told") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*_apart(docs, lang=F.coalesce("own.lang", "told")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,24 +51,24 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     go by a hash of the text, and of rows equal in both the one with the least other columns
     stays.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    near = parity.near_duplicates(keyed, "_row").filter("n_shingles > 0")
-    groups = near.groupBy(F.col("doc_id").alias("_row")).agg(
+    keyed = docs.select(_identity().alias("row"), "doc_id", "text", _others(docs))
+    near = parity.near_duplicates(keyed.select("row", "text"), "row").filter("n_shingles > 0")
+    groups = near.groupBy(F.col("doc_id").alias("row")).agg(
         F.first("component_id").alias("component"), F.count("*").alias("n")
     )
-    ids = keyed.select("_row", "doc_id").distinct()
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    rows = materialise(groups.join(ids, "_row").select("_row", "component", "n", order.alias("place")))
+    ids = keyed.select("row", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    rows = materialise(groups.join(ids, "row").select("row", "component", "n", order.alias("place")))
     least = rows.groupBy("component").agg(F.min("place").alias("least"))
-    gone = rows.join(least, "component").filter("_row != least._row").select("_row")
-    kept = keyed.join(gone, "_row", "left_anti")
-    again = rows.filter("n > 1").select("_row")
+    gone = rows.join(least, "component").filter("row != least.row").select("row")
+    kept = keyed.join(gone, "row", "left_anti")
+    again = rows.filter("n > 1").select("row")
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    others = F.to_json(F.struct(*(c for c in docs.columns if c.lower() != "text")))
-    once = kept.join(again, "_row", "left_semi").groupBy("_row")
-    once = once.agg(F.min_by(F.struct(*docs.columns), others).alias("_one")).select("_one.*")
-    return kept.join(again, "_row", "left_anti").select(*docs.columns).unionByName(once)
+        return kept.select(*_apart(docs))
+    once = kept.join(again, "row", "left_semi").groupBy("row")
+    once = once.agg(F.min_by(F.struct("text", "own"), F.to_json("own")).alias("one")).select("one.*")
+    alone = kept.join(again, "row", "left_anti").select("text", "own")
+    return alone.unionByName(once).select(*_apart(docs))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,17 +76,21 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Bytes of characters that a cut left incomplete go as well.
     """
-    cut = suffix.remove_repeats(docs, characters=True)
+    cut = suffix.remove_repeats(docs.select("doc_id", "text", _others(docs)), characters=True)
     touched = F.size("spans") > 0
     text = F.when(touched, F.col("kept").cast("string")).otherwise(F.col("text"))
-    left = cut.withColumn("text", text).filter(~touched | (F.length("text") > 0))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    left = cut.select("own", text.alias("text"), touched.alias("touched"))
+    left = left.filter(~F.col("touched") | (F.length("text") > 0))
+    return left.select(*_apart(docs, n_chars=F.length("text").cast("long")))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with a passage of a benchmark item go."""
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.alias("d").join(leaks.alias("x"), _same_id(), "left_anti").select(*docs.columns)
+    keyed = docs.select(_identity().alias("row"), "text", _others(docs))
+    asked = keyed.select(F.col("row").alias("doc_id"), "text")
+    leaks = decontam.find_leaks(asked, table(spark, sf_dir, "benchmark"))
+    gone = leaks.select(F.col("doc_id").alias("row")).distinct()
+    return keyed.join(gone, "row", "left_anti").select(*_apart(docs))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,13 +99,14 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Columns of documents with the names of these are replaced.
     """
     path = public_tokenizers.path(queries.VOCABULARY)
-    read = bpe.decode(bpe.encode(docs, path), path, into="_decoded")
+    read = bpe.decode(bpe.encode(docs.select("text", _others(docs)), path), path, into="again")
     made = ("ids", "n_tokens", "round_trip")
+    kept = [c for c in docs.columns if c.lower() not in made]
     return read.select(
-        *(c for c in docs.columns if c.lower() not in made),
+        *_apart(docs.select(*(F.col(f"`{c}`") for c in kept))),
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("_decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        (F.col("again") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
 
