@@ -8,7 +8,7 @@ the gaps are exploded last and never shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
@@ -27,6 +27,7 @@ from ledgerweave.operators.axis import (
     named_axis,
     single,
 )
+from ledgerweave.operators.holders import rival, two_holders
 from ledgerweave.operators.joins import shuffle_anew
 
 # Action types and reasons.
@@ -189,34 +190,26 @@ def _taken(
 ) -> DataFrame:
     """Per number and chunk: the environments that use it, and who does there.
 
-    A user entry lists the first ``rivals`` descriptions and the next free number.
+    A user entry holds the first ``rivals`` descriptions and the next free number.
     One is enough for gaps of the ledger itself: no description that has the
     number in an environment is missing there. Reducing every ``(ENV, number)`` to
     a row first keeps popular numbers from multiplying gaps.
     """
     place = ["ENV", comp.number]
-    holder = F.min(F.struct(F.col(ordinal).alias("at"), "DESC_KEY", "DESCRIPTION")).alias("_first")
     used = cleaned.filter(F.col(comp.number).isNotNull())
     if rivals == 1:
-        users = used.groupBy(*place).agg(holder).select(*place, F.array("_first").alias("by"))
+        holder = F.struct(F.col(ordinal).alias("at"), "DESC_KEY", "DESCRIPTION")
+        users = used.groupBy(*place).agg(F.min(holder).alias("first"))
+        users = users.withColumn("second", F.when(F.lit(False), F.col("first")))
     else:
-        # Ranked per map task before the shuffle, so a popular number stays small.
-        rank = F.row_number().over(Window.partitionBy(*place).orderBy("_first"))
-        users = (
-            used.groupBy(*place, "DESC_KEY")
-            .agg(holder)
-            .select(*place, "_first", rank.alias("_rank"))
-            .filter(F.col("_rank") <= rivals)
-            .groupBy(*place)
-            .agg(F.array_sort(F.collect_list("_first")).alias("by"))
-        )
+        users = two_holders(used, place, "DESC_KEY", ordinal, "DESCRIPTION")
     following = format_double(F.col("_max") + 1).alias("next")
     return (
         axis.locate(users, "_max")
         .groupBy(comp.number, CHUNK)
         .agg(
             F.bit_or(single(F.col(BIT))).alias("_taken"),
-            F.array_sort(F.collect_list(F.struct(BIT, "by", following))).alias("_users"),
+            F.array_sort(F.collect_list(F.struct(BIT, "first", "second", following))).alias("_users"),
         )
     )
 
@@ -240,9 +233,8 @@ def _phrased(described: DataFrame, comp: Component) -> DataFrame:
 
 def _worded(found: DataFrame, comp: Component) -> DataFrame:
     """Action type, reason and sentence of every gap, in the columns of the report."""
-    first, second = F.get("_user.by", 0), F.get("_user.by", 1)
-    rival = F.when(first["DESC_KEY"] != F.col("DESC_KEY"), first).otherwise(second)
-    found = found.withColumns({"_used": F.col("_user").isNotNull(), "_rival": rival})
+    other = rival(F.col("_user.first"), F.col("_user.second"), "DESC_KEY")
+    found = found.withColumns({"_used": F.col("_user").isNotNull(), "_rival": other})
     collision = F.col("_rival").isNotNull()
     aligned = F.col("_used") & ~collision
     kind = F.when(F.col("_used"), F.lit(REVIEW)).otherwise(F.lit(CREATE))

@@ -18,9 +18,9 @@ from ledgerweave.component import CC, GL, Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.text import same_value
 from ledgerweave.operators.gaps import CREATE, FREE, REVIEW
+from ledgerweave.operators.holders import rival, two_holders
 from ledgerweave.operators.joins import even_left_join, shuffle_anew
-
-# Values one conflict row lists when a description has too many for a single row.
+from ledgerweave.operators.texts import ordered_texts
 
 # Numbering strategies, reasons and suggestions.
 KEEP_PREFERRED, PICK_MAJORITY, FIRST, NEW_RANGE = (
@@ -68,7 +68,7 @@ class MergeSpec:
             raise ValueError(f"scope has unknown entries {unknown}")
         strategy = self.numbering_strategy.strip().lower()
         if strategy not in STRATEGIES:
-            raise ValueError(f"numbering_strategy must be one of {sorted(STRATEGIES)}")
+            raise ValueError(f"no such strategy: {strategy!r}; known ones are {', '.join(STRATEGIES)}")
         if strategy == KEEP_PREFERRED and not self.preferred_env:
             raise ValueError(f"{KEEP_PREFERRED} needs preferred_env")
         object.__setattr__(self, "scope", scope)
@@ -216,61 +216,70 @@ def _several() -> Column:
 
 
 def merge_conflicts(
-    cleaned: DataFrame, folds: DataFrame, unified: DataFrame, comp: Component, spec: MergeSpec
+    cleaned: DataFrame,
+    folds: DataFrame,
+    unified: DataFrame,
+    comp: Component,
+    spec: MergeSpec,
+    bounded: bool = False,
 ) -> DataFrame:
     """Descriptions with several numbers or types among the sources, all listed.
 
     One row per description, whatever the number of its values; the form without
-    such texts is :func:`conflict_values`.
+    such texts is :func:`conflict_values`. ``bounded`` says that the ledger is stored by
+    description and none of them is hot.
     """
-    lists = (
-        _conflict_values(cleaned, folds, comp, spec)
-        .groupBy("DESC_KEY")
-        .agg(
-            _several().alias("_several"),
-            F.array_sort(F.collect_list("_number")).alias("_numbers"),
-            F.array_sort(F.collect_list("_category")).alias("_categories"),
+    lists = {"Numbers": folds.select("DESC_KEY", F.col(comp.number).alias("Numbers"))}
+    if comp.category:
+        kinds = _sources(cleaned, spec).select("DESC_KEY", F.col(comp.category).alias("Types"))
+        lists["Types"] = kinds.distinct()
+    found, several = unified, F.lit(False)
+    for name, values in lists.items():
+        least, most = f"_least_{name}", f"_most_{name}"
+        texts = ordered_texts(
+            values.filter(F.col(name).isNotNull()),
+            ["DESC_KEY"],
+            [name],
+            name,
+            ", ",
+            least={least: F.col(name)},
+            most={most: F.col(name)},
+            bounded=bounded,
         )
-        .filter("_several")
-    )
-    types = [F.array_join("_categories", ", ").alias("Types")] if comp.category else []
-    return lists.join(shuffle_anew(unified, "DESC_KEY"), "DESC_KEY").select(
-        "DESC_KEY",
-        "DESCRIPTION",
-        F.array_join("_numbers", ", ").alias("Numbers"),
-        *types,
-        "Why_Canonical",
-    )
+        found = found.join(texts, "DESC_KEY", "left")
+        several = several | F.coalesce(F.col(least) < F.col(most), F.lit(False))
+    texts = [F.coalesce(name, F.lit("")).alias(name) for name in lists]
+    return found.filter(several).select("DESC_KEY", "DESCRIPTION", *texts, "Why_Canonical")
 
 
 def merge_actions(
-    cleaned: DataFrame, unified: DataFrame, comp: Component, spec: MergeSpec
+    cleaned: DataFrame,
+    unified: DataFrame,
+    comp: Component,
+    spec: MergeSpec,
+    ordinal: str = "_ord",
 ) -> DataFrame:
     """What the target needs for every unified description.
 
-    A description that the target holds several times, or whose canonical number
-    several target descriptions use, gets one row for each.
+    A description that the target holds under several numbers gets one row for each of them. A
+    canonical number that other descriptions use there is named after the first of these.
     """
     target = cleaned.filter(F.col("ENV") == spec.target.name)
-    own = target.select("DESC_KEY", F.col(comp.number).alias("_own"))
-    holders = (
-        target.filter(F.col(comp.number).isNotNull())
-        .select(
-            F.col(comp.number).alias("_canonical"),
-            F.col("DESC_KEY").alias("_holder"),
-            F.col("DESCRIPTION").alias("_holder_description"),
-        )
-        .distinct()
+    own = target.select("DESC_KEY", F.col(comp.number).alias("_own")).distinct()
+    used = target.filter(F.col(comp.number).isNotNull() & F.col("DESC_KEY").isNotNull())
+    holders = two_holders(used, [comp.number], "DESC_KEY", ordinal, "DESCRIPTION").select(
+        F.col(comp.number).alias("_canonical"), "first", "second"
     )
-    canonical_named = unified.withColumnRenamed(f"{comp.number}_CANONICAL", "_canonical")
-    joined = even_left_join(
-        even_left_join(canonical_named, own, "DESC_KEY"), holders, "_canonical"
+    named = unified.withColumnRenamed(f"{comp.number}_CANONICAL", "_canonical")
+    joined = even_left_join(named, own, "DESC_KEY").join(
+        shuffle_anew(holders, "_canonical"), "_canonical", "left"
     )
+    other = rival(F.col("first"), F.col("second"), "DESC_KEY")
 
     canonical, present = F.col("_canonical"), F.col("_own")
-    collision = F.coalesce(F.col("_holder") != F.col("DESC_KEY"), F.lit(False))
+    collision = other.isNotNull()
     missing = present.isNull() & canonical.isNotNull()
-    holder = F.coalesce("_holder_description", F.lit(""))
+    holder = F.coalesce(other["DESCRIPTION"], F.lit(""))
     category = (
         [F.col(f"{comp.category}_CANONICAL").alias(comp.category)] if comp.category else []
     )
@@ -301,22 +310,26 @@ def merge_mappings(
     comp: Component,
     spec: MergeSpec,
     ordinal: str = "_ord",
+    bounded: bool = False,
 ) -> DataFrame:
     """Old number to canonical number, per source environment and description.
 
-    Equal entries collapse before the join, the first one in input order wins.
+    Equal entries collapse before the join, the first one in input order wins. ``bounded``
+    says that both tables are stored by description and none of these is hot.
     """
     entries = (
         _sources(cleaned, spec)
         .filter(F.col("DESC_KEY").isNotNull())
-        .groupBy("ENV", "DESCRIPTION", comp.number)
-        .agg(F.min(F.struct(ordinal, "DATALIB", "COMPANY", "DESC_KEY")).alias("_first"))
-        .select("ENV", "DESCRIPTION", comp.number, "_first.*")
+        .groupBy("DESC_KEY", "ENV", "DESCRIPTION", comp.number)
+        .agg(F.min(F.struct(ordinal, "DATALIB", "COMPANY")).alias("_first"))
+        .select("DESC_KEY", "ENV", "DESCRIPTION", comp.number, "_first.*")
     )
     canonical = F.col(f"{comp.number}_CANONICAL")
     same = same_value(F.col(comp.number), canonical)
     chosen = unified.select("DESC_KEY", canonical, "Why_Canonical")
-    return entries.join(shuffle_anew(chosen, "DESC_KEY"), "DESC_KEY", "left").select(
+    if not bounded:
+        chosen = shuffle_anew(chosen, "DESC_KEY")
+    return entries.join(chosen, "DESC_KEY", "left").select(
         F.col("ENV").alias("Source_ENV"),
         "DATALIB",
         "COMPANY",

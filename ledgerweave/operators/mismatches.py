@@ -2,7 +2,8 @@
 
 The long form, one row per description, value and environment, is the result that has
 no limits. The text form joins a description's rows into one value, which has to come
-together in one place; it is one row per description whatever their number.
+together in one place; it is one row per description whatever their number, joined part by
+part, so that no task holds the list of a description.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by
 from ledgerweave.functions.numbers import format_number
 from ledgerweave.functions.text import null_like_to_null, strip
+from ledgerweave.operators.texts import ordered_texts
 
 
 def _details(cleaned: DataFrame, column: str, value: Column, ordinal: str) -> DataFrame:
@@ -64,33 +66,48 @@ def _differing(details: DataFrame) -> DataFrame:
     )
 
 
-def number_mismatches(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
-    """``DESCRIPTION, Details`` where one description has several numbers."""
+def number_mismatches(
+    cleaned: DataFrame, comp: Component, ordinal: str = "_ord", bounded: bool = False
+) -> DataFrame:
+    """``DESCRIPTION, Details`` where one description has several numbers.
+
+    ``bounded`` says that the ledger is stored by description and none of them is hot.
+    """
     detail = F.concat("VALUE", F.lit(" ("), "ENV", F.lit(")"))
-    return _report(_numbers(cleaned, comp, ordinal), detail, ", ")
+    return _report(_numbers(cleaned, comp, ordinal), detail, ", ", bounded)
 
 
-def type_mismatches(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
+def type_mismatches(
+    cleaned: DataFrame, comp: Component, ordinal: str = "_ord", bounded: bool = False
+) -> DataFrame:
     """``DESCRIPTION, Details`` where one description has several types.
 
-    A component without a type column has no such mismatches.
+    A component without a type column has no such mismatches. ``bounded`` is as for numbers.
     """
     if comp.category is None:
         return cleaned.sparkSession.createDataFrame([], "DESCRIPTION string, Details string")
-    return _report(_types(cleaned, comp, ordinal), F.concat("VALUE", F.lit(": "), "ENV"), " | ")
+    detail = F.concat("VALUE", F.lit(": "), "ENV")
+    return _report(_types(cleaned, comp, ordinal), detail, " | ", bounded)
 
 
-def _report(details: DataFrame, detail: Column, separator: str) -> DataFrame:
+def _report(details: DataFrame, detail: Column, separator: str, bounded: bool) -> DataFrame:
     """One text per description with more than one value, details in input order."""
-    entry = F.struct(F.col("POSITION"), detail.alias("detail"))
-    texts = F.array_distinct(F.array_sort(F.collect_list(entry))["detail"])
-    return (
-        details.groupBy("DESC_KEY")
-        .agg(
-            (F.min("VALUE") < F.max("VALUE")).alias("_differ"),
-            F.min("_described")["value"].alias("DESCRIPTION"),
-            texts.alias("_texts"),
-        )
-        .filter("_differ")
-        .select("DESCRIPTION", F.array_join("_texts", separator).alias("Details"))
+    named = details.groupBy("DESC_KEY", detail.alias("Details")).agg(
+        F.min("POSITION").alias("POSITION"),
+        F.min("VALUE").alias("_least"),
+        F.max("VALUE").alias("_most"),
+        F.min("_described").alias("_described"),
+    )
+    texts = ordered_texts(
+        named,
+        ["DESC_KEY"],
+        ["POSITION", "Details"],
+        "Details",
+        separator,
+        least={"_least": F.col("_least"), "_described": F.col("_described")},
+        most={"_most": F.col("_most")},
+        bounded=bounded,
+    )
+    return texts.filter(F.col("_least") < F.col("_most")).select(
+        F.col("_described.value").alias("DESCRIPTION"), "Details"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerweave.component import Component, component
 from ledgerweave.operators.merge import (
@@ -15,7 +16,7 @@ from ledgerweave.operators.merge import (
     number_folds,
     unify,
 )
-from ledgerweave.storage import materialise
+from ledgerweave.storage import store_by_key, store_in_buckets
 from ledgerweave.plans.report import config_echo
 from ledgerweave.plans.sink import Sink
 
@@ -39,6 +40,7 @@ def merge_plan(
         raise ValueError(f"the scope names {missing}, but there is no such ledger")
 
     spark = next(iter(cleaned.values())).sparkSession
+    # Table and column names.
     tables = {
         "Config": config_echo(
             spark,
@@ -69,17 +71,33 @@ def merge_plan(
 
 
 def component_merge(
-    cleaned: DataFrame, comp: Component, spec: MergeSpec
+    cleaned: DataFrame, comp: Component, spec: MergeSpec, ordinal: str = "_ord"
 ) -> dict[str, DataFrame]:
     """Unified, conflict, action and mapping tables of one component.
 
-    The folds and the unified table are stored, as the other tables read them.
+    The rows of the environments involved are stored by description once, and the unified table
+    beside them; folds, conflicts and mappings find their descriptions together.
     """
-    folds = materialise(number_folds(cleaned, comp, spec))
-    unified = materialise(unify(folds, comp, spec))
+    category = [comp.category] if comp.category else []
+    columns = ["DESC_KEY", "ENV", "DATALIB", "COMPANY", comp.number, *category]
+    involved = cleaned.filter(F.col("ENV").isin([*spec.source_names, spec.target.name])).select(
+        *columns, "DESCRIPTION", "DESCRIPTION_LANG", ordinal
+    )
+    work = store_by_key(involved, "DESC_KEY")
+    unified = store_in_buckets(
+        work.each(lambda rows, _: unify(number_folds(rows, comp, spec, ordinal), comp, spec)), "DESC_KEY"
+    )
+
+    def conflicts(rows: DataFrame, bounded: bool) -> DataFrame:
+        folds = number_folds(rows, comp, spec, ordinal)
+        return merge_conflicts(rows, folds, unified, comp, spec, bounded)
+
+    def mappings(rows: DataFrame, bounded: bool) -> DataFrame:
+        return merge_mappings(rows, unified, comp, spec, ordinal, bounded)
+
     return {
         f"Unified_{comp.code}": unified,
-        f"Conflicts_{comp.code}": merge_conflicts(cleaned, folds, unified, comp, spec),
-        f"Actions_{comp.code}": merge_actions(cleaned, unified, comp, spec),
-        f"Mappings_{comp.code}": merge_mappings(cleaned, unified, comp, spec),
+        f"Conflicts_{comp.code}": work.union(conflicts),
+        f"Actions_{comp.code}": merge_actions(cleaned, unified, comp, spec, ordinal),
+        f"Mappings_{comp.code}": work.union(mappings),
     }

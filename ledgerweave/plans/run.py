@@ -20,7 +20,8 @@ from ledgerweave.operators.presence import (
     presence_cells,
     presence_enriched,
 )
-from ledgerweave.storage import materialise
+from ledgerweave.sources.ledger import ORDINAL
+from ledgerweave.storage import materialise, store_by_key, store_in_buckets
 from ledgerweave.plans.report import config_echo, filter_summary, run_summary
 from ledgerweave.plans.sink import Sink, table_names
 
@@ -74,9 +75,10 @@ def run_component(
     with more environments than a table has room for; all else has no such limit.
     ``steps`` replaces single steps of the run.
 
-    What several results read is stored once: the ledger of a loader function, the
-    kept rows and the presence cells. A ledger given as a DataFrame is read three
-    times as it stands, so it had better be a table.
+    What several results read is stored once: the ledger of a loader function, the kept
+    rows, and, in buckets of the description, what is compared of them and the presence
+    cells. These two are shuffled by description for their storage and not again after it. A
+    ledger given as a DataFrame is read three times as it stands, so it had better be a table.
     """
     if out is not None and run_ts is None:
         raise ValueError("a written run needs run_ts to name its folder")
@@ -96,7 +98,16 @@ def run_component(
 def _results(
     raw: DataFrame, split, cleaned: DataFrame, comp: Component, wide: bool, steps: Steps
 ) -> ComponentResult:
-    cells = materialise(steps.cells(cleaned, comp))
+    work = store_by_key(_working_columns(cleaned, comp, steps), "DESC_KEY")
+    # A description has one cell an environment at most, so that cells are never hot.
+    cells = store_in_buckets(work.each(lambda rows, _: steps.cells(rows, comp)), "DESC_KEY")
+
+    def mismatches(step: Callable, usual: Callable) -> DataFrame:
+        def make(rows: DataFrame, bounded: bool) -> DataFrame:
+            return step(rows, comp, bounded=bounded) if step is usual else step(rows, comp)
+
+        return work.union(make)
+
     binary = enriched = None
     if wide:
         envs = environments(cells)
@@ -124,11 +135,19 @@ def _results(
         create=create,
         review=review,
         action_counts=counted,
-        number_mismatches=steps.numbers(cleaned, comp),
-        type_mismatches=steps.types(cleaned, comp),
+        number_mismatches=mismatches(steps.numbers, number_mismatches),
+        type_mismatches=mismatches(steps.types, type_mismatches),
     )
 
 
+def _working_columns(cleaned: DataFrame, comp: Component, steps: Steps) -> DataFrame:
+    """What the usual steps look at; steps of one's own may look at everything."""
+    if steps != Steps():
+        return cleaned
+    names = ("DESC_KEY", "ENV", *comp.attributes, ORDINAL)
+    return cleaned.select(*(name for name in names if name in cleaned.columns))
+
+
 def _write(
     result: ComponentResult, sink: Sink, comp: Component, rules: FilterRules, run_ts: str
 ) -> None:

@@ -1,12 +1,24 @@
-"""Intermediate tables that several results read."""
+"""Intermediate tables that several results read.
+
+A table that is asked for one key again and again is stored in buckets of that key: what groups
+or joins by it later finds the rows of a key together and needs no shuffle. Keys that hold too
+many rows for one task are kept apart, as plain files that any number of tasks read, so that
+they are still combined ahead of a shuffle.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Rows of one key that a task reads without trouble.
+HOT_ROWS = 100_000
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Folders of local sessions that name none, by application.
 _own_folders: dict[str, str] = {}
@@ -29,6 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+def _new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to ``path``, or to a new table in the shared folder, and read it back.
 
@@ -37,7 +53,63 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     the size. Existing tables are never overwritten.
     """
     spark = df.sparkSession
-    if path is None:
-        path = f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
+    path = path or _new_path(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Keyed(NamedTuple):
+    """A stored table: its rows in buckets of a key, and those of hot keys, if there are any."""
+
+    regular: DataFrame
+    hot: DataFrame | None
+
+    def each(self, make: Callable[[DataFrame, bool], DataFrame]) -> list[DataFrame]:
+        """What ``make(rows, bounded)`` makes of each part; ``bounded`` is true of the regular one."""
+        made = [make(self.regular, True)]
+        return made if self.hot is None else [*made, make(self.hot, False)]
+
+    def union(self, make: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+        """The same in one table: the result of an operator that looks at each key alone."""
+        return reduce(DataFrame.unionByName, self.each(make))
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def store_by_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> Keyed:
+    """Store ``df`` in as many buckets of ``key`` as there are shuffle partitions.
+
+    Keys with more than ``hot_rows`` rows are hot, the most frequent ones, at most one a bucket.
+    ``df`` is read twice, the first time only for its keys.
+    """
+    spark = df.sparkSession
+    buckets = _buckets(spark)
+    frequent = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    names = [row[key] for row in frequent.orderBy(F.desc("_rows"), key).limit(buckets).collect()]
+    names = [name for name in names if name is not None]
+    hot = None
+    if names:
+        # No more names than buckets.
+        listed = spark.createDataFrame([(name,) for name in names], df.select(key).schema)
+        hot = materialise(df.join(F.broadcast(listed), key, "left_semi").select(*df.columns))
+        df = df.join(F.broadcast(listed), key, "left_anti").select(*df.columns)
+    return Keyed(store_in_buckets([df.repartition(buckets, key)], key), hot)
+
+
+def store_in_buckets(parts: Sequence[DataFrame], key: str) -> DataFrame:
+    """Write ``parts`` of one table to buckets of ``key`` and read it back.
+
+    What was made of a bucketed part lies by bucket already and is written without a shuffle.
+    The first part should be such; others are small ones.
+    """
+    first, *rest = parts
+    spark = first.sparkSession
+    path, buckets = _new_path(spark), _buckets(spark)
+    name = f"ledgerweave_{path.rpartition('/')[2]}"
+    first.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    for part in rest:
+        placed = part.select(*first.columns).repartition(buckets, key)
+        placed.write.mode("append").format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)

@@ -403,13 +403,16 @@ def merge_actions(comp: Component) -> str:
     category = ", TYPE_CANONICAL AS TYPE" if comp is GL else ""
     return f"""WITH {ledger(comp)}, {_unified(comp, 'pick_majority')},
 target AS (SELECT * FROM kept WHERE ENV = 'EUROPE-18'),
-used AS (SELECT DISTINCT NUM, DESC_KEY AS holder, DESCRIPTION AS held_as
-         FROM target WHERE NUM IS NOT NULL),
+own AS (SELECT DISTINCT DESC_KEY, NUM AS own FROM target),
+used AS (SELECT NUM, DESC_KEY AS holder, min(_ord) AS pos, arg_min(DESCRIPTION, _ord) AS held_as
+         FROM target WHERE NUM IS NOT NULL GROUP BY ALL),
 joined AS (
-  SELECT u.*, u.{comp.number}_CANONICAL AS canon, t.NUM AS own,
-         coalesce(h.holder <> u.DESC_KEY, false) AS collision, h.held_as
-  FROM unified u LEFT JOIN target t ON t.DESC_KEY = u.DESC_KEY
-    LEFT JOIN used h ON h.NUM = u.{comp.number}_CANONICAL)
+  SELECT u.*, u.{comp.number}_CANONICAL AS canon, o.own,
+         (SELECT count(*) FROM used h
+          WHERE h.NUM = u.{comp.number}_CANONICAL AND h.holder <> u.DESC_KEY) > 0 AS collision,
+         (SELECT arg_min(held_as, pos) FROM used h
+          WHERE h.NUM = u.{comp.number}_CANONICAL AND h.holder <> u.DESC_KEY) AS held_as
+  FROM unified u LEFT JOIN own o ON o.DESC_KEY = u.DESC_KEY)
 SELECT CASE WHEN collision THEN 'Review' WHEN canon IS NULL OR own IS NULL THEN 'Create'
             ELSE 'Review' END AS ActionType,
        CASE WHEN collision

@@ -209,22 +209,26 @@ def test_actions_in_the_target(spark):
     }
 
 
-def test_actions_repeat_for_every_target_row_and_holder(spark):
+def test_actions_for_each_own_number_name_the_first_other_holder(spark):
     frame = accounts(
         spark,
         ("a", "L1-1", "1", None),
+        ("c", "L2-2", "1", None),
+        ("d", "L2-2", "4", None),
         ("a", "L3-3", "1", None),
         ("a", "L3-3", "2", None),
         ("a", "L3-3", "2", None),
         ("b", "L3-3", "1", None),
         ("B", "L3-3", "1", None),
+        ("z", "L3-3", "1", None),
+        ("d", "L3-3", "4", None),
+        ("d", "L3-3", "4", None),
     )
-    found = Counter(r["Reason"] for r in rows(actions(frame, GL, spec())))
+    found = Counter((r["DESCRIPTION"], r["Reason"]) for r in rows(actions(frame, GL, spec())))
     assert found == {
-        SAME_IN_TARGET: 1,
-        CROSS_CHECK: 2,
-        TAKEN_IN_TARGET + "b": 3,
-        TAKEN_IN_TARGET + "B": 3,
+        ("a", TAKEN_IN_TARGET + "b"): 2,
+        ("c", TAKEN_IN_TARGET + "a"): 1,
+        ("d", SAME_IN_TARGET): 1,
     }
 
 
