@@ -18,30 +18,21 @@ from ledgerweave.functions.text import null_like_to_null, strip
 from ledgerweave.operators.texts import ordered_texts
 
 
-def _details(cleaned: DataFrame, column: str, value: Column, ordinal: str) -> DataFrame:
-    """One row per distinct value and environment of a description.
-
-    ``POSITION`` is where it is seen first, ``_described`` the first position that
-    has a description.
-    """
-    return (
-        cleaned.filter(F.col(column).isNotNull())
-        .groupBy("DESC_KEY", value.alias("VALUE"), "ENV")
-        .agg(
-            F.min(ordinal).alias("POSITION"),
-            first_by(F.col("DESCRIPTION"), F.col(ordinal)).alias("_described"),
-        )
+def _valued(cleaned: DataFrame, column: str, value: Column, ordinal: str) -> DataFrame:
+    """``DESC_KEY, VALUE, ENV, POSITION, DESCRIPTION`` of the rows that have a value."""
+    return cleaned.filter(F.col(column).isNotNull()).select(
+        "DESC_KEY", value.alias("VALUE"), "ENV", F.col(ordinal).alias("POSITION"), "DESCRIPTION"
     )
 
 
 def _numbers(cleaned: DataFrame, comp: Component, ordinal: str) -> DataFrame:
-    return _details(cleaned, comp.number, format_number(F.col(comp.number)), ordinal)
+    return _valued(cleaned, comp.number, format_number(F.col(comp.number)), ordinal)
 
 
 def _types(cleaned: DataFrame, comp: Component, ordinal: str) -> DataFrame:
     category = F.col(comp.category)
     typed = cleaned.filter(null_like_to_null(category).isNotNull())
-    return _details(typed, comp.category, strip(category), ordinal)
+    return _valued(typed, comp.category, strip(category), ordinal)
 
 
 def number_details(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
@@ -57,7 +48,9 @@ def type_details(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") ->
     return _differing(_types(cleaned, comp, ordinal))
 
 
-def _differing(details: DataFrame) -> DataFrame:
+def _differing(valued: DataFrame) -> DataFrame:
+    """One row per distinct value and environment; ``POSITION`` is where it is seen first."""
+    details = valued.groupBy("DESC_KEY", "VALUE", "ENV").agg(F.min("POSITION").alias("POSITION"))
     several = details.groupBy("DESC_KEY").agg(
         (F.min("VALUE") < F.max("VALUE")).alias("_differ")
     )
@@ -90,13 +83,13 @@ def type_mismatches(
     return _report(_types(cleaned, comp, ordinal), detail, " | ", bounded)
 
 
-def _report(details: DataFrame, detail: Column, separator: str, bounded: bool) -> DataFrame:
+def _report(valued: DataFrame, detail: Column, separator: str, bounded: bool) -> DataFrame:
     """One text per description with more than one value, details in input order."""
-    named = details.groupBy("DESC_KEY", detail.alias("Details")).agg(
+    named = valued.groupBy("DESC_KEY", detail.alias("Details")).agg(
         F.min("POSITION").alias("POSITION"),
         F.min("VALUE").alias("_least"),
         F.max("VALUE").alias("_most"),
-        F.min("_described").alias("_described"),
+        first_by(F.col("DESCRIPTION"), F.col("POSITION")).alias("_described"),
     )
     texts = ordered_texts(
         named,
