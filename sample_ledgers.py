@@ -18,20 +18,20 @@ from ledgerweave.operators import FilterRules, MergeSpec, keep_reject
 from ledgerweave.sources import conform
 
 RULES = FilterRules(lastused_days=1000, as_of=datetime(2001, 11, 5))
-# Headers as the source systems write them, and what they stand for.
+# Headers as some source system may write them, and what they stand for.
 GL_HEADERS = {
-    "BEDRIJF": "COMPANY",
-    "GROOTBOEK": "ACCOUNT",
-    "OMSCHRIJVING": "DESCRIPTION",
-    "OMSCHRIJVING_LANG": "DESCRIPTION_LANG",
-    "DATUM_LAATST_GEBRUIKT": "LASTUSED_DATE",
+    "FIRM": "COMPANY",
+    "LEDGER_NO": "ACCOUNT",
+    "CAPTION": "DESCRIPTION",
+    "FULL_CAPTION": "DESCRIPTION_LANG",
+    "LAST_BOOKED": "LASTUSED_DATE",
 }
 CC_HEADERS = {
-    "BEDRIJF": "COMPANY",
-    "KOSTENPLAATS": "COSTCENTER",
-    "OMSCHRIJVING": "DESCRIPTION",
-    "OMSCHRIJVING_LANG": "DESCRIPTION_LANG",
-    "DATUM_LAATST_GEBRUIKT": "LASTUSED_DATE",
+    "FIRM": "COMPANY",
+    "CENTRE_NO": "COSTCENTER",
+    "CAPTION": "DESCRIPTION",
+    "FULL_CAPTION": "DESCRIPTION_LANG",
+    "LAST_BOOKED": "LASTUSED_DATE",
 }
 
 
@@ -153,7 +153,7 @@ def cleaned(spark: SparkSession, sf_dir: str, comp: Component) -> DataFrame:
 def as_delivered(spark: SparkSession, sf_dir: str, comp: Component) -> DataFrame:
     """The raw ledger the way a source system exports it.
 
-    Padded Dutch headers, numbers read as floats, white space of every kind in the
+    Padded headers of its own, numbers read as floats, white space of every kind in the
     texts, and the date as eight digits.
     """
     headers = {new: old for old, new in (GL_HEADERS if comp is GL else CC_HEADERS).items()}

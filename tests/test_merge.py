@@ -59,17 +59,19 @@ def mappings(frame, comp, rules):
 
 def test_majority(spark):
     frame = accounts(
-        spark, ("A", "L1-1", "100", "T", "A"), ("A", "L2-2", "200", "T", "A"),
-        ("A", "L2-2", "200", "T", "A"),
+        spark, ("Rent", "L2-2", "731", "cost", "Rent paid"), ("Rent", "L1-1", "48", "cost", None),
+        ("Rent", "L2-2", "48", "cost", None), ("Rent", "L1-1", "9", "sale", None), ("Rent", "L1-1", "48", None, None),
     )
     found = unified(frame, GL, spec())
     assert found.columns == [
         "DESC_KEY", "DESCRIPTION", "ACCOUNT_CANONICAL", "TYPE_CANONICAL",
         "DESCRIPTION_LANG_CANONICAL", "Why_Canonical",
     ]
-    assert [tuple(r) for r in found.collect()] == [("a", "A", "200", "T", "A", "pick_majority")]
+    assert [tuple(r) for r in found.collect()] == [
+        ("rent", "Rent", "48", "cost", "Rent paid", "pick_majority")
+    ]
     assert rows(conflicts(frame, GL, spec())) == [
-        {"DESC_KEY": "a", "DESCRIPTION": "A", "Numbers": "100, 200", "Types": "T",
+        {"DESC_KEY": "rent", "DESCRIPTION": "Rent", "Numbers": "48, 731, 9", "Types": "cost, sale",
          "Why_Canonical": "pick_majority"}
     ]
     (action,) = rows(actions(frame, GL, spec()))
