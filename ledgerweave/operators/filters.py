@@ -96,13 +96,18 @@ def keep_reject(df: DataFrame, comp: Component, rules: FilterRules | None = None
     rule = keep_rule(df, comp, rules or FilterRules())
     keep = F.coalesce(rule, F.lit(False))
     counts = df.agg(
-        F.count_if(~keep).alias("Removed"),
-        F.count_if(keep).alias("Kept"),
-        *(
-            (F.count_if(_excluded(flag)) if flag in df.columns else F.lit(0).cast("bigint")).alias(
-                f"Removed_{flag.removesuffix('_JN')}"
-            )
-            for flag in comp.flags
-        ),
+        *(column.alias(name) for name, column in filter_figures(df, comp, rules).items())
     )
     return Split(df.filter(rule), df.filter(~keep), counts)
+
+
+def filter_figures(
+    df: DataFrame, comp: Component, rules: FilterRules | None = None
+) -> dict[str, Column]:
+    """The counters of :func:`keep_reject` as aggregates over all rows."""
+    keep = F.coalesce(keep_rule(df, comp, rules or FilterRules()), F.lit(False))
+    found = {"Removed": F.count_if(~keep), "Kept": F.count_if(keep)}
+    for flag in comp.flags:
+        excluded = _excluded(flag) if flag in df.columns else F.lit(False)
+        found[f"Removed_{flag.removesuffix('_JN')}"] = F.count_if(excluded)
+    return found

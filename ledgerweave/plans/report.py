@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.operators.gaps import CREATE, REVIEW
+from ledgerweave.storage import one_row
 
 
 def _rows(one_row: DataFrame, key: str, value: str) -> DataFrame:
@@ -39,6 +40,38 @@ def run_summary(
     Each source is reduced to one row before the figures are put together.
     Without ``run_ts`` the time stamp row is left out.
     """
+    return _in_order(
+        [
+            *_ledger_parts(comp, counts, cells, run_ts),
+            action_counts.select(
+                *_figures({"Create Actions": F.col(CREATE), "Review Actions": F.col(REVIEW)})
+            ),
+            number_mismatches.agg(*_figures({"Number Mismatches": F.count(F.lit(1))})),
+            type_mismatches.agg(*_figures({"Type Mismatches": F.count(F.lit(1))})),
+        ]
+    )
+
+
+def written_summary(
+    comp: Component,
+    counts: DataFrame,
+    cells: DataFrame,
+    written: Mapping[str, int],
+    run_ts: str | None = None,
+) -> DataFrame:
+    """:func:`run_summary` for a run that has ``written`` its tables: their numbers of rows."""
+    known = one_row(cells.sparkSession, written)
+    return _in_order(
+        [
+            *_ledger_parts(comp, counts, cells, run_ts),
+            known.select(*_figures({name: F.col(name) for name in written})),
+        ]
+    )
+
+
+def _ledger_parts(
+    comp: Component, counts: DataFrame, cells: DataFrame, run_ts: str | None
+) -> list[DataFrame]:
     # Metric names, in report order.
     head = {"Component": F.lit(comp.code)}
     if run_ts is not None:
@@ -47,7 +80,7 @@ def run_summary(
         f"Removed {flag.removesuffix('_JN')}": F.col(f"Removed_{flag.removesuffix('_JN')}")
         for flag in comp.flags
     }
-    parts = [
+    return [
         counts.select(
             *_named(head),
             *_figures(
@@ -67,12 +100,10 @@ def run_summary(
                 }
             )
         ),
-        action_counts.select(
-            *_figures({"Create Actions": F.col(CREATE), "Review Actions": F.col(REVIEW)})
-        ),
-        number_mismatches.agg(*_figures({"Number Mismatches": F.count(F.lit(1))})),
-        type_mismatches.agg(*_figures({"Type Mismatches": F.count(F.lit(1))})),
     ]
+
+
+def _in_order(parts: Sequence[DataFrame]) -> DataFrame:
     rows = [
         _rows(part, "Metric", "Value").withColumn("_part", F.lit(i)) for i, part in enumerate(parts)
     ]

@@ -6,11 +6,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
-from ledgerweave.operators.filters import FilterRules, keep_reject
+from ledgerweave.operators.filters import FilterRules, filter_figures, keep_reject
 from ledgerweave.operators.gaps import CREATE, REVIEW, action_counts, gap_actions
 from ledgerweave.operators.mismatches import number_mismatches, type_mismatches
 from ledgerweave.operators.presence import (
@@ -20,9 +20,9 @@ from ledgerweave.operators.presence import (
     presence_cells,
     presence_enriched,
 )
-from ledgerweave.sources.ledger import ORDINAL
-from ledgerweave.storage import materialise, store_by_key, store_in_buckets
-from ledgerweave.plans.report import config_echo, filter_summary, run_summary
+from ledgerweave.sources.ledger import ORDINAL, PendingLedger
+from ledgerweave.storage import in_passing, materialise, one_row, store_by_key, store_in_buckets
+from ledgerweave.plans.report import config_echo, filter_summary, written_summary
 from ledgerweave.plans.sink import Sink, table_names
 
 
@@ -56,7 +56,7 @@ class Steps(NamedTuple):
 
 
 def run_component(
-    source: DataFrame | Callable[[], DataFrame],
+    source: DataFrame | Callable[[], DataFrame | PendingLedger],
     comp: Component,
     rules: FilterRules | None = None,
     *,
@@ -77,26 +77,70 @@ def run_component(
 
     What several results read is stored once: the ledger of a loader function, the kept
     rows, and, in buckets of the description, what is compared of them and the presence
-    cells. These two are shuffled by description for their storage and not again after it. A
-    ledger given as a DataFrame is read three times as it stands, so it had better be a table.
+    cells. These two are shuffled by description for their storage and not again after it.
+
+    The source of a loader function is read once: the job that stores the ledger takes the
+    filter counters in passing, and checks a :class:`~ledgerweave.sources.ledger.PendingLedger`
+    as well. A ledger given as a DataFrame is read for the kept rows, with the counters, and
+    once more for the rejected ones, so it had better be a table. The numbers of rows in the
+    summary are those counted while the tables were written.
     """
     if out is not None and run_ts is None:
         raise ValueError("a written run needs run_ts to name its folder")
     rules = rules or FilterRules()
-    raw = materialise(source()) if callable(source) else source
-    split = steps.split(raw, comp, rules)
-    if out is None:
-        return _results(raw, split, materialise(split.cleaned), comp, wide, steps)
+    sink = None
+    if out is not None:
+        folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
+        sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
+
+    def keep(cleaned: DataFrame) -> DataFrame:
+        return materialise(cleaned) if sink is None else sink.keep("Cleaned Data", cleaned)
 
-    folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
-    sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
-    result = _results(raw, split, sink.keep("Cleaned Data", split.cleaned), comp, wide, steps)
-    _write(result, sink, comp, rules, run_ts)
+    def figures(rows: DataFrame) -> dict[str, Column]:
+        return filter_figures(rows, comp, rules)
+
+    usual = steps.split is keep_reject
+    if callable(source):
+        raw, found = _stored(source, figures if usual else None)
+    else:
+        raw, found = source, {}
+    split = steps.split(raw, comp, rules)
+    if not usual:  # with counters of its own
+        counts, cleaned = materialise(split.counts), keep(split.cleaned)
+    elif callable(source):
+        counts, cleaned = one_row(raw.sparkSession, found), keep(split.cleaned)
+    else:
+        cleaned, found = in_passing(
+            raw, figures(raw), lambda rows: keep(steps.split(rows, comp, rules).cleaned)
+        )
+        counts = one_row(raw.sparkSession, found)
+    result = _results(raw, split.filtered, counts, cleaned, comp, wide, steps)
+    if sink is not None:
+        _write(result, sink, comp, rules, run_ts)
     return result
 
 
+def _stored(
+    source: Callable[[], DataFrame | PendingLedger],
+    figures: Callable[[DataFrame], dict[str, Column]] | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """The ledger of a loader function as stored, with ``figures`` taken in passing."""
+    ledger = source()
+    if isinstance(ledger, PendingLedger):
+        return ledger.store(figures)
+    if figures is None:
+        return materialise(ledger), {}
+    return in_passing(ledger, figures(ledger), materialise)
+
+
 def _results(
-    raw: DataFrame, split, cleaned: DataFrame, comp: Component, wide: bool, steps: Steps
+    raw: DataFrame,
+    filtered: DataFrame,
+    counts: DataFrame,
+    cleaned: DataFrame,
+    comp: Component,
+    wide: bool,
+    steps: Steps,
 ) -> ComponentResult:
     work = store_by_key(_working_columns(cleaned, comp, steps), "DESC_KEY")
     # A description has one cell an environment at most, so that cells are never hot.
@@ -126,8 +170,8 @@ def _results(
     return ComponentResult(
         raw=raw,
         cleaned=cleaned,
-        filtered=split.filtered,
-        counts=split.counts,
+        filtered=filtered,
+        counts=counts,
         cells=cells,
         presence_binary=binary,
         presence_enriched=enriched,
@@ -151,19 +195,18 @@ def _working_columns(cleaned: DataFrame, comp: Component, steps: Steps) -> DataF
 def _write(
     result: ComponentResult, sink: Sink, comp: Component, rules: FilterRules, run_ts: str
 ) -> None:
-    """Write the other ten tables; the summary counts the stored ones."""
-    counts = materialise(result.counts)
+    """Write the other ten tables; the summary has the numbers of rows that were written."""
     sink.write("Filtered Out", result.filtered)
-    sink.write("Filter Summary", filter_summary(counts))
+    sink.write("Filter Summary", filter_summary(result.counts))
     if result.presence_binary is not None:
         sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
         sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
-    sink.write("Create", result.create)
-    sink.write("Review", result.review)
-    numbers = sink.keep("Number Mismatches", result.number_mismatches)
-    types = sink.keep("Type Mismatches", result.type_mismatches)
-
-    summary = run_summary(comp, counts, result.cells, result.action_counts, numbers, types, run_ts)
-    sink.write("Summary", summary)
+    written = {
+        "Create Actions": sink.write("Create", result.create),
+        "Review Actions": sink.write("Review", result.review),
+        "Number Mismatches": sink.write("Number Mismatches", result.number_mismatches),
+        "Type Mismatches": sink.write("Type Mismatches", result.type_mismatches),
+    }
+    sink.write("Summary", written_summary(comp, result.counts, result.cells, written, run_ts))
     parameters = {**asdict(rules), "component": comp.code, "run_timestamp": run_ts}
     sink.write("Config", config_echo(result.cells.sparkSession, parameters))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
-from ledgerweave.storage import materialise
+from ledgerweave.storage import in_passing, materialise
 
 # Result names and the tables they are written to, after the component code.
 RESULTS = {
@@ -50,16 +50,20 @@ class Sink:
     def path(self, name: str) -> str:
         return f"{self.folder}/{self.names.get(name, name)}"
 
-    def write(self, name: str, table: DataFrame, order: Sequence[str] = ()) -> None:
-        """Write one table; ``order`` sorts it by range, over all tasks."""
+    def write(self, name: str, table: DataFrame, order: Sequence[str] = ()) -> int:
+        """Write one table and return its number of rows; ``order`` sorts it by range."""
         if order:
             table = table.orderBy(*order)
         if self.format in TEXT_FORMATS:
             table = _as_text(table)
-        writer = table.write.mode("errorifexists").format(self.format)
-        if self.format == "csv":
-            writer = writer.option("header", True)
-        writer.save(self.path(name))
+
+        def save(rows: DataFrame) -> None:
+            writer = rows.write.mode("errorifexists").format(self.format)
+            if self.format == "csv":
+                writer = writer.option("header", True)
+            writer.save(self.path(name))
+
+        return in_passing(table, {"rows": F.count(F.lit(1))}, save)[1]["rows"]
 
     def keep(self, name: str, table: DataFrame) -> DataFrame:
         """Write a table that further results are made from; return it as stored.

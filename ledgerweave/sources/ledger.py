@@ -2,12 +2,12 @@
 
 Everything after the read is a projection: no shuffle, no Python worker, and it
 applies to a streaming DataFrame just as well. Only the check of the declared
-schema runs a job.
+schema runs a job, unless it is left to the one that stores the ledger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,13 @@ from ledgerweave.component import Component
 from ledgerweave.functions.dates import parse_last_used
 from ledgerweave.functions.numbers import number_text
 from ledgerweave.functions.text import canonical_key, environment, squeeze
-from ledgerweave.sources.quality import require_columns, require_valid
+from ledgerweave.sources.quality import (
+    require_columns,
+    require_none,
+    require_valid,
+    violation_figures,
+)
+from ledgerweave.storage import in_passing, materialise
 
 # Position of a row in its source. Spark rows have no order of their own, but
 # "first" results depend on one.
@@ -98,15 +104,63 @@ def conform(
     job, and violations raise :class:`~ledgerweave.sources.quality.SchemaViolations`.
     Columns beyond the declared ones pass through.
     """
+    pending = conform_later(df, comp, renames, order_by=order_by, date_formats=date_formats)
+    if check:
+        require_valid(pending.raw, comp)
+    return pending.project(pending.raw)
+
+
+@dataclass(frozen=True)
+class PendingLedger:
+    """A ledger whose declared schema is checked by the job that stores it.
+
+    ``raw`` has the declared column names, ``project`` makes the conformed ledger of it.
+    """
+
+    raw: DataFrame
+    comp: Component
+    project: Callable[[DataFrame], DataFrame]
+
+    def store(
+        self, figures: Callable[[DataFrame], Mapping[str, Column]] | None = None
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Store the conformed ledger; return it with the ``figures`` asked for.
+
+        One job reads the source, checks it, takes the figures and writes the table.
+        Violations raise :class:`~ledgerweave.sources.quality.SchemaViolations` afterwards;
+        the table is then an intermediate that nothing reads.
+        """
+
+        def write(rows: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+            ledger = self.project(rows)
+            if figures is None:
+                return materialise(ledger), {}
+            return in_passing(ledger, figures(ledger), materialise)
+
+        stored, broken = in_passing(self.raw, violation_figures(self.comp), write)
+        require_none(broken, self.raw, self.comp)
+        return stored
+
+
+def conform_later(
+    df: DataFrame,
+    comp: Component,
+    renames: Mapping[str, str] | None = None,
+    *,
+    order_by: Column | None = None,
+    date_formats: Sequence[str] = (),
+) -> PendingLedger:
+    """Like :func:`conform`, with the check left to the job that stores the ledger."""
     ledger = normalise_columns(df, renames)
     require_columns(ledger, comp)
     if order_by is not None:
         ledger = ledger.withColumn(ORDINAL, order_by)
     elif ORDINAL not in ledger.columns:
         raise ValueError(f"rows need an order: give order_by or a {ORDINAL} column")
-    if check:
-        require_valid(ledger, comp)
+    return PendingLedger(ledger, comp, lambda rows: _projected(rows, comp, date_formats))
+
 
+def _projected(ledger: DataFrame, comp: Component, date_formats: Sequence[str]) -> DataFrame:
     types = dict(ledger.dtypes)
     if "DESCRIPTION_LANG" not in types:
         ledger = ledger.withColumn("DESCRIPTION_LANG", F.lit(None).cast("string"))
@@ -137,3 +191,14 @@ def load(
 ) -> DataFrame:
     """Read and conform the table of ``comp``; ``options`` go to :func:`conform`."""
     return conform(read_table(spark, table_for(comp, locations)), comp, renames, **options)
+
+
+def load_later(
+    spark: SparkSession,
+    comp: Component,
+    locations: Mapping[str, TableLocation],
+    renames: Mapping[str, str] | None = None,
+    **options,
+) -> PendingLedger:
+    """Like :func:`load`, checked by the job that stores it; for ``run_component``."""
+    return conform_later(read_table(spark, table_for(comp, locations)), comp, renames, **options)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +65,25 @@ def schema_violations(df: DataFrame, comp: Component, ordinal: str = "_ord") ->
     )
 
 
+def violation_figures(comp: Component) -> dict[str, Column]:
+    """One aggregate per rule, named after column and check: the rows that break it."""
+    return {f"{name} {check}": F.count_if(broken) for name, check, broken in _rules(comp)}
+
+
+def require_none(
+    found: Mapping[str, int], df: DataFrame, comp: Component, ordinal: str = "_ord"
+) -> None:
+    """Raise :class:`SchemaViolations` if the figures ``found`` in ``df`` show any case.
+
+    Only then is ``df`` read, for the first cases.
+    """
+    total = sum(found.values())
+    if total:
+        first = schema_violations(df, comp, ordinal).orderBy(ordinal, "COLUMN", "CHECK").limit(SHOWN_CASES)
+        raise SchemaViolations(comp, total, first.collect())
+
+
 def require_valid(df: DataFrame, comp: Component, ordinal: str = "_ord") -> None:
     """Check the whole table in one job; raise :class:`SchemaViolations` on any case."""
-    total = df.agg(
-        *(F.count_if(broken).alias(f"{name} {check}") for name, check, broken in _rules(comp))
-    ).first()
-    if sum(total):
-        first = schema_violations(df, comp, ordinal).orderBy(ordinal).limit(SHOWN_CASES)
-        raise SchemaViolations(comp, sum(total), first.collect())
+    figures = [column.alias(name) for name, column in violation_figures(comp).items()]
+    require_none(df.agg(*figures).first().asDict(), df, comp, ordinal)

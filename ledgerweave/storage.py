@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from typing import NamedTuple
+from typing import NamedTuple, TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+Made = TypeVar("Made")
+
 # Rows of one key that a task reads without trouble.
 HOT_ROWS = 100_000
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,7 +43,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
-def _new_path(spark: SparkSession) -> str:
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing has used yet."""
     return f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
 
 
@@ -53,11 +56,32 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     the size. Existing tables are never overwritten.
     """
     spark = df.sparkSession
-    path = path or _new_path(spark)
+    path = path or new_path(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_passing(
+    df: DataFrame, figures: Mapping[str, Column], write: Callable[[DataFrame], Made]
+) -> tuple[Made, dict[str, int]]:
+    """What ``write`` makes of ``df``, and aggregates over the rows of ``df`` it read for that.
+
+    The aggregates cost no scan of their own. ``write`` has to run one action over all rows, first
+    thing, and may filter and project but not shuffle them: Spark then takes the figures of each
+    task of the last stage once, however often executors are lost and tasks repeated.
+    """
+    seen = Observation()
+    made = write(df.observe(seen, *(column.alias(name) for name, column in figures.items())))
+    return made, seen.get
+
+
+def one_row(spark: SparkSession, figures: Mapping[str, int]) -> DataFrame:
+    """Known figures as a table of one row."""
+    return spark.range(1).select(
+        *(F.lit(value).cast("bigint").alias(name) for name, value in figures.items())
+    )
+
+
 class Keyed(NamedTuple):
     """A stored table: its rows in buckets of a key, and those of hot keys, if there are any."""
 
@@ -106,7 +130,7 @@ def store_in_buckets(parts: Sequence[DataFrame], key: str) -> DataFrame:
     """
     first, *rest = parts
     spark = first.sparkSession
-    path, buckets = _new_path(spark), _buckets(spark)
+    path, buckets = new_path(spark), _buckets(spark)
     name = f"ledgerweave_{path.rpartition('/')[2]}"
     first.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
     for part in rest:

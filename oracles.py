@@ -471,6 +471,75 @@ def run_summary(comp: Component) -> str:
     return " UNION ALL ".join(rows)
 
 
+def schema_refusal(comp: Component) -> str:
+    return f"""WITH v AS ({schema_violations(comp)})
+SELECT (SELECT count(*) FROM v) AS "TOTAL", * FROM v ORDER BY _ord, "COLUMN", "CHECK" LIMIT 10"""
+
+
+def _listing(table: str, values: dict[str, str]) -> list[str]:
+    return [
+        f"SELECT '{table}' AS \"TABLE\", '{name}' AS \"NAME\", CAST(({sql}) AS VARCHAR) AS \"VALUE\""
+        for name, sql in values.items()
+    ]
+
+
+def _rows_of(tables: dict[str, str]) -> list[str]:
+    return _listing("Rows", {name: f"SELECT count(*) FROM ({sql})" for name, sql in tables.items()})
+
+
+def run_report(comp: Component, names: list[str]) -> str:
+    code = comp.code
+    config = {
+        "datalibs": "''",
+        "companies": "''",
+        "lastused_days": "'1000'",
+        "excluded_flags": "'DOORTREK_JN,VERDREK_JN'",
+        "as_of": "'2001-11-05 00:00:00'",
+        "component": f"'{code}'",
+        "run_timestamp": "'20011105_060000'",
+    }
+    keys = f"SELECT DISTINCT DESC_KEY FROM ({presence_long(comp)})"
+    one, summary = "SELECT 1", f"{run_summary(comp)} UNION ALL SELECT 'Run Timestamp', '20011105_060000'"
+    parts = _rows_of(
+        {
+            f"{code}_RunSummary": summary,
+            f"{code}_Cleaned": kept(comp),
+            f"{code}_Filtered": rejected(comp),
+            f"{code}_Summary": filter_summary(comp),
+            f"{code}_PresenceBin": keys,
+            f"{code}_Presence": presence_enriched(comp, names),
+            f"{code}_Create": actions_of(comp, "Create"),
+            f"{code}_Review": actions_of(comp, "Review"),
+            f"{code}_NumMismatch": number_mismatches(comp),
+            f"{code}_TypeMismatch": type_mismatches(comp) if comp is GL else "SELECT 1 WHERE false",
+            f"{code}_Config": one,
+        }
+    )
+    parts += _listing(f"{code}_Config", config)
+    parts.append(f"SELECT '{code}_RunSummary', Metric, Value FROM ({summary})")
+    parts.append(f"SELECT '{code}_Summary', Filter, CAST(Count AS VARCHAR) FROM ({filter_summary(comp)})")
+    return " UNION ALL ".join(parts)
+
+
+def merge_report() -> str:
+    config = {
+        "Target_ENV": "'EUROPE-18'",
+        "Scope": "'GL,CC'",
+        "Numbering_Strategy": "'pick_majority'",
+        "Preferred_ENV": "'EUROPE-3'",
+        "Created_At": "'20011105_060000'",
+    }
+    tables = {"Config": "SELECT 1", "Sources": "SELECT unnest([1, 2, 3])"}
+    for comp in (GL, CC):
+        tables |= {
+            f"Unified_{comp.code}": merge_unified(comp, "pick_majority"),
+            f"Conflicts_{comp.code}": merge_conflicts(comp),
+            f"Actions_{comp.code}": merge_actions(comp),
+            f"Mappings_{comp.code}": merge_mappings(comp),
+        }
+    return " UNION ALL ".join([*_rows_of(tables), *_listing("Config", config)])
+
+
 KEY = "CAST(o_orderkey AS VARCHAR)"
 NUMBER_SPELLINGS = f"""SELECT o_orderkey, CASE o_orderkey % 12
   WHEN 0 THEN {KEY} WHEN 1 THEN '0' || {KEY} WHEN 2 THEN {KEY} || '.0'
@@ -518,7 +587,9 @@ def all_oracles() -> dict[str, str]:
     for comp in (GL, CC):
         per_component = {
             "loaded": loaded(comp),
+            "loaded_table": loaded(comp),
             "schema_violations": schema_violations(comp),
+            "schema_refusal": schema_refusal(comp),
             "kept": kept(comp),
             "rejected": rejected(comp),
             "kept_whitelist": kept_whitelist(comp),
@@ -539,6 +610,7 @@ def all_oracles() -> dict[str, str]:
             "merge_actions": merge_actions(comp),
             "merge_mappings": merge_mappings(comp),
             "run_summary": run_summary(comp),
+            "run_report": run_report(comp, names),
         }
         for strategy in STRATEGIES:
             per_component[f"merge_unified_{strategy}"] = merge_unified(comp, strategy)
@@ -546,4 +618,5 @@ def all_oracles() -> dict[str, str]:
             found[f"{comp.code.lower()}_{name}"] = sql
     found["gl_type_mismatches"] = type_mismatches(GL)
     found["gl_type_details"] = type_details(GL)
+    found["merge_report"] = merge_report()
     return found

@@ -1,0 +1,104 @@
+"""Figures taken while a table is written: same as from a scan, without one."""
+
+import pytest
+from frames import rows
+from pyspark.sql import functions as F
+from test_plans import accounts
+from test_sources import RENAMES, broken, delivered
+
+from ledgerweave import GL, FilterRules, run_component
+from ledgerweave.operators.filters import filter_figures, keep_reject
+from ledgerweave.plans import run_summary
+from ledgerweave.sources import SchemaViolations, TableLocation, conform, conform_later, load_later
+from ledgerweave.storage import in_passing, materialise
+
+
+def jobs_of(spark, name, action):
+    """What ``action`` returns and the number of jobs it ran."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        made = action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return made, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("condition", ["id >= 0", "id < 10", "id < 0"])
+def test_figures_of_all_rows_whatever_is_kept(spark, condition):
+    frame = spark.range(0, 1000, 1, 7)
+    figures = {"n": F.count(F.lit(1)), "odd": F.count_if(F.col("id") % 2 == 1)}
+    kept, found = in_passing(frame, figures, lambda r: materialise(r.filter(condition)))
+    assert found == {"n": 1000, "odd": 500}
+    assert kept.count() == frame.filter(condition).count()
+
+
+def test_figures_of_no_rows(spark):
+    frame = spark.createDataFrame([], "id long")
+    made, found = in_passing(frame, {"n": F.count(F.lit(1))}, materialise)
+    assert (made.count(), found) == (0, {"n": 0})
+
+
+def test_figures_behind_a_shuffle(spark):
+    frame = spark.range(0, 1000, 1, 7).groupBy(F.col("id") % 10).count().orderBy("count")
+    _, found = in_passing(frame, {"n": F.sum("count")}, materialise)
+    assert found == {"n": 1000}
+
+
+def test_filter_figures_are_the_counters(spark):
+    for rules in (FilterRules(), FilterRules(datalibs=["ERP"], excluded_flags=[])):
+        frame = accounts(spark)
+        _, found = in_passing(frame, filter_figures(frame, GL, rules), materialise)
+        assert found == keep_reject(frame, GL, rules).counts.first().asDict()
+
+
+def test_one_job_reads_checks_counts_and_stores(spark, tmp_path):
+    source = delivered(spark).withColumn("_ord", F.monotonically_increasing_id())
+    source.write.parquet(f"{tmp_path}/Accounts")
+    where = {"GL": TableLocation(str(tmp_path), "Accounts")}
+    pending = load_later(spark, GL, where, RENAMES)
+    (stored, found), jobs = jobs_of(
+        spark, "store", lambda: pending.store(lambda r: filter_figures(r, GL))
+    )
+    assert jobs == 1
+    expected = conform(spark.read.parquet(f"{tmp_path}/Accounts"), GL, RENAMES)
+    assert stored.dtypes == expected.dtypes
+    assert sorted(rows(stored), key=str) == sorted(rows(expected), key=str)
+    assert found == keep_reject(expected, GL).counts.first().asDict()
+
+
+def test_a_run_reads_its_source_once(spark, tmp_path):
+    source = delivered(spark).withColumn("_ord", F.monotonically_increasing_id())
+    source.write.parquet(f"{tmp_path}/Accounts")
+    where = {"GL": TableLocation(str(tmp_path), "Accounts")}
+    result = run_component(lambda: load_later(spark, GL, where, RENAMES), GL)
+    tables = [result.raw, result.cleaned, result.filtered, result.cells, result.actions]
+    tables += [result.counts, result.number_mismatches, result.type_mismatches]
+    assert not any(str(tmp_path) in f for table in tables for f in table.inputFiles())
+    assert result.counts.first().asDict() == keep_reject(result.raw, GL).counts.first().asDict()
+
+
+def test_violations_stop_a_run_before_it_writes(spark, tmp_path):
+    with pytest.raises(SchemaViolations) as caught:
+        run_component(
+            lambda: conform_later(broken(spark), GL), GL, run_ts="t", out=str(tmp_path / "out")
+        )
+    assert caught.value.total == 8
+    assert not (tmp_path / "out").exists()
+
+
+@pytest.mark.parametrize("loader", [False, True], ids=["table", "loader"])
+def test_the_written_summary_is_the_summary(spark, tmp_path, loader):
+    ledger = accounts(spark)
+    source = (lambda: ledger) if loader else ledger
+    result = run_component(source, GL, run_ts="t", out=str(tmp_path))
+    expected = run_summary(
+        GL,
+        keep_reject(ledger, GL).counts,
+        result.cells,
+        result.action_counts,
+        result.number_mismatches,
+        result.type_mismatches,
+        "t",
+    )
+    stored = spark.read.parquet(f"{tmp_path}/GL_output_t/GL_RunSummary")
+    assert rows(stored) == rows(expected)
