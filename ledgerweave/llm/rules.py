@@ -2,9 +2,11 @@
 
 The base rules count words, symbols, repeated lines and repeated five-word windows.
 Documents that pass them are judged by the minimum-covariance-determinant estimate of
-their language and source: the mean and covariance of the three quarters of a group's
-rows that lie closest together, found by concentration steps. A document goes if its
-Mahalanobis distance exceeds ``CUTOFF``.
+their language and source: the mean and covariance of those three quarters of a group's
+rows whose covariance has the least determinant. Concentration steps lead there from
+three starts, until no determinant changes by more than ``SETTLED``; every group keeps
+the estimate of the start that got it the least. A document goes if its Mahalanobis
+distance exceeds ``CUTOFF``.
 
 A concentration step is one pass: rows are put into bins of their distance, each bin
 is summed (count, sums, products) ahead of the shuffle, and a group takes its nearest
@@ -31,7 +33,9 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 SHARE = 0.75  # of a group's rows that its estimate rests on
-STEPS = 3
+SETTLED = 0.05  # change of a determinant's logarithm that ends the steps; bins resolve no less
+MOST_STEPS = 12  # a bound, not reached so far
+SPREAD = 1.349  # quartile distance of a normal distribution, in standard deviations
 PRIOR_ROWS = 50.0
 SMOOTH = 40.0  # words that a document is padded with, so that short ones vary less
 CUTOFF = 40.0  # squared distance; far out in the tail of chi-square with DIMS degrees
@@ -121,15 +125,16 @@ def _vector() -> dict[str, Column]:
 
 def _estimates(sums: DataFrame) -> DataFrame:
     """Mean and Cholesky factor per group from its sums, leaning on the language's."""
-    by_lang = Window.partitionBy("lang")
+    by_lang = Window.partitionBy("lang", "start")
     names = ["n", *(f"s{i}" for i in range(DIMS)), *(f"p{i}{j}" for i, j in PAIRS)]
     weight = PRIOR_ROWS / F.sum("n").over(by_lang)
     leaning = sums.select(
-        "lang", "source", *((F.col(c) + weight * F.sum(c).over(by_lang)).alias(c) for c in names)
+        "lang", "source", "start", *((F.col(c) + weight * F.sum(c).over(by_lang)).alias(c) for c in names)
     )
     means = leaning.select(
         "lang",
         "source",
+        "start",
         *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIMS)),
         *((F.col(f"p{i}{j}") / F.col("n")).alias(f"p{i}{j}") for i, j in PAIRS),
     )
@@ -159,13 +164,20 @@ def _estimates(sums: DataFrame) -> DataFrame:
     return spread.select(
         F.col("lang").alias("_lang"),
         F.col("source").alias("_source"),
+        "start",
         *(f"m{i}" for i in range(DIMS)),
         *(f"l{i}{j}" for i, j in PAIRS),
     )
 
 
+def _log_determinant() -> Column:
+    """Of the covariance with that Cholesky factor."""
+    return 2 * reduce(lambda a, b: a + b, (F.ln(f"l{i}{i}") for i in range(DIMS)))
+
+
 def _with_distance(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``vectors`` with the squared Mahalanobis distance to their group's estimate."""
+    """``vectors`` with the squared Mahalanobis distance to their group's estimate: one row
+    for each ``start`` that has one."""
     kept = vectors.columns
     here = vectors.join(
         estimates,
@@ -177,48 +189,89 @@ def _with_distance(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
         rest = reduce(lambda a, b: a - b, done, F.col(name) - F.col(f"m{i}"))
         here = here.withColumn(f"y{i}", rest / F.col(f"l{i}{i}"))
     square = reduce(lambda a, b: a + b, (F.col(f"y{i}") * F.col(f"y{i}") for i in range(DIMS)))
-    return here.select(*kept, square.alias("distance"))
+    return here.select(*kept, "start", square.alias("distance"))
 
 
-def _nearest_sums(placed: DataFrame) -> DataFrame:
-    """Per group the sums over the bins that hold its nearest ``SHARE`` of rows."""
-    names = [f"s{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
+def _sums() -> list[Column]:
+    """Number of rows, sums and products of the statistics."""
     sums = {f"s{i}": F.sum(F.col(name)) for i, name in enumerate(STATS)}
     sums |= {f"p{i}{j}": F.sum(F.col(STATS[i]) * F.col(STATS[j])) for i, j in PAIRS}
+    return [F.count("*").cast("double").alias("n"), *(c.alias(name) for name, c in sums.items())]
+
+
+def _nearest_sums(placed: DataFrame) -> DataFrame:
+    """Per group and start the sums over the bins that hold the nearest ``SHARE`` of rows."""
+    names = [f"s{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
     bins = (
         placed.withColumn("bin", F.floor(F.ln(F.col("distance") + 1e-6) * BINS))
-        .groupBy("lang", "source", "bin")
-        .agg(F.count("*").cast("double").alias("n"), *(c.alias(name) for name, c in sums.items()))
+        .groupBy("lang", "source", "start", "bin")
+        .agg(*_sums())
     )
-    group = Window.partitionBy("lang", "source")
+    group = Window.partitionBy("lang", "source", "start")
     before = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     return (
         bins.withColumns({"_all": F.sum("n").over(group), "_before": F.coalesce(F.sum("n").over(before), F.lit(0.0))})
         .filter(F.col("_before") < SHARE * F.col("_all"))
-        .groupBy("lang", "source")
+        .groupBy("lang", "source", "start")
         .agg(*(F.sum(c).alias(c) for c in ["n", *names]))
     )
 
 
-def robust_distances(vectors: DataFrame) -> DataFrame:
-    """``vectors`` (lang, source, the statistics) with their ``distance``.
-
-    The start is the distance from the group's medians, scaled by the floors; each step
-    then takes the estimate of the rows nearest so far.
-    """
-    medians = vectors.groupBy("lang", "source").agg(
-        *(F.percentile_approx(name, 0.5, 1000).alias(f"m{i}") for i, name in enumerate(STATS))
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Three estimates per group: the medians with the floors as scale, the medians with the
+    quartile distances as scale, and the mean and covariance of all rows."""
+    groups = vectors.groupBy("lang", "source")
+    quartiles = groups.agg(
+        *(F.percentile_approx(name, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, name in enumerate(STATS))
     )
-    unit = medians.select(
-        F.col("lang").alias("_lang"),
-        F.col("source").alias("_source"),
-        *(f"m{i}" for i in range(DIMS)),
-        *(F.lit(FLOORS[STATS[i]] if i == j else 0.0).alias(f"l{i}{j}") for i, j in PAIRS),
-    )
-    placed = _with_distance(vectors, materialise(unit))
-    for _ in range(STEPS):
-        placed = _with_distance(vectors, materialise(_estimates(_nearest_sums(placed))))
-    return placed
+    scales = {
+        "floors": [F.lit(FLOORS[name]) for name in STATS],
+        "quartiles": [
+            F.greatest(F.lit(FLOORS[name]), (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / SPREAD)
+            for i, name in enumerate(STATS)
+        ],
+    }
+    parts = [
+        quartiles.select(
+            F.col("lang").alias("_lang"),
+            F.col("source").alias("_source"),
+            F.lit(start).alias("start"),
+            *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIMS)),
+            *((scale[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in PAIRS),
+        )
+        for start, scale in scales.items()
+    ]
+    everything = groups.agg(*_sums()).withColumn("start", F.lit("means"))
+    return reduce(DataFrame.unionByName, [*parts, _estimates(everything)])
+
+
+def _change(before: DataFrame, after: DataFrame) -> float:
+    """The largest change of a determinant's logarithm between two sets of estimates."""
+    both = [e.select("_lang", "_source", "start", _log_determinant().alias("d")) for e in (before, after)]
+    moved = both[0].unionByName(both[1]).groupBy("_lang", "_source", "start")
+    found = moved.agg((F.max("d") - F.min("d")).alias("c")).agg(F.max("c")).first()[0]
+    return found or 0.0
+
+
+def least_determinants(vectors: DataFrame) -> DataFrame:
+    """The estimate of each group (``_lang``, ``_source``) whose determinant is the least that
+    concentration reached from any start; ties go to the first start by name."""
+    before = materialise(_starts(vectors))
+    for _ in range(MOST_STEPS):
+        after = materialise(_estimates(_nearest_sums(_with_distance(vectors, before))))
+        settled = _change(before, after) <= SETTLED
+        before = after
+        if settled:
+            break
+    rest = [c for c in before.columns if c not in ("_lang", "_source", "start")]
+    least = F.min(F.struct(_log_determinant().alias("determinant"), "start", *rest)).alias("best")
+    return before.groupBy("_lang", "_source").agg(least).select("_lang", "_source", "best.*")
+
+
+def robust_distances(vectors: DataFrame) -> DataFrame:
+    """``vectors`` (lang, source, the statistics) with their ``distance`` from the estimate of
+    their group that has the least determinant."""
+    return _with_distance(vectors, materialise(least_determinants(vectors))).drop("start")
 
 
 def judge(df: DataFrame) -> DataFrame:

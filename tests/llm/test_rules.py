@@ -83,17 +83,48 @@ def test_distances_equal_numpy(spark):
 
     floor = np.diag([rules.FLOORS[n] ** 2 for n in rules.STATS])
     order = np.sort(rows, axis=0)
-    # the median of 400 values as Spark picks it: the lower middle one
-    d = distances(order[199], floor)
-    for _ in range(rules.STEPS):
+    # quartiles of 400 values as Spark picks them: the last value of each quarter
+    low, middle, high = order[99], order[199], order[299]
+    spread = np.maximum(np.sqrt(np.diag(floor)), (high - low) / rules.SPREAD)
+
+    def estimate(near):
+        return near.mean(axis=0), rules.CONSISTENCY * np.cov(near.T, bias=True) + floor
+
+    def concentrated(mean, cov):
+        d = distances(mean, cov)
         place = np.floor(np.log(d + 1e-6) * rules.BINS)
         before = np.array([(place < p).sum() for p in place])
-        near = rows[before < rules.SHARE * len(rows)]
-        cov = rules.CONSISTENCY * np.cov(near.T, bias=True) + floor
-        d = distances(near.mean(axis=0), cov)
+        return estimate(rows[before < rules.SHARE * len(rows)])
+
+    def log_determinant(e):
+        return np.linalg.slogdet(e[1])[1]
+
+    tried = [(middle, floor), (middle, np.diag(spread**2)), estimate(rows)]
+    for _ in range(rules.MOST_STEPS):
+        last, tried = tried, [concentrated(*e) for e in tried]
+        if max(abs(log_determinant(x) - log_determinant(y)) for x, y in zip(last, tried)) <= rules.SETTLED:
+            break
+    d = distances(*min(tried, key=log_determinant))
+    best = rules.least_determinants(df.drop("i")).collect()
+    assert np.isclose(best[0].determinant, min(map(log_determinant, tried)), atol=0.02)
     assert np.allclose([found[i] for i in range(400)], d, rtol=0.02)
 
 
+def test_groups_keep_the_start_with_the_least_determinant(spark):
+    """A fifth of the rows are a far cluster, which misleads the mean of all of them."""
+    chance = np.random.default_rng(8)
+    near = chance.normal(size=(400, rules.DIMS)) * 0.3
+    far = chance.normal(size=(100, rules.DIMS)) * 0.02 + 6
+    names = ", ".join(f"{n} double" for n in rules.STATS)
+    rows = [("l", "s", i, *map(float, r)) for i, r in enumerate(np.vstack([near, far]))]
+    rows += [(None, None, 1000 + i, *map(float, r)) for i, r in enumerate(near)]
+    df = spark.createDataFrame(rows, f"lang string, source string, i long, {names}")
+    assert len(rules.least_determinants(df).collect()) == 2
+    found = {r.i: r.distance for r in rules.robust_distances(df).collect()}
+    assert len(found) == len(rows)
+    assert max(found[i] for i in range(400)) < min(found[i] for i in range(400, 500))
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "only one document of ten words or so, in its group", "x", "y", "")]])
 def test_tiny_tables(spark, rows):
     assert rules.judge(spark.createDataFrame(rows, SCHEMA)).count() == len(rows)
