@@ -8,6 +8,8 @@ hand go, frames the record by its Content-Length and checks its digests.
 Nulls: a null payload is empty, a record without url has no WARC-Target-URI, a null
 page_id is written as an empty identifier and read as null. Rows with the same page_id
 and payload are records each, of one type. Columns beside the named ones are not read.
+Targets that are no addresses are escaped, and kept as they are in a field of their own.
+Records of other writers are read too, with a null page.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ RECORDS_SCHEMA = (
 )
 PAGE = "urn:page:"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+# What an address may hold as it stands: reserved and unreserved characters, and escapes.
+PLAIN = "%:/?#[]@!$&'()*+,;=-._~"
 DATE = "2024-01-01T00:00:00Z"  # of every record, so that archives are repeatable
 
 
@@ -49,8 +53,9 @@ def _name(number: int | None) -> str:
 
 
 def _number(name: str) -> int | None:
+    """The page of a record id; null for the ids of other writers."""
     number = name.strip().removeprefix(f"<{PAGE}").removesuffix(">")
-    return int(number) if number else None
+    return int(number) if number.removeprefix("-").isdecimal() else None
 
 
 def record_bytes(
@@ -70,13 +75,21 @@ def record_bytes(
         f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe='')}")
+        address = quote(url, safe=PLAIN)
+        lines.append(f"WARC-Target-URI: {address}")
+        if address != url or _address(address) != url:  # no address: kept for reading back
+            lines.append(f"X-Target: {quote(url, safe='')}")
     if revisit:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         lines.append(f"WARC-Refers-To: {_name(refers_to)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def _address(value: str) -> str:
+    """A target as other writers spell it: some put it in angle brackets."""
+    return value[1:-1] if value.startswith("<") and value.endswith(">") else value
+
+
 def gzip_member(record: bytes, level: int = 6) -> bytes:
     packer = zlib.compressobj(level, zlib.DEFLATED, 31)
     return packer.compress(record) + packer.flush()
@@ -108,9 +121,14 @@ def read_record(record: bytes) -> tuple[dict[str, str], bytes]:
     if not gap or not lines[0].startswith("WARC/"):
         raise WarcError("no WARC header")
     header = {}
+    name = ""
     for line in lines[1:]:
+        if line[:1] in (" ", "\t"):  # goes on with the field before
+            header[name] = f"{header.get(name, '')} {line.strip()}".strip()
+            continue
         name, _, value = line.partition(":")
-        header[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        header[name] = value.strip()
     try:
         length = int(header["content-length"])
     except (KeyError, ValueError) as error:
@@ -123,22 +141,42 @@ def read_record(record: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _verify(digest: str | None, data: bytes, what: str) -> None:
-    if digest is not None and digest != f"sha1:{base32_sha1(data)}":
+    """Digests are base32 or hexadecimal; those of unknown algorithms cannot be verified."""
+    method, _, value = (digest or "").partition(":")
+    method = method.strip().lower().replace("-", "")
+    if method not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return
+    found = hashlib.new(method, data).digest()
+    spelled = base64.b32encode(found).decode("ascii").rstrip("="), found.hex().upper()
+    if value.strip().upper().rstrip("=") not in spelled:
         raise WarcError(f"the {what} does not match its digest")
 
 
 def parse_record(record: bytes) -> tuple:
-    """The values of ``RECORDS_SCHEMA``; the payload of a revisit is null."""
+    """The values of ``RECORDS_SCHEMA``; the payload of a revisit is null.
+
+    Records of other writers have a null page. Their payload is the body of an HTTP message or,
+    in records of other kinds, the whole block; a digest other than SHA-1 is verified and replaced
+    by SHA-1, or in a revisit, which has no payload, kept with the name of its algorithm.
+    """
     header, block = read_record(record)
     digest = header.get("warc-payload-digest")
     revisit = header.get("warc-type") == "revisit"
-    payload = None if revisit else block.partition(b"\r\n\r\n")[2]
+    http = header.get("content-type", "application/http").startswith("application/http")
+    payload = None if revisit else block.partition(b"\r\n\r\n")[2] if http else block
     if payload is not None:
         _verify(digest, payload, "payload")
+        digest = f"sha1:{base32_sha1(payload)}"
+    elif digest is not None and digest.lower().startswith("sha1:"):
+        digest = f"sha1:{digest[5:]}"
     url = header.get("warc-target-uri")
+    if "x-target" in header:
+        url = unquote(header["x-target"])
+    elif url is not None:
+        url = _address(url)
     return (
         _number(header.get("warc-record-id", "")),
-        None if url is None else unquote(url),
+        url,
         header.get("warc-type"),
         _number(header.get("warc-refers-to", "")) if revisit else None,
         int(header.get("x-payload-length", len(payload or b""))),

@@ -1,6 +1,8 @@
 """WARC archives: round trip, framing, digests."""
 
+import base64
 import gzip
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,45 @@ def test_cut_archive_is_noticed():
     for archive in (member[:-5], b"no gzip"):
         with pytest.raises(warc.WarcError):
             list(warc.members([archive]))
+
+
+def foreign(block, **fields):
+    """A record as some other writer leaves it."""
+    given = {
+        "WARC-Type": "response",
+        "WARC-Record-ID": "<urn:uuid:5f0c0f3e-0000-4000-8000-000000000001>",
+        "Content-Type": "application/http; msgtype=response",
+        **{name.replace("_", "-"): value for name, value in fields.items()},
+    }
+    lines = ["WARC/1.0", *(f"{n}: {v}" for n, v in given.items()), f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers():
+    block = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    sha256 = hashlib.sha256(b"body")
+    for digest in (f"sha256:{sha256.hexdigest()}", f"sha-256:{base64.b32encode(sha256.digest()).decode()}",
+                   f"SHA1:{warc.base32_sha1(b'body').lower()}", "blake3:unknown"):
+        got = warc.parse_record(foreign(block, WARC_Target_URI="http://a/b%20c", WARC_Payload_Digest=digest))
+        want = (None, "http://a/b%20c", "response", None, 4, warc.base32_sha1(b"body"), "body")
+        assert got == want
+    with pytest.raises(warc.WarcError):
+        warc.parse_record(foreign(block, WARC_Payload_Digest=f"sha256:{hashlib.sha256(b'x').hexdigest()}"))
+    assert warc.parse_record(foreign(block, WARC_Target_URI="<http://a/>"))[1] == "http://a/"
+    info = warc.parse_record(foreign(b"software: x\r\n\r\ny", WARC_Type="warcinfo", Content_Type="application/warc-fields"))
+    assert info[2] == "warcinfo" and info[6] == "software: x\r\n\r\ny"
+    folded = warc.parse_record(foreign(block, X_Note="one\r\n two", WARC_Target_URI="http://f/"))
+    assert folded[1] == "http://f/"
+    again = warc.parse_record(foreign(b"", WARC_Type="revisit", WARC_Payload_Digest="sha256:AB"))
+    assert again[2:] == ("revisit", None, 0, "sha256:AB", None)
+
+
+@pytest.mark.parametrize("url", [
+    "http://a/b?c=d&e=%20#f", "http://a/b c", "http://a/é", "", " lead", "<http://a/>", "a\r\nWARC-Type: x", "100%", "%41",
+])
+def test_addresses_come_back_as_they_were(url):
+    record = warc.record_bytes(1, url, b"p", None, False)
+    assert warc.parse_record(record)[1] == url
+    head = record.partition(b"\r\n\r\n")[0].decode()
+    if url == "http://a/b?c=d&e=%20#f":
+        assert f"WARC-Target-URI: {url}\r\n" in head + "\r\n" and "X-Target" not in head
