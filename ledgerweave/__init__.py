@@ -8,7 +8,7 @@ step is also an operator of its own in :mod:`ledgerweave.operators`.
 from ledgerweave.component import CC, GL, Component, component
 from ledgerweave.operators import FilterRules, MergeSpec
 from ledgerweave.plans import merge_plan, run_component
-from ledgerweave.sources import TableLocation, conform, load
+from ledgerweave.sources import TableLocation, conform, load, load_later
 
 __all__ = [
     "CC",
@@ -20,6 +20,7 @@ __all__ = [
     "component",
     "conform",
     "load",
+    "load_later",
     "merge_plan",
     "run_component",
 ]
