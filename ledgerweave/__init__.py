@@ -7,7 +7,7 @@ step is also an operator of its own in :mod:`ledgerweave.operators`.
 
 from ledgerweave.component import CC, GL, Component, component
 from ledgerweave.operators import FilterRules, MergeSpec
-from ledgerweave.plans import merge_plan, run_component
+from ledgerweave.plans import intermediates, merge_plan, read_results, run_component
 from ledgerweave.sources import TableLocation, conform, load, load_later
 
 __all__ = [
@@ -18,9 +18,11 @@ __all__ = [
     "MergeSpec",
     "TableLocation",
     "component",
+    "intermediates",
     "conform",
     "load",
     "load_later",
     "merge_plan",
+    "read_results",
     "run_component",
 ]

@@ -18,7 +18,7 @@ from ledgerweave.operators.merge import (
 )
 from ledgerweave.storage import store_by_key, store_in_buckets
 from ledgerweave.plans.report import config_echo
-from ledgerweave.plans.sink import Sink
+from ledgerweave.plans.sink import publishing
 
 
 def merge_plan(
@@ -31,7 +31,8 @@ def merge_plan(
 ) -> dict[str, DataFrame]:
     """Result tables of a merge by name, from the cleaned ledgers by component code.
 
-    With ``out`` they are also written below ``<out>/Merge_Plan_<run_ts>``.
+    With ``out`` they are also published below ``<out>/Merge_Plan_<run_ts>``, all together when
+    the last is complete; a merge that fails leaves none, one whose results exist is refused.
     """
     if not isinstance(spec, MergeSpec):
         spec = MergeSpec.from_dict(spec)
@@ -39,6 +40,20 @@ def merge_plan(
     if missing:
         raise ValueError(f"the scope names {missing}, but there is no such ledger")
 
+    spark = next(iter(cleaned.values())).sparkSession
+    if out is None:
+        return _tables(cleaned, spec, run_ts)[0]
+    with publishing(spark, f"{out.rstrip('/')}/Merge_Plan_{run_ts}", format=format) as sink:
+        tables, order = _tables(cleaned, spec, run_ts)
+        for name, table in tables.items():
+            sink.write(name, table, order.get(name, ()))
+    return tables
+
+
+def _tables(
+    cleaned: Mapping[str, DataFrame], spec: MergeSpec, run_ts: str
+) -> tuple[dict[str, DataFrame], dict[str, list[str]]]:
+    """The result tables, and the columns that those with an order are sorted by."""
     spark = next(iter(cleaned.values())).sparkSession
     # Table and column names.
     tables = {
@@ -63,11 +78,7 @@ def merge_plan(
         tables.update(component_merge(cleaned[code], comp, spec))
         order[f"Unified_{code}"] = order[f"Conflicts_{code}"] = ["DESCRIPTION"]
         order[f"Mappings_{code}"] = ["Source_ENV", "DESCRIPTION", f"{comp.number}_SOURCE"]
-    if out is not None:
-        sink = Sink(f"{out.rstrip('/')}/Merge_Plan_{run_ts}", format=format)
-        for name, table in tables.items():
-            sink.write(name, table, order.get(name, ()))
-    return tables
+    return tables, order
 
 
 def component_merge(

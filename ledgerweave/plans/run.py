@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import asdict, dataclass
+from contextlib import nullcontext
+from dataclasses import asdict, dataclass, replace
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
@@ -23,7 +24,7 @@ from ledgerweave.operators.presence import (
 from ledgerweave.sources.ledger import ORDINAL, PendingLedger
 from ledgerweave.storage import in_passing, materialise, one_row, store_by_key, store_in_buckets
 from ledgerweave.plans.report import config_echo, filter_summary, written_summary
-from ledgerweave.plans.sink import Sink, table_names
+from ledgerweave.plans.sink import Sink, publishing, table_names
 
 
 @dataclass(frozen=True)
@@ -69,8 +70,11 @@ def run_component(
 ) -> ComponentResult:
     """Filter, compare and report one conformed ledger, or a function returning it.
 
-    With ``out`` eleven tables are written below ``<out>/<component>_output_<run_ts>``,
-    under other ``names`` where given; without it nothing but intermediates is.
+    With ``out`` eleven tables are published below ``<out>/<component>_output_<run_ts>``,
+    under other ``names`` where given, all together when the last is complete; a run that fails
+    leaves none, and one whose results exist is refused at once. What it returns reads the
+    published tables if they are parquet. Without ``out`` nothing but intermediates is written;
+    within :func:`~ledgerweave.storage.intermediates` these go when the scope ends.
     ``wide=False`` leaves out the two matrices with columns per environment, for runs
     with more environments than a table has room for; all else has no such limit.
     ``steps`` replaces single steps of the run.
@@ -88,11 +92,31 @@ def run_component(
     if out is not None and run_ts is None:
         raise ValueError("a written run needs run_ts to name its folder")
     rules = rules or FilterRules()
-    sink = None
+    target = nullcontext()
     if out is not None:
         folder = f"{out.rstrip('/')}/{comp.code}_output_{run_ts}"
-        sink = Sink(folder, {**table_names(comp), **(names or {})}, format)
+        target = publishing(_session(source), folder, {**table_names(comp), **(names or {})}, format)
+    with target as sink:
+        result = _run(source, comp, rules, sink, wide, steps)
+        if sink is not None:
+            written = _write(result, sink, comp, rules, run_ts)
+    if sink is None or sink.format != "parquet":
+        return result
+    return _published(result, sink, written)
 
+
+def _session(source: DataFrame | Callable) -> SparkSession:
+    return SparkSession.active() if callable(source) else source.sparkSession
+
+
+def _run(
+    source: DataFrame | Callable[[], DataFrame | PendingLedger],
+    comp: Component,
+    rules: FilterRules,
+    sink: Sink | None,
+    wide: bool,
+    steps: Steps,
+) -> ComponentResult:
     def keep(cleaned: DataFrame) -> DataFrame:
         return materialise(cleaned) if sink is None else sink.keep("Cleaned Data", cleaned)
 
@@ -114,10 +138,7 @@ def run_component(
             raw, figures(raw), lambda rows: keep(steps.split(rows, comp, rules).cleaned)
         )
         counts = one_row(raw.sparkSession, found)
-    result = _results(raw, split.filtered, counts, cleaned, comp, wide, steps)
-    if sink is not None:
-        _write(result, sink, comp, rules, run_ts)
-    return result
+    return _results(raw, split.filtered, counts, cleaned, comp, wide, steps)
 
 
 def _stored(
@@ -192,21 +213,46 @@ def _working_columns(cleaned: DataFrame, comp: Component, steps: Steps) -> DataF
     return cleaned.select(*(name for name in names if name in cleaned.columns))
 
 
+# The results of a run by the names they are written under.
+FIELDS = {
+    "Cleaned Data": "cleaned",
+    "Filtered Out": "filtered",
+    "Presence Matrix (binary)": "presence_binary",
+    "Presence Matrix (enriched)": "presence_enriched",
+    "Create": "create",
+    "Review": "review",
+    "Number Mismatches": "number_mismatches",
+    "Type Mismatches": "type_mismatches",
+}
+
+
 def _write(
     result: ComponentResult, sink: Sink, comp: Component, rules: FilterRules, run_ts: str
-) -> None:
+) -> dict[str, int]:
     """Write the other ten tables; the summary has the numbers of rows that were written."""
-    sink.write("Filtered Out", result.filtered)
+    for name, field in FIELDS.items():
+        table = getattr(result, field)
+        if table is not None and name not in sink.rows:
+            sink.write(name, table, ["DESC_KEY"] if name.startswith("Presence") else ())
     sink.write("Filter Summary", filter_summary(result.counts))
-    if result.presence_binary is not None:
-        sink.write("Presence Matrix (binary)", result.presence_binary, ["DESC_KEY"])
-        sink.write("Presence Matrix (enriched)", result.presence_enriched, ["DESC_KEY"])
     written = {
-        "Create Actions": sink.write("Create", result.create),
-        "Review Actions": sink.write("Review", result.review),
-        "Number Mismatches": sink.write("Number Mismatches", result.number_mismatches),
-        "Type Mismatches": sink.write("Type Mismatches", result.type_mismatches),
+        "Create Actions": sink.rows["Create"],
+        "Review Actions": sink.rows["Review"],
+        "Number Mismatches": sink.rows["Number Mismatches"],
+        "Type Mismatches": sink.rows["Type Mismatches"],
     }
     sink.write("Summary", written_summary(comp, result.counts, result.cells, written, run_ts))
     parameters = {**asdict(rules), "component": comp.code, "run_timestamp": run_ts}
     sink.write("Config", config_echo(result.cells.sparkSession, parameters))
+    return {CREATE: written["Create Actions"], REVIEW: written["Review Actions"]}
+
+
+def _published(result: ComponentResult, sink: Sink, counted: dict[str, int]) -> ComponentResult:
+    """The same results, read from where they were published."""
+    read = {
+        field: sink.read(name, getattr(result, field))
+        for name, field in FIELDS.items()
+        if getattr(result, field) is not None
+    }
+    actions = read["create"].unionByName(read["review"])
+    return replace(result, **read, actions=actions, action_counts=one_row(actions.sparkSession, counted))

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 from typing import NamedTuple, TypeVar
 
@@ -43,9 +45,68 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+class _Scope(NamedTuple):
+    """Where the tables of an open scope lie, and which of them the catalog knows."""
+
+    folder: str
+    tables: list[str]
+
+
+_scope: ContextVar[_Scope | None] = ContextVar("intermediates", default=None)
+
+
+def _base(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/ledgerweave"
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """A scope for intermediate tables: they lie in one folder and go when it ends, on failure too.
+
+    Results made within read these tables, so read or write them before the scope ends. Result
+    tables that a run or a merge published stay. A scope within another has a folder of its own.
+    A process that is killed cannot clear its folder; the folder's name is what the scope gives,
+    to be cleared by whoever notices.
+    """
+    scope = _Scope(f"{_base(spark)}/{uuid.uuid4().hex}", [])
+    outer = _scope.set(scope)
+    try:
+        yield scope.folder
+    finally:
+        _scope.reset(outer)
+        for name in scope.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, scope.folder)
+
+
 def new_path(spark: SparkSession) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark).rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used yet, within the open scope if there is one."""
+    scope = _scope.get()
+    return f"{_base(spark) if scope is None else scope.folder}/{uuid.uuid4().hex}"
+
+
+def _reached(spark: SparkSession, path: str):
+    """The file system of ``path``, and the path as it names it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _reached(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    files, place = _reached(spark, path)
+    files.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to one that does not exist; one step where the file system has such a step."""
+    files, place = _reached(spark, path)
+    if exists(spark, target) or not files.rename(place, _reached(spark, target)[1]):
+        raise FileExistsError(f"[RESULT_ALREADY_EXISTS] cannot move results to {target}")
 
 
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -132,6 +193,9 @@ def store_in_buckets(parts: Sequence[DataFrame], key: str) -> DataFrame:
     spark = first.sparkSession
     path, buckets = new_path(spark), _buckets(spark)
     name = f"ledgerweave_{path.rpartition('/')[2]}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.tables.append(name)
     first.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
     for part in rest:
         placed = part.select(*first.columns).repartition(buckets, key)

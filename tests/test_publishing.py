@@ -1,0 +1,132 @@
+"""Results appear whole or not at all; intermediates go with their scope."""
+
+import sys
+from pathlib import Path
+
+import pytest
+from frames import rows
+from pyspark.sql import functions as F
+from test_plans import SPEC, accounts, cost_centers
+
+from ledgerweave import GL, intermediates, merge_plan, read_results, run_component
+from ledgerweave.plans import publishing, read_manifest, table_names
+from ledgerweave.storage import materialise, new_path, store_by_key
+
+
+def names_in(folder):
+    return sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+
+
+def fails(*args, **kwargs):
+    raise RuntimeError("stopped here")
+
+
+def tables_of(spark):
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith("ledgerweave_")}
+
+
+def test_results_are_listed_and_read_back(spark, tmp_path):
+    result = run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path))
+    assert names_in(tmp_path) == ["GL_output_t", "GL_output_t_manifest"]
+    folder = f"{tmp_path}/GL_output_t"
+    found = read_results(spark, folder)
+    assert set(found) == set(table_names(GL).values())
+    listed = {r.TABLE: r.ROWS for r in read_manifest(spark, folder).collect()}
+    assert listed == {name: table.count() for name, table in found.items()}
+    assert rows(found["GL_Cleaned"]) == rows(result.cleaned)
+    for table in (result.cleaned, result.filtered, result.create, result.number_mismatches):
+        assert all("/GL_output_t/" in f for f in table.inputFiles())
+    assert rows(result.actions) == rows(result.create) != []
+    assert tuple(result.action_counts.first()) == (1, 0)
+
+
+@pytest.mark.parametrize("step", ["written_summary", "number_mismatches", "keep_reject"])
+def test_a_run_that_fails_leaves_no_result(spark, tmp_path, monkeypatch, step):
+    run = sys.modules["ledgerweave.plans.run"]
+    with monkeypatch.context() as broken:
+        broken.setattr(run, step, fails)
+        steps = run.Steps(run.keep_reject, numbers=run.number_mismatches)
+        with pytest.raises(RuntimeError, match="stopped here"):
+            run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path), steps=steps)
+        assert names_in(tmp_path) == []
+        with pytest.raises(FileNotFoundError):
+            read_results(spark, f"{tmp_path}/GL_output_t")
+    run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path))
+    assert len(read_results(spark, f"{tmp_path}/GL_output_t")) == 11
+
+
+def test_a_write_that_fails_on_an_executor_leaves_no_result(spark, tmp_path):
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("bad row"))).alias("x"))
+    with pytest.raises(Exception, match="bad row"):
+        with publishing(spark, f"{tmp_path}/r") as sink:
+            sink.write("good", spark.range(3))
+            sink.write("bad", bad)
+    assert names_in(tmp_path) == []
+
+
+def test_folders_of_killed_attempts_are_not_results(spark, tmp_path):
+    left = tmp_path / "_unfinished_GL_output_t_0" / "GL_Cleaned"
+    left.mkdir(parents=True)
+    run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path))
+    assert left.exists() and len(read_results(spark, f"{tmp_path}/GL_output_t")) == 11
+
+
+def test_existing_results_are_refused_before_any_work(spark, tmp_path):
+    (tmp_path / "GL_output_t").mkdir()
+    with pytest.raises(FileExistsError, match="GL_output_t"):
+        run_component(fails, GL, run_ts="t", out=str(tmp_path))
+
+
+def test_the_slower_of_two_attempts_is_refused(spark, tmp_path):
+    with pytest.raises(FileExistsError):
+        with publishing(spark, f"{tmp_path}/r") as slow:
+            slow.write("a", spark.range(3))
+            with publishing(spark, f"{tmp_path}/r") as fast:
+                fast.write("a", spark.range(5))
+    assert names_in(tmp_path) == ["r", "r_manifest"]
+    assert read_results(spark, f"{tmp_path}/r")["a"].count() == 5
+
+
+def test_a_merge_that_fails_leaves_no_result(spark, tmp_path, monkeypatch):
+    plan = sys.modules["ledgerweave.plans.merge_plan"]
+    cleaned = {"GL": accounts(spark), "CC": cost_centers(spark)}
+    with monkeypatch.context() as broken:
+        broken.setattr(plan, "merge_mappings", fails)
+        with pytest.raises(RuntimeError):
+            merge_plan(cleaned, SPEC, run_ts="t", out=str(tmp_path))
+    assert names_in(tmp_path) == []
+    merge_plan(cleaned, SPEC, run_ts="t", out=str(tmp_path))
+    assert len(read_results(spark, f"{tmp_path}/Merge_Plan_t")) == 10
+
+
+def test_text_results_are_read_back(spark, tmp_path):
+    run_component(accounts(spark), GL, run_ts="t", out=str(tmp_path), format="csv")
+    found = read_results(spark, f"{tmp_path}/GL_output_t")
+    assert found["GL_Create"].first().ACCOUNT == "4000"
+
+
+def test_intermediates_go_with_their_scope(spark, tmp_path):
+    before = tables_of(spark)
+    with intermediates(spark) as folder:
+        run_component(lambda: accounts(spark), GL, run_ts="t", out=str(tmp_path))
+        merge_plan({"GL": accounts(spark)}, {**SPEC, "scope": ["GL"]}, run_ts="t", out=str(tmp_path))
+        assert len(tables_of(spark)) > len(before)
+        assert new_path(spark).startswith(folder)
+    assert tables_of(spark) == before
+
+    assert not Path(folder).exists() and not new_path(spark).startswith(folder)
+    assert len(read_results(spark, f"{tmp_path}/GL_output_t")) == 11
+    assert read_results(spark, f"{tmp_path}/Merge_Plan_t")["Unified_GL"].count() == 3
+
+
+def test_intermediates_go_on_failure_too(spark):
+    before = tables_of(spark)
+    with pytest.raises(RuntimeError):
+        with intermediates(spark) as folder:
+            store_by_key(accounts(spark), "DESC_KEY")
+            with intermediates(spark) as inner:
+                materialise(spark.range(3))
+            fails()
+
+    assert tables_of(spark) == before
+    assert not Path(folder).exists() and not Path(inner).exists()
