@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.functions.text import env_company, env_datalib
@@ -21,8 +21,6 @@ CHUNK, BIT = "_chunk", "_bit"
 CHUNK_SIZE = 63
 # Up to this many environments their table is small enough to broadcast.
 BROADCAST_LIMIT = 50_000
-# Environments numbered by one task when they are more.
-BUCKET_SIZE = 1_000
 
 
 class Axis(NamedTuple):
@@ -71,36 +69,59 @@ def named_axis(
     return Axis(frame, len(rows), chunk_size, True)
 
 
-def distributed_axis(frame: DataFrame, chunk_size: int = CHUNK_SIZE) -> Axis:
-    """Number the distinct ``ENV`` of ``frame`` without bringing them together.
+def numbered_axis(
+    frame: DataFrame, chunk_size: int = CHUNK_SIZE, broadcast_limit: int = BROADCAST_LIMIT
+) -> Axis:
+    """Number the distinct ``ENV`` of ``frame`` in order without bringing them together.
 
-    They are numbered within hash buckets of a bounded size; only the bucket sizes,
-    a thousandth of the environments, meet in one place.
+    They are stored by range, each with its place in its range. Only the sizes of the ranges, at
+    most one a shuffle partition, come to the driver; the rest is a projection. Up to
+    ``broadcast_limit`` environments may be broadcast, joins with more are left to Spark.
     """
-    frame = materialise(frame)
-    size = frame.count()
-    bucket = F.pmod(F.xxhash64("ENV"), F.lit(-(-size // BUCKET_SIZE)))
-    bucketed = frame.withColumn("_bucket", bucket)
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.monotonically_increasing_id()  # the partition above 33 bits of the row's place in it
+    ranges = frame.repartitionByRange("ENV").sortWithinPartitions("ENV")
+    stored = materialise(ranges.withColumn("_place", place))
+    part = F.shiftright("_place", 33).cast("int")
+    sizes = stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size")).collect()
+    starts, size = [0] * (1 + max((row.part for row in sizes), default=0)), 0
+    for row in sorted(sizes):
+        starts[row.part], size = size, size + row["size"]
+    index = F.get(F.lit(starts).cast("array<bigint>"), part) + F.col("_place").bitwiseAND((1 << 33) - 1)
+    numbered = stored.withColumns(
+        {CHUNK: F.floor(index / chunk_size).cast("int"), BIT: (index % chunk_size).cast("int")}
     )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("ENV"))
-    numbered = (
-        bucketed.withColumn("_rank", rank)
-        .join(starts, "_bucket")
-        .withColumn("_index", F.col("_start") + F.col("_rank") - 1)
-        .withColumns(
-            {
-                CHUNK: F.floor(F.col("_index") / chunk_size).cast("int"),
-                BIT: (F.col("_index") % chunk_size).cast("int"),
-            }
-        )
-        .drop("_bucket", "_rank", "_start", "_index")
+    return Axis(numbered.drop("_place"), size, chunk_size, size <= broadcast_limit)
+
+
+def sparse_set(chunk: Column, members: Column) -> Column:
+    """Aggregate: the sets of the chunks that have members, in order."""
+    return F.array_sort(F.collect_list(F.struct(chunk.alias("chunk"), members.alias("members"))))
+
+
+def each_chunk(df: DataFrame, sparse: str, axis: Axis, members: str) -> DataFrame:
+    """One row per row of ``df`` and chunk of the axis, with the ``members`` that ``sparse`` has there.
+
+    Every listed chunk brings the empty ones ahead of it, the end of the axis those after the last,
+    so that the work is what comes out, with nothing to look up.
+    """
+    end = F.struct(F.lit(axis.chunks).alias("chunk"), F.lit(0).cast("bigint").alias("members"))
+    listed = F.concat(F.coalesce(F.col(sparse), F.array()), F.array(end))
+    runs = F.transform(
+        "_listed",
+        lambda item, i: F.struct(
+            F.coalesce(F.get("_listed", i - 1)["chunk"] + 1, F.lit(0)).alias("start"), item.alias("item")
+        ),
+    )
+    run, item = F.col("_run"), F.col("_run.item")
+    last = F.least(item["chunk"], F.lit(axis.chunks - 1))
+    return (
+        df.withColumn("_listed", listed)
+        .withColumn("_run", F.explode(runs))
+        .filter(run["start"] <= last)
+        .withColumn(CHUNK, F.explode(F.sequence(run["start"], last)))
+        .withColumn(members, F.when(F.col(CHUNK) == item["chunk"], item["members"]).otherwise(F.lit(0)))
+        .drop("_listed", "_run", sparse)
     )
-    return Axis(materialise(numbered), size, chunk_size, False)
 
 
 def single(bit: Column) -> Column:

@@ -21,11 +21,12 @@ from ledgerweave.operators.axis import (
     CHUNK,
     CHUNK_SIZE,
     Axis,
-    distributed_axis,
+    each_chunk,
     entry,
     has,
-    named_axis,
+    numbered_axis,
     single,
+    sparse_set,
 )
 from ledgerweave.operators.holders import rival, two_holders
 from ledgerweave.operators.joins import shuffle_anew
@@ -46,19 +47,13 @@ def environment_axis(
 ) -> Axis:
     """The environments of the ledger (and of ``gaps``), with the highest number of each.
 
-    Takes one job over two columns of the ledger. Up to ``broadcast_limit``
-    environments come back as a local table, so that the plan does not compute
-    them again; otherwise they stay a distributed one.
+    One job over two columns of the ledger stores them, so that the plan does not compute them again.
     """
     frame = cleaned.groupBy("ENV").agg(F.max(as_double(F.col(comp.number))).alias("_max"))
     if gaps is not None:
         lone = gaps.select("ENV", F.lit(None).cast("double").alias("_max"))
         frame = frame.unionByName(lone).groupBy("ENV").agg(F.max("_max").alias("_max"))
-    rows = frame.limit(broadcast_limit + 1).collect()
-    if len(rows) > broadcast_limit:
-        return distributed_axis(frame, chunk_size)
-    found = sorted(map(tuple, rows))
-    return named_axis(cleaned.sparkSession, found, "ENV string, _max double", chunk_size)
+    return numbered_axis(frame, chunk_size, broadcast_limit)
 
 
 def gap_actions(
@@ -158,7 +153,7 @@ def _described(source: DataFrame, comp: Component, axis: Axis, *order: Column) -
             *(first_by(F.col(name), *order).alias(name) for name in attributes),
         )
     )
-    held = F.map_from_entries(F.collect_list(F.struct(CHUNK, "_held")))
+    held = sparse_set(F.col(CHUNK), F.col("_held"))
     return by_chunk.groupBy("DESC_KEY").agg(
         held.alias("_held"), *(F.min(name)["value"].alias(name) for name in attributes)
     )
@@ -166,11 +161,11 @@ def _described(source: DataFrame, comp: Component, axis: Axis, *order: Column) -
 
 def _lacking(described: DataFrame, axis: Axis) -> DataFrame:
     """Per description and chunk: the environments without the description."""
-    held = F.coalesce(F.try_element_at("_held", F.col(CHUNK)), F.lit(0))
+    missing = axis.full().bitwiseAND(F.bitwise_not(F.col("_members")))
     return (
-        described.withColumn(CHUNK, F.explode(F.sequence(F.lit(0), F.lit(axis.chunks - 1))))
-        .withColumn("_missing", axis.full().bitwiseAND(F.bitwise_not(held)))
-        .drop("_held")
+        each_chunk(described, "_held", axis, "_members")
+        .withColumn("_missing", missing)
+        .drop("_members")
         .filter(F.col("_missing") != 0)
     )
 

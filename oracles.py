@@ -487,6 +487,32 @@ def _rows_of(tables: dict[str, str]) -> list[str]:
     return _listing("Rows", {name: f"SELECT count(*) FROM ({sql})" for name, sql in tables.items()})
 
 
+def run_tables(comp: Component, names: list[str]) -> dict[str, str]:
+    """The result tables of a run; of some only their number of rows is right."""
+    code = comp.code
+    keys = f"SELECT DISTINCT DESC_KEY FROM ({presence_long(comp)})"
+    return {
+        f"{code}_RunSummary": f"SELECT 1 FROM ({run_summary(comp)}) UNION ALL SELECT 1",
+        f"{code}_Cleaned": kept(comp),
+        f"{code}_Filtered": rejected(comp),
+        f"{code}_Summary": filter_summary(comp),
+        f"{code}_PresenceBin": keys,
+        f"{code}_Presence": presence_enriched(comp, names),
+        f"{code}_Create": actions_of(comp, "Create"),
+        f"{code}_Review": actions_of(comp, "Review"),
+        f"{code}_NumMismatch": number_mismatches(comp),
+        f"{code}_TypeMismatch": type_mismatches(comp) if comp is GL else "SELECT 1 WHERE false",
+        f"{code}_Config": "SELECT 1",
+    }
+
+
+def manifest(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "TABLE", 'parquet' AS FORMAT, count(*) AS "ROWS" FROM ({sql})"""
+        for name, sql in tables.items()
+    )
+
+
 def run_report(comp: Component, names: list[str]) -> str:
     code = comp.code
     config = {
@@ -498,37 +524,16 @@ def run_report(comp: Component, names: list[str]) -> str:
         "component": f"'{code}'",
         "run_timestamp": "'20011105_060000'",
     }
-    keys = f"SELECT DISTINCT DESC_KEY FROM ({presence_long(comp)})"
-    one, summary = "SELECT 1", f"{run_summary(comp)} UNION ALL SELECT 'Run Timestamp', '20011105_060000'"
-    parts = _rows_of(
-        {
-            f"{code}_RunSummary": summary,
-            f"{code}_Cleaned": kept(comp),
-            f"{code}_Filtered": rejected(comp),
-            f"{code}_Summary": filter_summary(comp),
-            f"{code}_PresenceBin": keys,
-            f"{code}_Presence": presence_enriched(comp, names),
-            f"{code}_Create": actions_of(comp, "Create"),
-            f"{code}_Review": actions_of(comp, "Review"),
-            f"{code}_NumMismatch": number_mismatches(comp),
-            f"{code}_TypeMismatch": type_mismatches(comp) if comp is GL else "SELECT 1 WHERE false",
-            f"{code}_Config": one,
-        }
-    )
+    summary = f"{run_summary(comp)} UNION ALL SELECT 'Run Timestamp', '20011105_060000'"
+    parts = _rows_of(run_tables(comp, names))
     parts += _listing(f"{code}_Config", config)
     parts.append(f"SELECT '{code}_RunSummary', Metric, Value FROM ({summary})")
     parts.append(f"SELECT '{code}_Summary', Filter, CAST(Count AS VARCHAR) FROM ({filter_summary(comp)})")
     return " UNION ALL ".join(parts)
 
 
-def merge_report() -> str:
-    config = {
-        "Target_ENV": "'EUROPE-18'",
-        "Scope": "'GL,CC'",
-        "Numbering_Strategy": "'pick_majority'",
-        "Preferred_ENV": "'EUROPE-3'",
-        "Created_At": "'20011105_060000'",
-    }
+def merge_tables() -> dict[str, str]:
+    """The result tables of a merge; of some only their number of rows is right."""
     tables = {"Config": "SELECT 1", "Sources": "SELECT unnest([1, 2, 3])"}
     for comp in (GL, CC):
         tables |= {
@@ -537,7 +542,18 @@ def merge_report() -> str:
             f"Actions_{comp.code}": merge_actions(comp),
             f"Mappings_{comp.code}": merge_mappings(comp),
         }
-    return " UNION ALL ".join([*_rows_of(tables), *_listing("Config", config)])
+    return tables
+
+
+def merge_report() -> str:
+    config = {
+        "Target_ENV": "'EUROPE-18'",
+        "Scope": "'GL,CC'",
+        "Numbering_Strategy": "'pick_majority'",
+        "Preferred_ENV": "'EUROPE-3'",
+        "Created_At": "'20011105_060000'",
+    }
+    return " UNION ALL ".join([*_rows_of(merge_tables()), *_listing("Config", config)])
 
 
 KEY = "CAST(o_orderkey AS VARCHAR)"
@@ -611,6 +627,7 @@ def all_oracles() -> dict[str, str]:
             "merge_mappings": merge_mappings(comp),
             "run_summary": run_summary(comp),
             "run_report": run_report(comp, names),
+            "run_manifest": manifest(run_tables(comp, names)),
         }
         for strategy in STRATEGIES:
             per_component[f"merge_unified_{strategy}"] = merge_unified(comp, strategy)
@@ -619,4 +636,5 @@ def all_oracles() -> dict[str, str]:
     found["gl_type_mismatches"] = type_mismatches(GL)
     found["gl_type_details"] = type_details(GL)
     found["merge_report"] = merge_report()
+    found["merge_manifest"] = manifest(merge_tables())
     return found
