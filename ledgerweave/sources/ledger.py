@@ -28,6 +28,10 @@ from ledgerweave.storage import in_passing, materialise
 # Position of a row in its source. Spark rows have no order of their own, but
 # "first" results depend on one.
 ORDINAL = "_ord"
+# Bits of an ordinal for the row's place in its file, and for the file's number above them.
+ROW_BITS, FILE_BITS = 38, 25
+# Up to this many files, some 30 MB of paths, their numbers are broadcast; more are left to Spark.
+BROADCAST_FILES = 200_000
 
 
 @dataclass(frozen=True)
@@ -50,10 +54,12 @@ def table_for(comp: Component, locations: Mapping[str, TableLocation]) -> TableL
 def read_table(spark: SparkSession, location: TableLocation) -> DataFrame:
     """Read a file table with a stable ordinal.
 
-    The ordinal is the file path and the row's place in that file for parquet, so
-    it survives retries, other cluster sizes and pruned columns alike. Formats
-    without row places get Spark's generated row id, which is only stable for
-    unchanged input splits: write such a table out once before using it twice.
+    For parquet the ordinal is a number: the file's place among the files in order of their
+    paths, then the row's place in that file. It survives retries, other cluster sizes and pruned
+    columns alike, and aggregates carry eight bytes instead of a path. The files are those the
+    planner lists when the table is read. Formats without row places get Spark's generated row
+    id, which is only stable for unchanged input splits: write such a table out once before using
+    it twice.
     """
     raw = (
         spark.read.format(location.format)
@@ -62,13 +68,34 @@ def read_table(spark: SparkSession, location: TableLocation) -> DataFrame:
     )
     if ORDINAL in raw.columns:
         return raw
-    if location.format == "parquet":
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        )
-    else:
-        place = F.monotonically_increasing_id()
-    return raw.select("*", place.alias(ORDINAL))
+    if location.format != "parquet":
+        return raw.select("*", F.monotonically_increasing_id().alias(ORDINAL))
+    return _with_ordinals(raw)
+
+
+def _with_ordinals(raw: DataFrame, broadcast_files: int = BROADCAST_FILES) -> DataFrame:
+    # The list has schemes without authority as scheme:///path, the rows as scheme:/path.
+    paths = sorted(path.replace(":///", ":/", 1) for path in raw.inputFiles())
+    if len(paths) >= 1 << FILE_BITS:
+        raise ValueError(f"{len(paths):,} files are more than an ordinal can number")
+    file = "_file"
+    while file in raw.columns:
+        file = f"_{file}"
+    numbered = raw.sparkSession.createDataFrame(
+        [(file_at,) for file_at in enumerate(paths)], f"{file} struct<number:bigint, path:string>"
+    )
+    if len(paths) <= broadcast_files:
+        numbered = F.broadcast(numbered)
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"))
+    placed = raw.select("*", place.alias(ORDINAL))
+    path, row = F.col(f"{ORDINAL}.path"), F.col(f"{ORDINAL}.row")
+    unlisted = F.raise_error(F.concat(F.lit("file not in the list of the table: "), path))
+    number = F.coalesce(F.col(f"{file}.number"), unlisted.cast("bigint"))
+    return (
+        placed.join(numbered, path == F.col(f"{file}.path"), "left")
+        .withColumn(ORDINAL, number * (1 << ROW_BITS) + row)
+        .drop(file)
+    )
 
 
 def normalise_columns(df: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:

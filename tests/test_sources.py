@@ -14,7 +14,7 @@ from ledgerweave.sources import (
     schema_violations,
     table_for,
 )
-from ledgerweave.sources.ledger import TableLocation
+from ledgerweave.sources.ledger import TableLocation, _with_ordinals
 
 RENAMES = {"bedrijf": "company", "GROOTBOEK": "ACCOUNT", "omschrijving": "description", "NOPE": "X"}
 
@@ -180,3 +180,32 @@ def test_conform_works_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     found = spark.read.parquet(f"{tmp_path}/out")
     assert {r.ENV for r in found.collect()} == {"L1-1", "L2-2"}
+
+
+@pytest.mark.parametrize("broadcast_files", [0, 100])
+def test_parquet_ordinals_number_files_in_order_of_their_paths(spark, tmp_path, broadcast_files):
+    folder = tmp_path / "a b%20c \u00e9=1"
+    spark.range(90).selectExpr("id", "concat('x/y ', id % 7) AS q").repartition(5).write.partitionBy("q").parquet(
+        str(folder)
+    )
+    raw = spark.read.parquet(str(folder))
+    found = _with_ordinals(raw, broadcast_files)
+    assert found.columns == ["id", "q", "_ord"] and dict(found.dtypes)["_ord"] == "bigint"
+    places = raw.select("id", "_metadata.file_path", "_metadata.row_index").collect()
+    in_order = [r.id for r in sorted(places, key=lambda r: (r.file_path, r.row_index))]
+    assert [r.id for r in found.orderBy("_ord").collect()] == in_order
+    files = sorted({r.file_path for r in places})
+    want = {r.id: (files.index(r.file_path) << 38) + r.row_index for r in places}
+    assert {r.id: r._ord for r in found.collect()} == want
+
+
+def test_columns_of_any_name_stay_beside_ordinals(spark, tmp_path):
+    names = ["a.b", "x y", "_file", "id"]
+    spark.range(3).selectExpr("id AS `a.b`", "id AS `x y`", "id AS _file", "id").write.parquet(f"{tmp_path}/T")
+    found = read_table(spark, TableLocation(str(tmp_path), "T"))
+    assert found.columns == [*names, "_ord"] and found.count() == 3
+
+
+def test_an_empty_table_has_ordinals(spark, tmp_path):
+    spark.range(0).write.parquet(f"{tmp_path}/T")
+    assert read_table(spark, TableLocation(str(tmp_path), "T")).collect() == []
