@@ -23,7 +23,9 @@ from ledgerweave.operators.presence import (
     presence_binary,
     presence_cells,
     presence_enriched,
+    presence_shards,
     presence_totals,
+    shard_index,
 )
 
 __all__ = [
@@ -31,7 +33,6 @@ __all__ = [
     "MergeSpec",
     "environments",
     "action_counts",
-    "action_counts",
     "gap_actions",
     "keep_reject",
     "keep_rule",
@@ -46,7 +47,9 @@ __all__ = [
     "presence_binary",
     "presence_cells",
     "presence_enriched",
+    "presence_shards",
     "presence_totals",
+    "shard_index",
     "type_details",
     "type_mismatches",
     "unify",

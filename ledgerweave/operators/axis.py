@@ -39,10 +39,10 @@ class Axis(NamedTuple):
     def chunks(self) -> int:
         return max(1, -(-self.size // self.chunk_size))
 
-    def locate(self, df: DataFrame, *columns: str) -> DataFrame:
+    def locate(self, df: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
         """``df`` with chunk and bit of its ``ENV``, and ``columns`` of the axis."""
         side = self.frame.select("ENV", CHUNK, BIT, *columns)
-        return df.join(F.broadcast(side) if self.few else side, "ENV")
+        return df.join(F.broadcast(side) if self.few else side, "ENV", how)
 
     def with_names(self, df: DataFrame) -> DataFrame:
         """``df`` with ``_names``, the ``ENV, DATALIB, COMPANY`` of its chunk by bit."""

@@ -6,20 +6,34 @@ The wide matrices have one column set per environment and are made from it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.component import Component
 from ledgerweave.functions.firsts import first_by, first_value
-from ledgerweave.operators.axis import BIT, CHUNK, Axis, entry, has, named_axis, single
+from ledgerweave.operators.axis import (
+    BIT,
+    CHUNK,
+    CHUNK_SIZE,
+    Axis,
+    entry,
+    has,
+    named_axis,
+    numbered_axis,
+    single,
+)
 from ledgerweave.operators.joins import shuffle_anew
 
 CELL = ("DESC_KEY", "ENV")
-# Columns a wide matrix may have at most per kind; the long form has no such limit.
+# Columns a wide matrix may have at most per kind; shards and the long form have no such limit.
 WIDE_LIMIT = 10_000
+# Environments of a shard, in chunks.
+SHARD_CHUNKS = 16
 
 
 def presence_cells(cleaned: DataFrame, comp: Component, ordinal: str = "_ord") -> DataFrame:
@@ -63,10 +77,16 @@ def environments(cells: DataFrame, limit: int = WIDE_LIMIT) -> list[str]:
 
     More than ``limit`` raise ``ValueError`` before they are all fetched.
     """
+    found = few_environments(cells, limit)
+    if found is None:
+        raise ValueError(f"more than {limit:,} environments: use shards or the long form instead")
+    return found
+
+
+def few_environments(cells: DataFrame, limit: int = WIDE_LIMIT) -> list[str] | None:
+    """Sorted environment names, or None if there are more than ``limit``."""
     found = cells.select("ENV").distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit:,} environments: use the long form instead")
-    return sorted(row.ENV for row in found)
+    return sorted(row.ENV for row in found) if len(found) <= limit else None
 
 
 def presence_binary(cells: DataFrame, envs: list[str]) -> DataFrame:
@@ -132,15 +152,65 @@ def presence_enriched(
     )
 
 
-def _by_chunk(cells: DataFrame, axis: Axis, aggregates: dict[str, Column]) -> DataFrame:
+class Shard(NamedTuple):
+    """The columns of some environments, for every description."""
+
+    number: int
+    envs: list[str]
+    binary: DataFrame
+    enriched: DataFrame
+
+
+def presence_shards(
+    cells: DataFrame, comp: Component, chunks: int = SHARD_CHUNKS, chunk_size: int = CHUNK_SIZE
+) -> Iterator[Shard]:
+    """The wide matrices in vertical shards, for any number of environments.
+
+    Shards come in order of the environments, ``chunks`` times ``chunk_size`` of them each, the last
+    one fewer. Side by side, joined on ``DESC_KEY``, their columns are those of the matrices; what is
+    not of an environment is in :func:`presence_totals`. Only the names of one shard at a time are
+    brought to the driver.
+    """
+    axis = numbered_axis(cells.select("ENV").distinct(), chunk_size)
+    values = [name for name in (comp.number, comp.category) if name]
+    prefixes = dict(zip(values, (comp.number_prefix, "Type_")))
+    for number, first in enumerate(range(0, axis.chunks, chunks)):
+        named = axis.frame.filter(F.col(CHUNK).between(first, first + chunks - 1))
+        envs = sorted(row.ENV for row in named.select("ENV").collect())
+        own = named_axis(cells.sparkSession, [(env,) for env in envs], chunk_size=chunk_size)
+        listed = F.array_sort(F.collect_list(F.when(F.col(BIT).isNotNull(), F.struct(BIT, *values))))
+        marks = _marks(envs, own)
+        entries = [
+            entry(_part("_values", chunk), _part("_set", chunk), F.lit(bit))[name].alias(f"{prefixes[name]}{env}")
+            for env, chunk, bit in _places(envs, own)
+            for name in values
+        ]
+        binary = _by_chunk(cells, own, {}, every=True).select("DESC_KEY", *marks)
+        enriched = _by_chunk(cells, own, {"_values": listed}, every=True)
+        yield Shard(number, envs, binary, enriched.select("DESC_KEY", *marks, *entries))
+
+
+def shard_index(shards: list[tuple[int, list[str]]], comp: Component, spark: SparkSession) -> DataFrame:
+    """``SHARD, ENV, COLUMN``: which shard has a column, and of which environment it is."""
+    prefixes = ["", comp.number_prefix, *(["Type_"] if comp.category else [])]
+    listed = spark.createDataFrame(shards, "SHARD int, ENVS array<string>")
+    columns = F.array(*(F.concat(F.lit(prefix), "ENV") for prefix in prefixes))
+    by_env = listed.select("SHARD", F.explode("ENVS").alias("ENV"))
+    return by_env.select("SHARD", "ENV", F.explode(columns).alias("COLUMN"))
+
+
+def _by_chunk(
+    cells: DataFrame, axis: Axis, aggregates: dict[str, Column], every: bool = False
+) -> DataFrame:
     """One row per description with a set of environments, and ``aggregates``, per chunk.
 
     Only chunks are pivoted, one for 63 environments; the columns of the single
-    environments are then read off the sets.
+    environments are then read off the sets. ``every`` keeps descriptions that none of the
+    axis' environments has.
     """
     named = {"_set": F.bit_or(single(F.col(BIT))), **aggregates}
     return (
-        axis.locate(cells)
+        axis.locate(cells, how="left" if every else "inner")
         .groupBy("DESC_KEY", CHUNK)
         .agg(*(value.alias(name) for name, value in named.items()))
         .groupBy("DESC_KEY")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import nullcontext
 from dataclasses import asdict, dataclass, replace
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +16,15 @@ from ledgerweave.operators.filters import FilterRules, filter_figures, keep_reje
 from ledgerweave.operators.gaps import CREATE, REVIEW, action_counts, gap_actions
 from ledgerweave.operators.mismatches import number_mismatches, type_mismatches
 from ledgerweave.operators.presence import (
-    environments,
+    Shard,
+    few_environments,
     language_variants,
     presence_binary,
     presence_cells,
     presence_enriched,
+    presence_shards,
+    presence_totals,
+    shard_index,
 )
 from ledgerweave.sources.ledger import ORDINAL, PendingLedger
 from ledgerweave.storage import in_passing, materialise, one_row, store_by_key, store_in_buckets
@@ -29,7 +34,11 @@ from ledgerweave.plans.sink import Sink, publishing, table_names
 
 @dataclass(frozen=True)
 class ComponentResult:
-    """The results of one run, all of them lazy tables over stored intermediates."""
+    """The results of one run, all of them lazy tables over stored intermediates.
+
+    With more environments than a table has room for, ``presence_shards`` makes the columns of the
+    environments, shard by shard, and the two matrices have only what is beside them.
+    """
 
     raw: DataFrame
     cleaned: DataFrame
@@ -44,6 +53,7 @@ class ComponentResult:
     action_counts: DataFrame
     number_mismatches: DataFrame
     type_mismatches: DataFrame
+    presence_shards: Callable[[], Iterator[Shard]] | None = None
 
 
 class Steps(NamedTuple):
@@ -75,8 +85,9 @@ def run_component(
     leaves none, and one whose results exist is refused at once. What it returns reads the
     published tables if they are parquet. Without ``out`` nothing but intermediates is written;
     within :func:`~ledgerweave.storage.intermediates` these go when the scope ends.
-    ``wide=False`` leaves out the two matrices with columns per environment, for runs
-    with more environments than a table has room for; all else has no such limit.
+    ``wide=False`` leaves out the two matrices with columns per environment. With more
+    environments than a table has room for, these columns come in shards: tables of the usual
+    names with a number behind, and an index of their columns.
     ``steps`` replaces single steps of the run.
 
     What several results read is stored once: the ledger of a loader function, the kept
@@ -173,12 +184,18 @@ def _results(
 
         return work.union(make)
 
-    binary = enriched = None
+    binary = enriched = shards = None
     if wide:
-        envs = environments(cells)
+        envs = few_environments(cells)
         languages = None if comp.category else language_variants(cleaned)
-        binary = presence_binary(cells, envs)
-        enriched = presence_enriched(cells, comp, envs, languages)
+        if envs is None:
+            shards = partial(presence_shards, cells, comp)
+            binary, enriched = cells.select("DESC_KEY").distinct(), presence_totals(cells)
+            if languages is not None:
+                enriched = enriched.join(languages, "DESC_KEY")
+        else:
+            binary = presence_binary(cells, envs)
+            enriched = presence_enriched(cells, comp, envs, languages)
     if steps.actions is gap_actions:
         actions = gap_actions(cleaned, comp, cells=cells)
         create, review = (gap_actions(cleaned, comp, kind=k, cells=cells) for k in (CREATE, REVIEW))
@@ -202,6 +219,7 @@ def _results(
         action_counts=counted,
         number_mismatches=mismatches(steps.numbers, number_mismatches),
         type_mismatches=mismatches(steps.types, type_mismatches),
+        presence_shards=shards,
     )
 
 
@@ -234,6 +252,8 @@ def _write(
         table = getattr(result, field)
         if table is not None and name not in sink.rows:
             sink.write(name, table, ["DESC_KEY"] if name.startswith("Presence") else ())
+    if result.presence_shards is not None:
+        _write_shards(result, sink, comp)
     sink.write("Filter Summary", filter_summary(result.counts))
     written = {
         "Create Actions": sink.rows["Create"],
@@ -247,6 +267,18 @@ def _write(
     return {CREATE: written["Create Actions"], REVIEW: written["Review Actions"]}
 
 
+def _write_shards(result: ComponentResult, sink: Sink, comp: Component) -> None:
+    """Write the shards of the matrices beside them, and the index of their columns."""
+    listed = []
+    for shard in result.presence_shards():
+        for field in ("binary", "enriched"):
+            name = f"Presence Matrix ({field})"
+            sink.write_part(name, f"{shard.number:05d}", getattr(shard, field), ["DESC_KEY"])
+        listed.append((shard.number, shard.envs))
+    index = shard_index(listed, comp, result.cells.sparkSession)
+    sink.write_part("Presence Matrix (enriched)", "Columns", index)
+
+
 def _published(result: ComponentResult, sink: Sink, counted: dict[str, int]) -> ComponentResult:
     """The same results, read from where they were published."""
     read = {

@@ -70,6 +70,14 @@ class Sink:
         self.rows[name] = in_passing(table, {"rows": F.count(F.lit(1))}, save)[1]["rows"]
         return self.rows[name]
 
+    def write_part(
+        self, name: str, part: str, table: DataFrame, order: Sequence[str] = ()
+    ) -> int:
+        """Write a part of the result ``name``: a table of its name with ``part`` behind."""
+        whole = f"{name} {part}"
+        self.names = {**self.names, whole: f"{self.names.get(name, name)}_{part}"}
+        return self.write(whole, table, order)
+
     def keep(self, name: str, table: DataFrame) -> DataFrame:
         """Write a table that further results are made from; return it as stored.
 

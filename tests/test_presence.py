@@ -10,7 +10,9 @@ from ledgerweave.operators import (
     presence_binary,
     presence_cells,
     presence_enriched,
+    presence_shards,
     presence_totals,
+    shard_index,
 )
 
 NINE, FIFTEEN = "ERPOMGEVING-9", "ERPOMGEVING-15"
@@ -180,3 +182,41 @@ def test_wide_matrices_over_many_environments(spark):
         row |= {p + env: first.get((key, p + env)) for env in envs for p in ("Acct_", "Type_")}
         assert found[key] == row
     assert found["all"]["Pct_Present"] == 100.0
+
+
+@pytest.mark.parametrize("comp", [GL, CC], ids=lambda c: c.code)
+@pytest.mark.parametrize("chunks, size", [(1, 3), (2, 4), (9, 63)])
+def test_shards_side_by_side_are_the_matrices(spark, comp, chunks, size):
+    rng = random.Random(4)
+    entries = [
+        {
+            "DESCRIPTION": rng.choice(["hot", f"k{rng.randrange(9)}"]),
+            "ENV": f"L-{rng.randrange(17):02}",
+            comp.number: rng.choice([None, str(rng.randrange(50))]),
+            **({"TYPE": rng.choice([None, "T"])} if comp is GL else {}),
+        }
+        for _ in range(120)
+    ] + [{"DESCRIPTION": "lone", "ENV": "L-03", comp.number: None}]
+    cells = presence_cells(ledger(spark, comp, entries), comp)
+    envs = environments(cells)
+    binary, enriched = presence_binary(cells, envs), presence_enriched(cells, comp, envs)
+    shards = list(presence_shards(cells, comp, chunks, size))
+    assert [env for shard in shards for env in shard.envs] == envs
+    assert all(len(shard.envs) == chunks * size for shard in shards[:-1])
+    for whole, field, lead in ((binary, "binary", None), (enriched, "enriched", presence_totals(cells))):
+        parts = [getattr(shard, field) for shard in shards] + ([] if lead is None else [lead])
+        beside = parts[0]
+        for part in parts[1:]:
+            beside = beside.join(part, "DESC_KEY")
+        assert sorted(beside.columns) == sorted(whole.columns)
+        assert by_key(beside) == by_key(whole)
+    index = shard_index([(s.number, s.envs) for s in shards], comp, spark).collect()
+    assert {(r.SHARD, r.COLUMN) for r in index} == {
+        (s.number, c) for s in shards for c in s.enriched.columns if c != "DESC_KEY"
+    }
+    assert all(r.COLUMN.endswith(r.ENV) for r in index)
+
+
+def test_no_shards_of_nothing(spark):
+    cells = presence_cells(ledger(spark, GL, [{"DESCRIPTION": "a", "ENV": "L-1"}]).limit(0), GL)
+    assert [(s.envs, s.binary.count(), s.enriched.columns) for s in presence_shards(cells, GL)] == [([], 0, ["DESC_KEY"])]

@@ -8,7 +8,8 @@ from frames import rows
 from pyspark.sql import functions as F
 from test_plans import SPEC, accounts, cost_centers
 
-from ledgerweave import GL, intermediates, merge_plan, read_results, run_component
+from ledgerweave import CC, GL, intermediates, merge_plan, read_results, run_component
+from ledgerweave.operators import presence_shards
 from ledgerweave.plans import publishing, read_manifest, table_names
 from ledgerweave.storage import materialise, new_path, store_by_key
 
@@ -130,3 +131,23 @@ def test_intermediates_go_on_failure_too(spark):
 
     assert tables_of(spark) == before
     assert not Path(folder).exists() and not Path(inner).exists()
+
+
+def test_more_environments_than_a_table_has_room_for(spark, tmp_path, monkeypatch):
+    run = sys.modules["ledgerweave.plans.run"]
+    many = run.few_environments
+    monkeypatch.setattr(run, "few_environments", lambda cells: many(cells, limit=1))
+    monkeypatch.setattr(run, "presence_shards", lambda cells, comp: presence_shards(cells, comp, 1, 1))
+    for comp, frame in ((GL, accounts(spark)), (CC, cost_centers(spark))):
+        run_component(frame, comp, run_ts="t", out=str(tmp_path), names={"Presence Matrix (binary)": "Bin"})
+        found = read_results(spark, f"{tmp_path}/{comp.code}_output_t")
+        wide = f"{comp.code}_Presence"
+        assert len(found) == 11 + 2 * 2 + 1
+        assert found["Bin_00000"].columns == ["DESC_KEY", "ERP-1"]
+        assert found["Bin_00001"].columns == ["DESC_KEY", "ERP-2"]
+        for name in ("Bin", "Bin_00000", "Bin_00001", wide, f"{wide}_00000"):
+            assert found[name].select("DESC_KEY").distinct().count() == 2
+        assert "ERP-1" not in found[wide].columns and "Count_Present" in found[wide].columns
+        assert ("DESCRIPTION_LANG" in found[wide].columns) == (comp is CC)
+        index = {r.COLUMN: r.SHARD for r in found[f"{wide}_Columns"].collect()}
+        assert index["ERP-2"] == 1 and index[f"{comp.number_prefix}ERP-1"] == 0
