@@ -11,13 +11,16 @@ pieces that can be dealt out without missing a repeat:
    repeats altogether. That is settled per batch ahead of the shuffle, then per anchor.
 3. *Unequal contexts* are split by where the anchor stands in the string, into
    ``PARTS`` ranges of offsets. All strings of a range share a core, so only contexts
-   with equal cores go on, as strings a few bytes longer than ``LENGTH``.
-4. *Transforms.* The strings of a batch are dealt to shards, each with its suffix array
+   with equal cores go on, as strings a few bytes longer than ``LENGTH``: the number of
+   the core, and the up to ``SLACK`` bytes on either side of the ``CORE`` bytes that all have.
+4. *Transforms.* In the strings of a batch a few symbols that no text has, one way for each
+   core, stand for the bytes of the core, so that ``LENGTH`` bytes are as many symbols less
+   than that. The strings are dealt to shards, each with its suffix array
    and transform. The transforms are merged by refining their interleave: a pass sorts
    the merged suffixes by two more symbols by handing each to the bucket of the symbols
-   ahead of it; suffixes that are alone by then are settled. The blocks left after
-   ``LENGTH`` symbols are the intervals of equal strings; of each, all but the earliest
-   start are repeats.
+   ahead of it; suffixes that are alone by then are settled. The blocks left after the
+   symbols of ``LENGTH`` bytes are the intervals of equal strings; of each, all but the
+   earliest start are repeats.
 
 Cores with more than ``STRINGS`` different strings (a passage of just such a length in very
 many surroundings) are compared by the numbers of their strings instead.
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from .common import add_columns, bit_table, column, in_table, map_batches, materialise
+from .common import add_columns, bit_table, column, giving_back, in_table, map_batches, materialise
 from .shingles import STEP, mix, powers
 
 LENGTH = 100  # bytes of a repeat
@@ -48,15 +51,22 @@ GRAM = 32  # bytes of an anchor
 OFFSETS = LENGTH - GRAM + 1  # where in a string its anchor can stand
 PARTS = 8  # ranges of offsets
 SHARDS = 4
-BATCH = 400_000  # bytes of strings merged at once
+BATCH = 400_000  # symbols of strings merged at once
 STRINGS = 20_000  # of one core that are merged
-BLOCK = 1 << 19  # bytes searched for anchors at once
+BLOCK = 1 << 16  # bytes searched for anchors at once
 TASK_BYTES = 1 << 26  # of text whose anchors go to one task
 NO_ID = -(1 << 63)  # stands for a null doc_id
 END, BETWEEN, SHIFT = 0, 1, 2  # symbols: end of a shard, between strings, bytes from 2 on
+DIGIT, DIGITS = 247, 9  # symbols from 247 on, which no byte of UTF-8 has, number the cores
 _U64 = np.uint64
 _LAST = _U64((1 << 64) - 1)
 _RANGES = [(i * OFFSETS // PARTS, (i + 1) * OFFSETS // PARTS - 1) for i in range(PARTS)]
+SLACK = 8  # bytes that strings have on either side of their core, as one long
+CORE = LENGTH - SLACK  # bytes from the start of a core that all its strings have
+_PLACE = np.arange(SLACK)
+# Which of the bytes of a long are there: the last ``n`` ahead of a core, the first ``n`` behind it.
+_LAST_BYTES = (np.where(_PLACE >= SLACK - np.arange(SLACK + 1)[:, None], 255, 0)).astype(np.uint8).view(np.int64).ravel()
+_FIRST_BYTES = (np.where(_PLACE < np.arange(SLACK + 1)[:, None], 255, 0)).astype(np.uint8).view(np.int64).ravel()
 
 
 class _Hasher:
@@ -77,14 +87,21 @@ class _Hasher:
     def number(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix((self._sums[stop] - self._sums[start]) * self._down[start])
 
+    def numbers(self, n: int, width: int) -> np.ndarray:
+        """The numbers of the first ``n`` substrings of ``width`` bytes."""
+        return mix((self._sums[width : width + n] - self._sums[:n]) * self._down[:n])
+
 
 def _sliding(least: Callable, x: np.ndarray, width: int) -> np.ndarray:
     """``least`` (or greatest) of each value and the ``width - 1`` after it."""
-    done = 1
+    done, spare = 1, [np.empty_like(x), np.empty_like(x)]
     while done < width:
         step = min(done, width - done)
-        shifted = x.copy()
+        shifted = spare.pop()
         least(x[:-step], x[step:], out=shifted[:-step])
+        shifted[-step:] = x[-step:]
+        if done > 1:  # what the caller holds stays as it is
+            spare.append(x)
         x, done = shifted, done + step
     return x
 
@@ -97,9 +114,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, hasher: _Hasher) -> tuple[np.nda
     long = ends - starts >= LENGTH
     if not long.any():
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(n - GRAM + 1)
     numbers = np.full(n, _LAST)
-    numbers[: n - GRAM + 1] = np.minimum(np.maximum(hasher.number(at, at + GRAM), _U64(1)), _LAST - _U64(1))
+    numbers[: n - GRAM + 1] = np.clip(hasher.numbers(n - GRAM + 1, GRAM), _U64(1), _LAST - _U64(1))
     least = _sliding(np.minimum, numbers, OFFSETS)
     # Only strings inside one text choose an anchor.
     change = np.zeros(n + 1, np.int32)
@@ -249,7 +265,7 @@ def _settle_contexts(rows: DataFrame) -> DataFrame:
         bits = pa.array(np.concatenate((np.zeros(n, np.int32), ranges[onward])), mask=settled)
         yield pa.RecordBatch.from_arrays([*map(pa.array, columns), bits], ["doc", "start", "stop", "ranges"])
 
-    return rows.mapInArrow(run, "doc long, start long, stop long, ranges int")
+    return rows.mapInArrow(giving_back(run), "doc long, start long, stop long, ranges int")
 
 
 def _shared_cores(key: np.ndarray, cores: np.ndarray) -> np.ndarray:
@@ -276,35 +292,50 @@ def _shared_cores(key: np.ndarray, cores: np.ndarray) -> np.ndarray:
     return ranges
 
 
+STRINGS_OF = "core long, ahead long, behind long, sizes int, doc long, start long"
+
+
 def _strings(places: DataFrame) -> DataFrame:
-    """Step 3: (core, left, doc, start, string) from (doc, text, places)."""
-    schema = "core long, left int, doc long, start long, string binary"
+    """Step 3: the strings of (doc, text, places) as ``STRINGS_OF``: the number of the core, the
+    bytes ahead of and behind the ``CORE`` bytes all have, how many these are (16 times the
+    first, and the second), and where the string is."""
 
     def start() -> Callable:
         hasher = _Hasher()
 
         def work(batch: pa.RecordBatch) -> dict:
-            made: list[list] = [[], [], [], [], []]
-            for doc, text, rows in zip(*(column(batch, c).to_pylist() for c in ("doc", "text", "places"))):
-                data = text.encode()
-                hasher.load(np.frombuffer(data, np.uint8))
-                place = np.array([r["start"] for r in rows], np.int64)
-                bits = np.array([r["ranges"] for r in rows], np.int64)
+            docs = column(batch, "doc").to_numpy()
+            listed = column(batch, "places")
+            upto = np.concatenate(([0], np.cumsum(listed.value_lengths().to_numpy())))
+            listed = listed.flatten()
+            starts, ranges = (listed.field(c).to_numpy() for c in ("start", "ranges"))
+            made: dict[str, list[np.ndarray]] = {c: [] for c in ("core", "ahead", "behind", "sizes", "doc", "start")}
+            for first, data, ends in _text_blocks(column(batch, "text")):
+                own = slice(upto[first], upto[first + len(ends)])
+                of = np.repeat(np.arange(len(ends)), np.diff(upto[first : first + len(ends) + 1]))
+                begin, end = (ends - np.diff(ends, prepend=0))[of], ends[of]
+                place, bits = starts[own] + begin, ranges[own]
+                hasher.load(data)
+                # The bytes from each place on, or up to it, as one long.
+                edge = np.zeros(SLACK, np.uint8)
+                longs = np.lib.stride_tricks.sliding_window_view(np.concatenate((edge, data, edge)), SLACK)
                 for i, (a, b) in enumerate(_RANGES):
-                    at = place[(bits >> i) & 1 > 0]
-                    low, high = _flanks(at, 0, len(data), a, b)
-                    core = hasher.number(at - a, at + LENGTH - b) + _U64(i)
-                    made[0] += core.view(np.int64).tolist()
-                    made[1] += (at - low).tolist()
-                    made[2] += [doc] * len(at)
-                    made[3] += low.tolist()
-                    made[4] += [data[x:y] for x, y in zip(low.tolist(), high.tolist())]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            return {c: pa.array(v, k) for c, v, k in zip(("core", "left", "doc", "start", "string"), made, kinds)}
+                    chosen = np.flatnonzero((bits >> i) & 1)
+                    at = place[chosen]
+                    low, high = _flanks(at, begin[chosen], end[chosen], a, b)
+                    inner = at - a
+                    left, right = inner - low, high - inner - CORE
+                    made["core"].append((hasher.number(inner, at + LENGTH - b) + _U64(i)).view(np.int64))
+                    made["ahead"].append(longs[inner].view(np.int64).ravel() & _LAST_BYTES[left])
+                    made["behind"].append(longs[inner + CORE + SLACK].view(np.int64).ravel() & _FIRST_BYTES[right])
+                    made["sizes"].append((left * 16 + right).astype(np.int32))
+                    made["doc"].append(docs[first + of[chosen]])
+                    made["start"].append(low - begin[chosen])
+            return {c: pa.array(np.concatenate(v)) for c, v in made.items()}
 
         return work
 
-    return map_batches(places, schema, start)
+    return map_batches(places, STRINGS_OF, start)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -385,64 +416,87 @@ def merge_transforms(transforms: list[np.ndarray], passes: int) -> tuple[np.ndar
     return live, block
 
 
-def equal_strings(strings: list[bytes], shard_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, offset, class) of all substrings of ``LENGTH`` bytes that occur at least twice."""
+class _Symbols:
+    """Strings as symbols: bytes, digits of the core's rank, bytes, and what lies between strings."""
+
+    def __init__(self, rank: np.ndarray, ahead: np.ndarray, behind: np.ndarray, sizes: np.ndarray) -> None:
+        cores, digits = int(rank.max()) + 1, 2
+        while DIGITS**digits < cores:
+            digits += 2
+        self.width = SLACK + digits  # symbols that stand for ``LENGTH`` bytes
+        left, right = sizes[:, None] >> 4, sizes[:, None] & 15
+        number = rank[:, None] // DIGITS ** np.arange(digits) % DIGITS + DIGIT
+        between = np.full((len(rank), 1), BETWEEN)
+        bytes_of = [x[:, None].view(np.uint8) + np.uint8(SHIFT) for x in (ahead, behind)]
+        parts = (bytes_of[0], number, bytes_of[1], between)
+        self._table = np.concatenate([x.astype(np.uint8) for x in parts], axis=1)
+        every = np.ones((len(rank), 1), bool)
+        there = (_PLACE >= SLACK - left, np.broadcast_to(every, number.shape), _PLACE < right, every)
+        self._there = np.concatenate(there, axis=1)
+
+    def of(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of some strings, one after the other, and how many each has."""
+        there = self._there[strings]
+        return self._table[strings][there], there.sum(axis=1)
+
+
+def _places_of(sizes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, offset) of each of ``sizes`` things that lie one after the other."""
+    first = np.cumsum(sizes) - sizes
+    return np.repeat(owner, sizes), np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+
+
+def equal_strings(strings: _Symbols, rows: np.ndarray, shard_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, offset, class) of all substrings of ``LENGTH`` bytes that occur at least twice in ``rows``."""
     transforms, owners, offsets = [], [], []
     for shard in np.unique(shard_of):
-        own = np.flatnonzero(shard_of == shard)
-        sizes = np.array([len(strings[i]) for i in own])
-        text = np.full(int((sizes + 1).sum()), BETWEEN, np.uint8)
-        owner = np.repeat(own, sizes + 1)
-        offset = np.arange(len(text)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
-        inside = offset < np.repeat(sizes, sizes + 1)
-        text[inside] = np.frombuffer(b"".join(strings[i] for i in own), np.uint8) + SHIFT
+        own = rows[shard_of == shard]
+        text, sizes = strings.of(own)
         text[-1] = END
+        owner, offset = _places_of(sizes, own)
         order = suffix_array(text)
         transforms.append(text[order - 1])
         owners.append(owner[order])
         offsets.append(offset[order])
-    merged, block = merge_transforms(transforms, LENGTH)
+    merged, block = merge_transforms(transforms, strings.width)
     return np.concatenate(owners)[merged], np.concatenate(offsets)[merged], block
 
 
-def _numbered_strings(strings: list[bytes], _: None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _numbered_strings(strings: _Symbols, rows: np.ndarray, _: None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``equal_strings`` for any number of strings, by the numbers of their substrings."""
     hasher = _Hasher()
-    sizes = np.array([len(s) for s in strings])
+    text, sizes = strings.of(rows)
     first = np.cumsum(sizes) - sizes
-    windows = sizes - LENGTH + 1
-    owner = np.repeat(np.arange(len(strings)), windows)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    hasher.load(np.frombuffer(b"".join(strings), np.uint8))
-    at = first[owner] + offset
-    _, number, count = np.unique(hasher.number(at, at + LENGTH), return_inverse=True, return_counts=True)
+    number_of, offset = _places_of(sizes - strings.width, np.arange(len(rows)))
+    hasher.load(text)
+    at = first[number_of] + offset
+    _, number, count = np.unique(hasher.number(at, at + strings.width), return_inverse=True, return_counts=True)
     twice = count[number] > 1
-    return owner[twice], offset[twice], number[twice]
+    return rows[number_of[twice]], offset[twice], number[twice]
 
 
 def _settle_strings(rows: DataFrame) -> DataFrame:
     """Step 4: repeats (doc, start, stop) among the strings, which come in order of their core."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher()
         for rows in _chunks(batches):
-            yield _interval_batch(_chunk_repeats(rows, hasher))
+            yield _interval_batch(_chunk_repeats(rows))
 
-    return rows.mapInArrow(run, "doc long, start long, stop long")
+    return rows.mapInArrow(giving_back(run), "doc long, start long, stop long")
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Consecutive rows with about ``BATCH`` bytes of strings and whole cores."""
+    """Consecutive rows with about ``BATCH`` symbols of strings and whole cores."""
     waiting: list[pa.RecordBatch] = []
-    size = 0
+    size, each = 0, 3 * SLACK
     for batch in batches:
         at = 0
         while at < batch.num_rows:
             # About as many rows as fit, then on to the end of the core.
-            part = batch.slice(at, max(1, (BATCH - size) // (LENGTH + OFFSETS // PARTS) + 1))
+            part = batch.slice(at, max(1, (BATCH - size) // each + 1))
             at += part.num_rows
             waiting.append(part)
-            size += part.num_rows * (LENGTH + OFFSETS // PARTS)
+            size += part.num_rows * each
             if size >= BATCH:
                 table = pa.Table.from_batches(waiting)
                 core = table["core"].to_numpy()
@@ -450,21 +504,18 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
                 if cut:
                     yield table.slice(0, cut)
                 waiting = table.slice(cut).to_batches()
-                size = (table.num_rows - cut) * (LENGTH + OFFSETS // PARTS) if cut else 0
+                size = (table.num_rows - cut) * each if cut else 0
     if waiting:
         yield pa.Table.from_batches(waiting)
 
 
-def _chunk_repeats(rows: pa.Table, hasher: _Hasher) -> list[tuple]:
-    core, left, doc, start = (rows[c].to_numpy() for c in ("core", "left", "doc", "start"))
-    strings = rows["string"].to_pylist()
-    sizes = np.array([len(s) for s in strings], np.int64)
-    stops = np.cumsum(sizes)
-    hasher.load(np.frombuffer(b"".join(strings), np.uint8))
-    number = hasher.number(stops - sizes, stops)
-    order, new, later = _first_of([core, left, number], doc, start)
+def _chunk_repeats(rows: pa.Table) -> list[tuple]:
+    core, ahead, behind, sizes, doc, start = (rows[c].to_numpy() for c in rows.column_names)
+    lengths = (sizes >> 4) + CORE + (sizes & 15)
+    number = mix(mix(ahead.view(np.uint64) + sizes.astype(np.uint64) * _U64(STEP)) + behind.view(np.uint64))
+    order, new, later = _first_of([core, number], doc, start)
     again = order[later]
-    found = [_merged(doc[again], start[again], start[again] + sizes[again])]
+    found = [_merged(doc[again], start[again], start[again] + lengths[again])]
     # The earliest of each class of equal strings, where a core has several.
     first = order[new]
     begins = np.flatnonzero(np.concatenate(([True], core[first][1:] != core[first][:-1])))
@@ -475,9 +526,13 @@ def _chunk_repeats(rows: pa.Table, hasher: _Hasher) -> list[tuple]:
     parts = [(first[together], place[together] % SHARDS, equal_strings)]
     for begin, n in zip(begins[counts > STRINGS], counts[counts > STRINGS]):
         parts.append((first[begin : begin + n], None, _numbered_strings))
+    rank = np.cumsum(np.concatenate(([0], core[1:] != core[:-1])))
     for own, shard, compare in parts:
         if len(own):
-            owner, offset, same = compare([strings[i] for i in own], shard)
+            # Cores that are compared are numbered without gaps.
+            _, dense = np.unique(rank[own], return_inverse=True)
+            symbols = _Symbols(dense, ahead[own], behind[own], sizes[own])
+            owner, offset, same = compare(symbols, np.arange(len(own)), shard)
             docs, places = doc[own][owner], start[own][owner] + offset
             order, _, later = _first_of([same], docs, places)
             docs, places = docs[order][later], places[order][later]
@@ -550,8 +605,7 @@ def remove_repeats(
     table = bit_table(spans, "_doc")
     # Only documents that have repeats are dealt out anew.
     cut = in_table(keyed, "_doc", table).join(spans, "_doc", "left")
-    none = F.lit(None).cast("array<struct<start:bigint,stop:bigint>>")
-    whole = in_table(keyed, "_doc", table, inside=False).withColumn("_found", none)
+    whole = in_table(keyed, "_doc", table, inside=False)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     made = (
         StructType()
@@ -581,7 +635,16 @@ def remove_repeats(
 
         return work
 
-    return add_columns(cut.unionByName(whole), made, start).drop("_doc", "_found")
+    # The others are whole, which takes no Python.
+    body = F.coalesce(F.col(text), F.lit(""))
+    plain = {
+        "n_bytes": F.octet_length(body).cast("long"),
+        "spans": F.array().cast(made["spans"].dataType),
+        "kept": body.cast("binary"),
+    }
+    others = [F.col(f"`{c}`") for c in whole.columns if c.lower() not in plain and c != "_doc"]
+    whole = whole.select(*others, *(made_of.alias(c) for c, made_of in plain.items()))
+    return add_columns(cut, made, start).drop("_doc", "_found").unionByName(whole)
 
 
 def _joined_spans(spans: list[dict]) -> list[dict]:

@@ -107,3 +107,36 @@ def test_texts_without_ids_of_their_own(spark):
     want = brute(list(enumerate(t for _, t in order)))
     assert {(r.doc_id, r.text, bytes(r.kept)) for r in found} == {(*r, want[i]) for i, r in enumerate(order)}
     assert sum(len(w) < len(t or "") for w, (_, t) in zip(want.values(), order)) == 6
+
+
+def test_strings_of_one_core_are_merged_without_it(spark, monkeypatch):
+    """What all strings of a core share is dealt out and merged as a few symbols, not byte for byte."""
+    chance = random.Random(9)
+
+    def prose(n):
+        return "".join(chance.choices("abcdefgh", k=n))
+
+    middle = prose(160)
+    rows = [(i, prose(40) + middle + prose(40), [(100, 255), (110, 24)]) for i in range(30)]
+    rows.append((99, "", []))
+    places = spark.createDataFrame(rows, "doc long, text string, places array<struct<start:bigint,ranges:int>>")
+    strings = suffix._strings(places.repartition(2)).sort("core", "doc", "start")
+    assert {f.dataType.typeName() for f in strings.schema} <= {"long", "integer"}
+    seen = []
+    merge = suffix.merge_transforms
+    monkeypatch.setattr(suffix, "merge_transforms", lambda t, n: seen.append((sum(map(len, t)), n)) or merge(t, n))
+    table = strings.toArrow()
+    suffix._chunk_repeats(table)
+    (symbols, passes), = seen
+    assert symbols <= 3 * suffix.SLACK * len(table) and passes <= 2 * suffix.SLACK
+
+
+def test_documents_without_repeats_need_no_python(spark):
+    chance = random.Random(11)
+    rows = [(i, "".join(chance.choices("abcdß", k=200)), "own") for i in range(6)] + [(7, None, "own")]
+    rows.append((8, rows[2][1] + "end", "own"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a column` string")
+    found = {r.doc_id: r for r in suffix.remove_repeats(df).collect()}
+    assert {i: len(r.spans) for i, r in found.items()} == dict.fromkeys([*range(6), 7], 0) | {8: 1}
+    assert all(bytes(found[i].kept) == (t or "").encode() and found[i].n_bytes == len(found[i].kept) for i, t, _ in rows[:7])
+    assert bytes(found[8].kept) == b"end" and found[8]["a column"] == "own"
